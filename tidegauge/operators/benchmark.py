@@ -93,7 +93,7 @@ def tier_comparison(metrics: DataFrame, metric: str, baseline: str, candidate: s
 
 def file_io_rates(
     series: DataFrame, runs: Sequence[str], fields: Sequence[str], start=None, end=None,
-    targets: Sequence[str] | None = None, modes: Sequence[str] | None = ("read", "write"),
+    targets: Sequence[str] | None = None, modes: Sequence[str] = ("read", "write"),
     slice_seconds: int = SLICE_SECONDS,
 ) -> DataFrame:
     """One row per file series and instant, with a ``rate_<field>`` column per field.
@@ -102,10 +102,9 @@ def file_io_rates(
     """
     rates = multi_rate(
         series, {FILE_IO: list(fields)}, runs, start, end, targets, slice_seconds,
-        colocate=["run_id", "target_id", "series_key"],
-    ).withColumn("mode", tag("mode"))
-    if modes is not None:
-        rates = rates.filter(F.col("mode").isin(*modes))
+        colocate=["run_id", "target_id", "series_key"], where=tag("mode").isin(*modes),
+        dimensions={"mode": tag("mode")},
+    )
     return rates.groupBy(
         "run_id", "target_id", "series_key", SLICE, "ts", "host", "tier", "mode"
     ).agg(*[
@@ -158,15 +157,14 @@ def benchmark_samples(
 
 
 def _counter_samples(series, runs, start, end, groups, fields, slice_seconds) -> DataFrame:
+    measurement = F.col("measurement")
     rates = multi_rate(
         series, fields, runs, start, end, slice_seconds=slice_seconds,
         colocate=["run_id", "target_id", "series_key"],
-    )
-    workload = ~tag("schema").isin(*NO_SCHEMA)
-    rates = rates.withColumn("mode", tag("mode")).filter(
-        F.when(F.col("measurement") == FILE_IO, F.col("mode").isin("read", "write"))
-        .when(F.col("measurement") == DIGEST, workload)
-        .otherwise(True)
+        where=F.when(measurement == FILE_IO, tag("mode").isin("read", "write"))
+        .when(measurement == DIGEST, ~tag("schema").isin(*NO_SCHEMA))
+        .otherwise(True),
+        dimensions={"mode": tag("mode")},
     )
 
     def rate_of(measurement: str, field: str) -> Column:

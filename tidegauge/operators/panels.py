@@ -96,7 +96,7 @@ def buffer_pool_hit_ratio(
     """Newest share of read requests served from memory, per target."""
     rates = multi_rate(
         series, {STATUS: [BUFFER_READS, BUFFER_REQUESTS]}, [run], start, end, targets,
-        colocate=["run_id", "target_id"],
+        colocate=["run_id", "target_id"], dimensions={},
     )
     # The rates are already spread by target and slice, so this grouping does not shuffle.
     paired = rates.groupBy("run_id", "target_id", SLICE, "ts").agg(
@@ -124,7 +124,7 @@ def status_rate(
 ) -> DataFrame:
     """Rate of one status counter by time and target."""
     return (
-        multi_rate(series, {STATUS: [field]}, [run], start, end, targets)
+        multi_rate(series, {STATUS: [field]}, [run], start, end, targets, dimensions={})
         .select("ts", "target_id", F.col("rate").alias(name))
         .orderBy("ts")
     )
@@ -153,7 +153,7 @@ def labelled_rates(
 ) -> DataFrame:
     """Rates of several status counters, one legend entry per target and field."""
     return (
-        multi_rate(series, {STATUS: list(fields)}, [run], start, end, targets)
+        multi_rate(series, {STATUS: list(fields)}, [run], start, end, targets, dimensions={})
         .select("ts", _series_label(), "rate")
         .orderBy("ts")
     )
@@ -218,7 +218,7 @@ def latest_digest_rate(
 ) -> DataFrame:
     """Newest sum over all digests of a counter's rate, per target."""
     return (
-        multi_rate(series, {DIGEST: [field]}, [run], start, end, targets)
+        multi_rate(series, {DIGEST: [field]}, [run], start, end, targets, dimensions={})
         .groupBy("target_id", "ts")
         .agg(F.sum("rate").alias("rate"))
         .groupBy("target_id")
@@ -276,7 +276,7 @@ def tail_series(series, run, targets, start=None, end=None) -> DataFrame:
 def tmp_and_no_index(series, run, targets, start=None, end=None) -> DataFrame:
     fields = ["tmp_disk_tables_total", "no_index_used_total"]
     return (
-        multi_rate(series, {DIGEST: fields}, [run], start, end, targets)
+        multi_rate(series, {DIGEST: fields}, [run], start, end, targets, dimensions={})
         .groupBy("ts", "target_id", "field")
         .agg(F.sum("rate").alias("rate"))
         .select("ts", _series_label(), "rate")
@@ -290,8 +290,10 @@ def tmp_and_no_index(series, run, targets, start=None, end=None) -> DataFrame:
 def mode_iops(series, run, targets, mode: str, start=None, end=None) -> DataFrame:
     """File operations per second of one mode, by time and target."""
     return (
-        multi_rate(series, {FILE_IO: [OPERATIONS]}, [run], start, end, targets)
-        .filter(tag("mode") == mode)
+        multi_rate(
+            series, {FILE_IO: [OPERATIONS]}, [run], start, end, targets,
+            where=tag("mode") == mode, dimensions={},
+        )
         .groupBy("ts", "target_id")
         .agg(F.sum("rate").alias("iops"))
         .orderBy("ts")
@@ -308,9 +310,10 @@ def write_iops(series, run, targets, start=None, end=None) -> DataFrame:
 
 def file_throughput(series, run, targets, start=None, end=None) -> DataFrame:
     return (
-        multi_rate(series, {FILE_IO: [BYTES]}, [run], start, end, targets)
-        .withColumn("mode", tag("mode"))
-        .filter(F.col("mode").isin("read", "write"))
+        multi_rate(
+            series, {FILE_IO: [BYTES]}, [run], start, end, targets,
+            where=tag("mode").isin("read", "write"), dimensions={"mode": tag("mode")},
+        )
         .groupBy("ts", "target_id", "mode")
         .agg(F.sum("rate").alias("bytes_per_second"))
         .select("ts", label(F.col("target_id"), F.col("mode")).alias("series"), "bytes_per_second")
@@ -331,13 +334,14 @@ def file_classes(
     series, run, targets, start=None, end=None, count: int = LISTED_ROWS
 ) -> DataFrame:
     """Work and latency of each file class and mode, most waiting first."""
-    rates = multi_rate(series, {FILE_IO: [OPERATIONS, WAIT]}, [run], start, end, targets)
+    rates = multi_rate(
+        series, {FILE_IO: [OPERATIONS, WAIT]}, [run], start, end, targets,
+        dimensions={"event": tag("event"), "mode": tag("mode")},
+    )
     ops, wait = F.col("field") == OPERATIONS, F.col("field") == WAIT
     latency = F.when(F.col("operations") > 0, F.col("wait_ms") / F.col("operations"))
     return (
-        rates.groupBy(
-            "target_id", "series_key", tag("event").alias("event"), tag("mode").alias("mode")
-        )
+        rates.groupBy("target_id", "series_key", "event", "mode")
         .agg(
             F.avg(F.when(ops, F.col("rate"))).alias("iops"),
             F.sum(F.when(ops, F.col("delta"))).alias("operations"),

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidegauge.functions.timing import milli_seconds, whole_seconds
 from tidegauge.operators.ordered import SLICE, SLICE_SECONDS, latest_before, with_previous
 
-SERIES_KEYS = ("run_id", "target_id", "measurement", "field", "series_key")
+SERIES_KEYS = ("series_key", "field", "target_id", "run_id", "measurement")
 LEGACY_KEYS = ("run_id", "host", "metric")
 
 
@@ -65,25 +65,35 @@ def multi_rate(
     targets: Sequence[str] | None = None,
     slice_seconds: int = SLICE_SECONDS,
     colocate: Sequence[str] | None = None,
+    where: Column | None = None,
+    dimensions: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Rates of several counter fields and runs from one scan and one pass over the series."""
+    """Rates of several counter fields and runs from one scan and one pass over the series.
+
+    ``where`` may only test what is fixed for a series (tags, host, tier): it drops whole series
+    before the shuffle. ``dimensions`` replaces the tags, a map, by the few columns a caller
+    needs of it.
+    """
     chosen = series.filter(
         wanted_fields(fields) & F.col("run_id").isin(*runs) & between(start, end)
     )
     if targets is not None:
         chosen = chosen.filter(F.col("target_id").isin(*targets))
+    if where is not None:
+        chosen = chosen.filter(where)
+    kept = {"tags": F.col("tags")} if dimensions is None else dimensions
     chosen = chosen.select(
-        "ts", "run_id", "target_id", "host", "tier", "measurement", "field", "series_key",
-        "tags", "value",
+        "ts", *SERIES_KEYS, "host", "tier", *[c.alias(n) for n, c in kept.items()], "value"
     )
-    return _rates(with_previous(chosen, SERIES_KEYS, slice_seconds=slice_seconds, colocate=colocate))
+    paired = with_previous(chosen, SERIES_KEYS, slice_seconds=slice_seconds, colocate=colocate)
+    return _rates(paired, list(kept))
 
 
-def _rates(paired: DataFrame) -> DataFrame:
+def _rates(paired: DataFrame, kept: Sequence[str]) -> DataFrame:
     seconds = milli_seconds(F.col("ts"), F.col("prev_ts"))
     delta = F.col("value") - F.col("prev_value")
     return paired.filter((seconds > 0) & (delta >= 0)).select(
-        "ts", "run_id", "target_id", "host", "tier", "measurement", "field", "series_key", "tags",
+        "ts", "run_id", "target_id", "host", "tier", "measurement", "field", "series_key", *kept,
         delta.alias("delta"),
         seconds.alias("seconds"),
         (delta / seconds).alias("rate"),

@@ -13,8 +13,7 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tidegauge.catalog import CATALOG, STATUS_NAMES
 from tidegauge.operators.audits import CONTRACT_VERSION
@@ -256,6 +255,20 @@ def quoted(names) -> str:
     return ", ".join(f"'{n}'" for n in names)
 
 
+def _case(column: str, values: dict[str, str]) -> str:
+    whens = " ".join(f"WHEN '{k}' THEN {v}" for k, v in values.items())
+    return f"CASE {column} {whens} END"
+
+
+def _exploded(names, column: str) -> str:
+    """One row per name. Values are computed after the rows of other names are filtered out."""
+    return f"explode(array({quoted(names)})) AS {column}"
+
+
+def _numbered(count: int) -> str:
+    return f"explode(array({', '.join(str(i) for i in range(count))})) AS n"
+
+
 class Tables:
     """Frames over one folder of test tables."""
 
@@ -264,226 +277,205 @@ class Tables:
         self.folder = folder.rstrip("/")
 
     def raw(self, name: str) -> DataFrame:
-        """A given table, with its zone-less times read as UTC."""
+        """A given table, with its zone-less times read as UTC.
+
+        A table of fewer files than there are cores is spread over the cores first; a table of
+        many files is read as it lies.
+        """
         frame = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        times = [n for n, t in frame.dtypes if t == "timestamp_ntz"]
-        return frame.withColumns({n: F.col(n).cast("timestamp") for n in times})
+        cores = self.spark.sparkContext.defaultParallelism
+        if len(frame.inputFiles()) < cores:
+            frame = frame.repartition(cores)
+        if not any(t == "timestamp_ntz" for _, t in frame.dtypes):
+            return frame
+        return frame.selectExpr(*[
+            f"CAST({n} AS TIMESTAMP) AS {n}" if t == "timestamp_ntz" else n
+            for n, t in frame.dtypes
+        ])
 
     @cached_property
     def events(self) -> DataFrame:
         """Events with the derived columns all formulas use."""
-        number = F.expr("(user_id div 2) % 3")
-        base = F.col("user_id") % 2 == 0
-        return self.raw("events").select(
+        return self.raw("events").selectExpr(
             "event_id", "ts", "user_id", "event_type", "value", "props",
-            F.regexp_extract("props", "[0-9]+", 0).cast("long").alias("k"),
-            F.round(F.col("value") * 100).cast("long").alias("cents"),
-            F.pmod(F.unix_seconds("ts"), F.lit(WEEK)).alias("ws"),
-            F.when(base, "run-base").otherwise("run-cand").alias("run_id"),
-            F.concat(F.lit("target-"), number.cast("string")).alias("target_id"),
-            F.concat(F.lit("target-"), number.cast("string"), F.lit(".db")).alias("host"),
-            F.when(base, "premium-ssd-v1").otherwise("premium-ssd-v2").alias("tier"),
-            F.when(F.col("event_type") == "view", "read")
-            .when(F.col("event_type") == "click", "write").otherwise("misc").alias("mode"),
+            "CAST(regexp_extract(props, '[0-9]+', 0) AS BIGINT) AS k",
+            "CAST(round(value * 100) AS BIGINT) AS cents",
+            f"pmod(unix_seconds(ts), {WEEK}) AS ws",
+            "CASE WHEN user_id % 2 = 0 THEN 'run-base' ELSE 'run-cand' END AS run_id",
+            "concat('target-', (user_id div 2) % 3) AS target_id",
+            "concat('target-', (user_id div 2) % 3, '.db') AS host",
+            "CASE WHEN user_id % 2 = 0 THEN 'premium-ssd-v1' ELSE 'premium-ssd-v2' END AS tier",
+            "CASE event_type WHEN 'view' THEN 'read' WHEN 'click' THEN 'write' ELSE 'misc' END "
+            "AS mode",
         )
 
-    def _copies(self, measurement: str) -> DataFrame:
-        copies = SERIES[measurement][1]
-        if copies == 1:
-            return self.events.withColumn("n", F.lit(0))
-        return self.events.withColumn("n", F.explode(F.array(*[F.lit(i) for i in range(copies)])))
-
-    @staticmethod
-    def _tags(measurement: str) -> Column:
-        pairs = [c for n, text in SERIES[measurement][2].items() for c in (F.lit(n), F.expr(text))]
-        return F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>")
-
-    def _measurement(self, measurement: str) -> DataFrame:
-        formulas, _, _, key = SERIES[measurement]
-        specs = {f.name: f for f in CATALOG[measurement].fields}
-        rows = F.array(*[
-            F.struct(
-                F.lit(name).alias("field"), F.expr(text).cast("double").alias("value"),
-                F.lit(specs[name].kind).alias("kind"), F.lit(specs[name].unit).alias("unit"),
+    def measurement(self, name: str) -> DataFrame:
+        formulas, copies, tags, key = SERIES[name]
+        specs = {f.name: f for f in CATALOG[name].fields}
+        pairs = ", ".join(f"'{n}', {text}" for n, text in tags.items())
+        value = _case("field", {f: f"CAST({text} AS DOUBLE)" for f, text in formulas.items()})
+        kind = _case("field", {f: f"'{specs[f].kind}'" for f in formulas})
+        unit = _case("field", {f: f"'{specs[f].unit}'" for f in formulas})
+        return (
+            self.events.selectExpr("*", _numbered(copies))
+            .selectExpr("*", _exploded(formulas, "field"))
+            .selectExpr(
+                "ts", f"{CONTRACT_VERSION} AS contract_version", "run_id", "target_id", "host",
+                "tier", f"'{name}' AS measurement", "field", f"{value} AS value",
+                f"{kind} AS kind", f"{unit} AS unit", f"{key} AS series_key",
+                f"CAST(map({pairs}) AS map<string,string>) AS tags",
             )
-            for name, text in formulas.items()
-        ])
-        return self._copies(measurement).select(
-            "ts", F.lit(CONTRACT_VERSION).alias("contract_version"), "run_id", "target_id",
-            "host", "tier", F.lit(measurement).alias("measurement"),
-            F.expr(key).alias("series_key"), self._tags(measurement).alias("tags"),
-            F.inline(rows),
         )
 
     @cached_property
     def series(self) -> DataFrame:
         """Narrow series table. A filter on the measurement leaves only its branch to read."""
-        frames = [self._measurement(m) for m in SERIES]
-        union = frames[0]
-        for frame in frames[1:]:
-            union = union.unionByName(frame)
+        union = None
+        for name in SERIES:
+            frame = self.measurement(name)
+            union = frame if union is None else union.union(frame)
         return union
 
     @cached_property
     def points(self) -> DataFrame:
         """Packed point table without its fields."""
-        kinds = F.array(*[
-            F.struct(F.lit(m).alias("measurement"), F.lit(n).alias("n"))
-            for m, spec in SERIES.items() for n in range(spec[1])
-        ])
-        key = F.lit(None).cast("string")
-        for m, spec in SERIES.items():
-            key = F.when(F.col("measurement") == m, F.expr(spec[3])).otherwise(key)
-        return self.events.select("*", F.inline(kinds)).select(
-            "ts", F.lit(CONTRACT_VERSION).alias("contract_version"), "run_id", "target_id",
-            "host", "tier", "measurement", key.alias("series_key"),
+        kinds = [(m, n) for m, spec in SERIES.items() for n in range(spec[1])]
+        rows = ", ".join(f"named_struct('measurement', '{m}', 'n', {n})" for m, n in kinds)
+        key = _case("measurement", {m: spec[3] for m, spec in SERIES.items()})
+        return (
+            self.events.selectExpr("*", f"inline(array({rows}))")
+            .selectExpr(
+                "ts", f"{CONTRACT_VERSION} AS contract_version", "run_id", "target_id", "host",
+                "tier", "measurement", f"{key} AS series_key",
+            )
         )
 
     @cached_property
     def metrics(self) -> DataFrame:
         """Legacy metric table; error events come from hosts that have no series."""
-        rows = F.array(*[
-            F.struct(F.lit(source).alias("source"), F.lit(name).alias("metric"),
-                     F.expr(text).cast("double").alias("value"))
-            for name, (source, text) in LEGACY_FORMULAS.items()
-        ])
-        host = F.when(F.col("event_type") == "error", F.concat(F.lit("old-"), "host"))
-        return self.events.withColumn("host", host.otherwise(F.col("host"))).select(
-            "ts", "run_id", "host", "tier", F.inline(rows)
+        source = _case("metric", {m: f"'{spec[0]}'" for m, spec in LEGACY_FORMULAS.items()})
+        value = _case(
+            "metric", {m: f"CAST({spec[1]} AS DOUBLE)" for m, spec in LEGACY_FORMULAS.items()}
+        )
+        return self.events.selectExpr("*", _exploded(LEGACY_FORMULAS, "metric")).selectExpr(
+            "ts", "run_id",
+            "CASE WHEN event_type = 'error' THEN concat('old-', host) ELSE host END AS host",
+            "tier", f"{source} AS source", "metric", f"{value} AS value",
         )
 
     @cached_property
     def error_log(self) -> DataFrame:
         """Server error log rows with their context."""
-        return self.events.select(
-            F.col("ts").alias("logged"), "run_id", "target_id", "host", "tier",
-            F.lit("collector-01").alias("collector_id"),
-            F.expr("CASE k % 4 WHEN 0 THEN 'Error' WHEN 1 THEN 'Warning' WHEN 2 THEN 'System' END")
-            .alias("prio"),
-            F.concat(F.lit("MY-"), F.lpad(F.col("k").cast("string"), 6, "0")).alias("error_code"),
-            F.expr("CASE k % 5 WHEN 0 THEN 'InnoDB' WHEN 1 THEN 'Server' WHEN 2 THEN 'Repl' END")
-            .alias("subsystem"),
-            F.col("props").alias("data"),
+        return self.events.selectExpr(
+            "ts AS logged", "run_id", "target_id", "host", "tier",
+            "'collector-01' AS collector_id",
+            "CASE k % 4 WHEN 0 THEN 'Error' WHEN 1 THEN 'Warning' WHEN 2 THEN 'System' END AS prio",
+            "concat('MY-', lpad(CAST(k AS STRING), 6, '0')) AS error_code",
+            "CASE k % 5 WHEN 0 THEN 'InnoDB' WHEN 1 THEN 'Server' WHEN 2 THEN 'Repl' END "
+            "AS subsystem",
+            "props AS data",
         )
 
     @cached_property
     def log_events(self) -> DataFrame:
         """Event table."""
-        return self.error_log.select(
-            F.col("logged").alias("ts"), "run_id", "target_id", "host", "tier",
-            F.lit("error_log").alias("source"),
-            F.coalesce("prio", F.lit("")).alias("level"), "error_code",
-            F.coalesce("subsystem", F.lit("")).alias("subsystem"),
-            F.col("data").alias("message"), "collector_id",
+        return self.error_log.selectExpr(
+            "logged AS ts", "run_id", "target_id", "host", "tier", "'error_log' AS source",
+            "coalesce(prio, '') AS level", "error_code", "coalesce(subsystem, '') AS subsystem",
+            "data AS message", "collector_id",
         )
 
     @cached_property
     def cycles(self) -> DataFrame:
         """Per-cycle collector log."""
-        return self.events.select(
-            F.col("ts").alias("observed_at"), "run_id", "target_id", "host", "tier",
-            F.lit("").alias("resource_id"), F.lit("collector-01").alias("collector_id"),
-            (F.col("k") % 10 != 0).alias("reachable"),
-            F.when(F.col("k") % 7 != 0, F.col("value")).alias("duration_ms"),
+        return self.events.selectExpr(
+            "ts AS observed_at", "run_id", "target_id", "host", "tier", "'' AS resource_id",
+            "'collector-01' AS collector_id", "k % 10 <> 0 AS reachable",
+            "CASE WHEN k % 7 <> 0 THEN value END AS duration_ms",
         )
 
     @cached_property
     def _orders(self) -> DataFrame:
         # Days are squeezed to ten minutes so that neighbouring time bins are filled.
-        day = F.datediff("o_orderdate", F.lit("1995-01-01"))
-        return self.raw("orders").withColumn(
-            "time_generated",
-            F.timestamp_seconds(F.lit(1704067200) + day * 600 + F.col("o_orderkey") % 600),
+        return self.raw("orders").selectExpr(
+            "*",
+            "timestamp_seconds(1704067200 + datediff(o_orderdate, DATE '1995-01-01') * 600 "
+            "+ o_orderkey % 600) AS time_generated",
         )
 
     @cached_property
     def platform_metrics(self) -> DataFrame:
-        rows = F.array(*[
-            F.struct(
-                F.lit(name).alias("metric_name"),
-                F.expr(f"((o_custkey * 7 + {i * 13}) % 1000) / 10e0").alias("average"),
-                F.expr(f"((o_custkey * 7 + {i * 13}) % 1000 + o_orderkey % 50) / 10e0")
-                .alias("maximum"),
-                F.expr(f"CAST(floor(o_totalprice / 20000) + {i} AS DOUBLE)").alias("total"),
+        number = _case("metric_name", {m: str(i) for i, m in enumerate(PLATFORM_METRICS)})
+        return (
+            self._orders.selectExpr("*", _exploded(PLATFORM_METRICS, "metric_name"))
+            .selectExpr("*", f"{number} AS n")
+            .selectExpr(
+                "time_generated", "metric_name", "concat('server-', o_custkey % 3) AS resource",
+                "((o_custkey * 7 + n * 13) % 1000) / 10e0 AS average",
+                "((o_custkey * 7 + n * 13) % 1000 + o_orderkey % 50) / 10e0 AS maximum",
+                "CAST(floor(o_totalprice / 20000) + n AS DOUBLE) AS total",
             )
-            for i, name in enumerate(PLATFORM_METRICS)
-        ])
-        return self._orders.select(
-            "time_generated",
-            F.concat(F.lit("server-"), (F.col("o_custkey") % 3).cast("string")).alias("resource"),
-            F.inline(rows),
         )
 
     @cached_property
     def diagnostics(self) -> DataFrame:
         """Slow statements from line items, audit rows from events."""
-        slow = self.raw("lineitem").select(
-            F.col("l_shipdate").alias("time_generated"),
-            F.lit("MySqlSlowLogs").alias("category"),
-            F.concat(F.lit("server-"), (F.col("l_suppkey") % 3).cast("string")).alias("resource"),
-            F.col("l_returnflag").alias("db_s"),
-            F.concat(F.lit("client-"), (F.col("l_suppkey") % 7).cast("string")).alias("host_s"),
-            F.concat_ws("-", F.lit("stmt"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-            .alias("sql_text_s"),
-            F.col("l_extendedprice").alias("query_time_d"),
-            F.col("l_tax").alias("lock_time_d"),
-            (F.col("l_linenumber") - 1).cast("double").alias("rows_sent_d"),
-            (F.col("l_quantity") * 100).alias("rows_examined_d"),
+        slow = self.raw("lineitem").selectExpr(
+            "l_shipdate AS time_generated", "'MySqlSlowLogs' AS category",
+            "concat('server-', l_suppkey % 3) AS resource", "l_returnflag AS db_s",
+            "concat('client-', l_suppkey % 7) AS host_s",
+            "concat_ws('-', 'stmt', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS sql_text_s",
+            "l_extendedprice AS query_time_d", "l_tax AS lock_time_d",
+            "CAST(l_linenumber - 1 AS DOUBLE) AS rows_sent_d",
+            "l_quantity * 100 AS rows_examined_d",
         )
-        audit = self.events.select(
-            F.col("ts").alias("time_generated"), F.lit("MySqlAuditLogs").alias("category"),
-            F.col("target_id").alias("resource"),
-            F.concat(F.lit("10.0.0."), (F.col("user_id") % 20).cast("string")).alias("ip_s"),
-            F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("user_s"),
-            F.col("event_type").alias("db_s"),
-            F.when(F.col("event_type").isin("view", "click"), "general_log")
-            .otherwise("connection_log").alias("event_class_s"),
-            F.upper("event_type").alias("event_subclass_s"),
-            F.lit("false").alias("is_aad_auth_s"), F.col("props").alias("sql_text_s"),
-            F.when(F.col("k") % 3 == 0, 1045.0).when(F.col("k") % 3 == 1, 1044.0).otherwise(0.0)
-            .alias("error_code_d"),
+        audit = self.events.selectExpr(
+            "ts AS time_generated", "'MySqlAuditLogs' AS category", "target_id AS resource",
+            "concat('10.0.0.', user_id % 20) AS ip_s", "concat('user', user_id) AS user_s",
+            "event_type AS db_s",
+            "CASE WHEN event_type IN ('view', 'click') THEN 'general_log' "
+            "ELSE 'connection_log' END AS event_class_s",
+            "upper(event_type) AS event_subclass_s", "'false' AS is_aad_auth_s",
+            "props AS sql_text_s",
+            "CAST(CASE k % 3 WHEN 0 THEN 1045 WHEN 1 THEN 1044 ELSE 0 END AS DOUBLE) "
+            "AS error_code_d",
         )
         return slow.unionByName(audit, allowMissingColumns=True)
 
     @cached_property
     def activity(self) -> DataFrame:
-        operation = F.lit(None).cast("string")
-        for priority, name in OPERATIONS.items():
-            operation = F.when(F.col("o_orderpriority") == priority, name).otherwise(operation)
-        resource = F.concat(F.lit("target-"), (F.col("o_custkey") % 3).cast("string"))
-        return self._orders.select(
+        operation = _case("o_orderpriority", {k: f"'{v}'" for k, v in OPERATIONS.items()})
+        return self._orders.selectExpr(
             "time_generated",
-            F.when(F.col("o_custkey") % 10 == 0, "MICROSOFT.STORAGE")
-            .otherwise("MICROSOFT.DBFORMYSQL").alias("resource_provider"),
-            operation.alias("operation_name"),
-            F.when(F.col("o_orderstatus") == "F", "Success")
-            .when(F.col("o_orderstatus") == "O", "Started").otherwise("Failed")
-            .alias("activity_status"),
-            F.lit("").alias("activity_substatus"),
-            F.concat(F.lit("caller-"), (F.col("o_custkey") % 9).cast("string")).alias("caller"),
-            F.lit("10.1.0.1").alias("caller_ip"), F.lit("group-1").alias("resource_group"),
-            resource.alias("resource_id"),
-            F.concat(F.lit("corr-"), F.col("o_orderkey").cast("string")).alias("correlation_id"),
+            "CASE WHEN o_custkey % 10 = 0 THEN 'MICROSOFT.STORAGE' "
+            "ELSE 'MICROSOFT.DBFORMYSQL' END AS resource_provider",
+            f"{operation} AS operation_name",
+            "CASE o_orderstatus WHEN 'F' THEN 'Success' WHEN 'O' THEN 'Started' "
+            "ELSE 'Failed' END AS activity_status",
+            "'' AS activity_substatus", "concat('caller-', o_custkey % 9) AS caller",
+            "'10.1.0.1' AS caller_ip", "'group-1' AS resource_group",
+            "concat('target-', o_custkey % 3) AS resource_id",
+            "concat('corr-', o_orderkey) AS correlation_id",
         )
 
     @cached_property
     def oplog(self) -> DataFrame:
         """Operation log of a load run; the return flag names the repetition."""
-        return self.raw("lineitem").select(
-            F.col("l_returnflag").alias("run_id"),
-            F.when(F.col("l_linestatus") == "F", "read").otherwise("write").alias("kind"),
-            F.when(F.col("l_linenumber") < 5, "completed")
-            .when(F.col("l_linenumber") == 5, "dropped_late")
-            .when(F.col("l_linenumber") == 6, "dropped_queue").otherwise("error")
-            .alias("outcome"),
-            (F.col("l_extendedprice") / 100).alias("latency_ms"),
+        return self.raw("lineitem").selectExpr(
+            "l_returnflag AS run_id",
+            "CASE WHEN l_linestatus = 'F' THEN 'read' ELSE 'write' END AS kind",
+            "CASE WHEN l_linenumber < 5 THEN 'completed' WHEN l_linenumber = 5 "
+            "THEN 'dropped_late' WHEN l_linenumber = 6 THEN 'dropped_queue' ELSE 'error' END "
+            "AS outcome",
+            "l_extendedprice / 100 AS latency_ms",
         )
 
     def snapshot(self, name: str) -> DataFrame:
         """A server snapshot table."""
         names = f"element_at(array({quoted(STATUS_NAMES)}), CAST(c_custkey % 95 + 1 AS INT))"
-        tables = ("lineitem", "customer", "part", "orders")
-        text = SNAPSHOTS[name]
-        used = {t: self.raw(t) for t in tables if "{" + t + "}" in text}
-        sql = snapshot_sql(name, "div", names)
-        return self.spark.sql(sql, **used)
+        used = {
+            table: self.raw(table)
+            for table in ("lineitem", "customer", "part", "orders")
+            if "{" + table + "}" in SNAPSHOTS[name]
+        }
+        return self.spark.sql(snapshot_sql(name, "div", names), **used)

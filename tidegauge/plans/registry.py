@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidegauge.plans.fixture_sql import with_tables
 from tidegauge.plans.fixtures import END, START, Tables
@@ -19,12 +19,18 @@ DECIMALS = 6
 RANGE = f"ts BETWEEN TIMESTAMP '{START}' AND TIMESTAMP '{END}'"
 
 
+@lru_cache(maxsize=16)
+def tables(spark: SparkSession, folder: str) -> Tables:
+    """Frames are only plans, so one set per session and folder serves all queries."""
+    return Tables(spark, folder)
+
+
 def query(name: str, sql: str | None = None, extra: dict[str, str] | None = None):
     """Register a function of ``Tables``; double columns are rounded on both sides."""
 
     def register(build: Callable[[Tables], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return rounded(build(Tables(spark, folder)))
+            return rounded(build(tables(spark, folder)))
 
         QUERIES[name] = run
         if sql is not None:
@@ -35,8 +41,8 @@ def query(name: str, sql: str | None = None, extra: dict[str, str] | None = None
 
 
 def rounded(frame: DataFrame, decimals: int = DECIMALS) -> DataFrame:
-    return frame.select(*[
-        (F.round(c, decimals) + F.lit(0.0)).alias(c) if t == "double" else F.col(c)
+    return frame.selectExpr(*[
+        f"round(`{c}`, {decimals}) + 0e0 AS `{c}`" if t == "double" else f"`{c}`"
         for c, t in frame.dtypes
     ])
 
