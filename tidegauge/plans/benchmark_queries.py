@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidegauge.functions.scalars import relative_difference
 from tidegauge.operators import benchmark as b
 from tidegauge.plans.fixtures import BASELINE, CANDIDATE, END, START
-from tidegauge.plans.registry import RANGE, query, r, rate_tables
+from tidegauge.plans.registry import RANGE, half_up, query, r, rate_tables
 
 RUNS = [BASELINE.run_id, CANDIDATE.run_id]
 PAIR = (
@@ -56,10 +56,10 @@ TABLES = {
         f"SELECT * FROM {t}"
         for t in ("qps", "iops", "throughput", "latency", "query_tail", "query_errors", "redo")
     ),
-    "summary": """
-        SELECT metric, run_id, target_id, host, tier, round(avg(value), 3) AS avg,
-               round(quantile_cont(value, 0.95), 3) AS p95, round(max(value), 3) AS max,
-               count(*) AS samples
+    "summary": f"""
+        SELECT metric, run_id, target_id, host, tier, {half_up('avg(value)', 3)} AS avg,
+               {half_up('quantile_cont(value, 0.95)', 3)} AS p95,
+               {half_up('max(value)', 3)} AS max, count(*) AS samples
         FROM samples GROUP BY metric, run_id, target_id, host, tier
     """,
     "inventory": f"""
@@ -184,7 +184,7 @@ def _pair_summary(t):
     FROM (SELECT *, CASE better_direction WHEN 'Higher' THEN percent_change
                          ELSE -percent_change END AS directional_score
           FROM (SELECT metric, baseline, candidate,
-                       round(100e0 * (candidate - baseline) / baseline, 1) AS percent_change,
+                       {half_up('100e0 * (candidate - baseline) / baseline', 1)} AS percent_change,
                        CASE WHEN metric IN ({_HIGHER}) THEN 'Higher' ELSE 'Lower' END
                            AS better_direction
                 FROM sides WHERE baseline > 0))

@@ -115,8 +115,8 @@ def _ctes() -> dict[str, str]:
                    u.total AS total
             FROM (SELECT *, unnest([{_rows(
                 {"metric_name": f"'{m}'",
-                 "average": f"((o_custkey * 7 + {i * 13}) % 1000) / 10e0",
-                 "maximum": f"((o_custkey * 7 + {i * 13}) % 1000 + o_orderkey % 50) / 10e0",
+                 "average": f"((o_custkey * 7 + {i * 13}) % 1000) / 8e0",
+                 "maximum": f"((o_custkey * 7 + {i * 13}) % 1000 + o_orderkey % 50) / 8e0",
                  "total": f"CAST(floor(o_totalprice / 20000) + {i} AS DOUBLE)"}
                 for i, m in enumerate(PLATFORM_METRICS))}]) AS u FROM squeezed_orders)
         """,

@@ -57,8 +57,8 @@ DIGEST_FORMULAS = {
     "errors_total": "floor(ws / 120) + k % 2",
     "tmp_disk_tables_total": "floor(ws / 240) + k % 3",
     "no_index_used_total": "floor(ws / 200) + k % 4",
-    "latency_p95_ms": "value + n",
-    "latency_p99_ms": "value * 1.5e0 + n",
+    "latency_p95_ms": "value / 7e0 + n",
+    "latency_p99_ms": "value / 3e0 + n",
 }
 HEALTH_FORMULAS = {
     "heartbeat": "1",
@@ -411,8 +411,8 @@ class Tables:
             .selectExpr("*", f"{number} AS n")
             .selectExpr(
                 "time_generated", "metric_name", "concat('server-', o_custkey % 3) AS resource",
-                "((o_custkey * 7 + n * 13) % 1000) / 10e0 AS average",
-                "((o_custkey * 7 + n * 13) % 1000 + o_orderkey % 50) / 10e0 AS maximum",
+                "((o_custkey * 7 + n * 13) % 1000) / 8e0 AS average",
+                "((o_custkey * 7 + n * 13) % 1000 + o_orderkey % 50) / 8e0 AS maximum",
                 "CAST(floor(o_totalprice / 20000) + n AS DOUBLE) AS total",
             )
         )

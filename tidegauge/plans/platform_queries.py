@@ -8,7 +8,7 @@ from tidegauge.functions.timing import utc_iso
 from tidegauge.operators import alerts, audits
 from tidegauge.operators import platform as p
 from tidegauge.plans.fixtures import AS_OF, LOOKBACK, START
-from tidegauge.plans.registry import query, r
+from tidegauge.plans.registry import half_up, query, r
 
 NOW = f"TIMESTAMP '{AS_OF}'"
 
@@ -113,7 +113,7 @@ def _platform_hit_ratio(t):
 @query(
     "cpu_memory",
     _bins(p.CPU_MEMORY_METRICS,
-          "round(avg(average), 2) AS avg, round(max(maximum), 2) AS max"),
+          f"{half_up('avg(average)', 2)} AS avg, {half_up('max(maximum)', 2)} AS max"),
 )
 def _cpu_memory(t):
     return p.cpu_memory(t.platform_metrics, AS_OF, LOOKBACK)
@@ -122,8 +122,9 @@ def _cpu_memory(t):
 @query(
     "saturation",
     f"""
-    SELECT metric_name, resource, round(avg(average), 1) AS avg,
-           round(quantile_cont(maximum, 0.95), 1) AS p95, round(max(maximum), 1) AS peak
+    SELECT metric_name, resource, {half_up('avg(average)', 1)} AS avg,
+           {half_up('quantile_cont(maximum, 0.95)', 1)} AS p95,
+           {half_up('max(maximum)', 1)} AS peak
     FROM platform_metrics WHERE metric_name IN
          ({", ".join(f"'{m}'" for m in p.SATURATION_METRICS)}) GROUP BY ALL
     """,

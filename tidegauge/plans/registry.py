@@ -52,6 +52,11 @@ def r(expression: str, name: str) -> str:
     return f"round({expression}, {DECIMALS}) + 0e0 AS {name}"
 
 
+def half_up(expression: str, decimals: int) -> str:
+    """Decimal rounding of the checking SQL, as Spark rounds a double."""
+    return f"CAST(round(CAST({expression} AS DECIMAL(28, 12)), {decimals}) AS DOUBLE)"
+
+
 def rate_tables(where: str, source: str = "series") -> dict[str, str]:
     """Table expressions ``paired`` (sample with its previous one) and ``rates``."""
     return {
