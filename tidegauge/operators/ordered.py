@@ -89,13 +89,13 @@ def latest_before(
     )
     slices = rows_in.select(*keys, SLICE).distinct()
     before = W.partitionBy(*keys).orderBy(SLICE).rowsBetween(W.unboundedPreceding, -1)
+    # A mark travels as one struct, so that a null in its payload stays its own.
+    tail = F.when(F.col("mark_ts").isNotNull(), F.struct(*info))
     carried = (
         slices.join(tails, [*keys, SLICE], "full_outer")
-        .select(
-            *keys, SLICE,
-            *[F.last(name, ignorenulls=True).over(before).alias(name) for name in info],
-        )
-        .filter(F.col("mark_ts").isNotNull())
+        .select(*keys, SLICE, F.last(tail, ignorenulls=True).over(before).alias("_mark"))
+        .filter(F.col("_mark").isNotNull())
+        .select(*keys, SLICE, "_mark.*")
         .withColumn(ts, F.col("mark_ts"))
     )
     both = (
@@ -108,17 +108,9 @@ def latest_before(
         .orderBy(ts, "_row")
         .rowsBetween(W.unboundedPreceding, W.currentRow)
     )
-    matched = both
-    for name in reversed(info):
-        # A null payload must not let an older mark shine through, so it travels in a struct.
-        matched = matched.withColumn(
-            f"_{name}",
-            F.last(F.when(~F.col("_row"), F.struct(name)), ignorenulls=True).over(upto),
-        )
+    mark = F.when(~F.col("_row"), F.struct(*info))
     return (
-        matched.filter("_row")
-        .select(
-            *[c for c in rows.columns],
-            *[F.col(f"_{name}")[name].alias(name) for name in info],
-        )
+        both.withColumn("_mark", F.last(mark, ignorenulls=True).over(upto))
+        .filter("_row")
+        .select(*rows.columns, *[F.col("_mark")[name].alias(name) for name in info])
     )
