@@ -24,11 +24,6 @@ def whole_seconds(later: Column, earlier: Column) -> Column:
     return F.unix_seconds(later) - F.unix_seconds(earlier)
 
 
-def milli_seconds(later: Column, earlier: Column) -> Column:
-    """Seconds as a double, counted in crossed millisecond borders."""
-    return (F.unix_millis(later) - F.unix_millis(earlier)) / F.lit(1000.0)
-
-
 def has_utc_offset(text: Column) -> Column:
     """Whether timestamp text names its offset (Z or +hh:mm); text without one is naive."""
     return text.rlike(r"(Z|z|[+-]\d{2}:?\d{2})$")

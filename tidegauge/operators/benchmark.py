@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions.scalars import relative_difference
 from tidegauge.functions.tags import label, tag
+from tidegauge.functions.text import literal
 from tidegauge.functions.timing import whole_seconds
 from tidegauge.operators.distribution import distribution
 from tidegauge.operators.ordered import SLICE, SLICE_SECONDS
@@ -126,10 +127,6 @@ def weighted_latency(paired: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def _by_mode(read: str, write: str) -> Column:
-    return F.when(F.col("mode") == "read", F.lit(read)).otherwise(F.lit(write))
-
-
 def benchmark_samples(
     series: DataFrame, runs: Sequence[str], start=None, end=None,
     groups: Sequence[str] = tuple(METRIC_FIELDS), slice_seconds: int = SLICE_SECONDS,
@@ -167,50 +164,46 @@ def _counter_samples(series, runs, start, end, groups, fields, slice_seconds) ->
         dimensions={"mode": tag("mode")},
     )
 
-    def rate_of(measurement: str, field: str) -> Column:
-        chosen = (F.col("measurement") == measurement) & (F.col("field") == field)
-        return F.max(F.when(chosen, F.col("rate")))
-
+    chosen = {
+        "queries": (STATUS, "Queries"), "log_waits": (STATUS, "Innodb_log_waits"),
+        "ops": (FILE_IO, OPERATIONS), "bytes": (FILE_IO, BYTES), "wait": (FILE_IO, WAIT),
+        "errors": (DIGEST, ERRORS),
+    }
     per_series = rates.groupBy(
         "run_id", "target_id", "series_key", SLICE, "ts", "host", "tier", "mode"
-    ).agg(
-        rate_of(STATUS, "Queries").alias("queries"),
-        rate_of(STATUS, "Innodb_log_waits").alias("log_waits"),
-        rate_of(FILE_IO, OPERATIONS).alias("ops"),
-        rate_of(FILE_IO, BYTES).alias("bytes"),
-        rate_of(FILE_IO, WAIT).alias("wait"),
-        rate_of(DIGEST, ERRORS).alias("errors"),
-    )
-    both = F.col("ops").isNotNull() & F.col("wait").isNotNull()
+    ).agg(*[
+        F.expr(
+            f"max(rate) FILTER (WHERE measurement = {literal(m)} AND field = {literal(field)})"
+        ).alias(name)
+        for name, (m, field) in chosen.items()
+    ])
+    both = "FILTER (WHERE ops IS NOT NULL AND wait IS NOT NULL)"
     summed = per_series.groupBy(*SAMPLE_KEYS, "mode").agg(
-        F.sum("queries").alias("queries"),
-        F.sum("log_waits").alias("log_waits"),
-        F.sum("ops").alias("ops"),
-        F.sum("bytes").alias("bytes"),
-        F.sum("errors").alias("errors"),
-        F.sum(F.when(both, F.col("ops"))).alias("paired_ops"),
-        F.sum(F.when(both, F.col("wait"))).alias("paired_wait"),
-    )
-    latency = F.when(F.col("paired_ops") > 0, F.col("paired_wait") / F.col("paired_ops"))
+        *[F.expr(f"sum({n})").alias(n) for n in ("queries", "log_waits", "ops", "bytes", "errors")],
+        F.expr(f"sum(ops) {both}").alias("paired_ops"),
+        F.expr(f"sum(wait) {both}").alias("paired_wait"),
+    )
+
+    def by_mode(read: str, write: str) -> str:
+        return f"if(mode = 'read', {literal(read)}, {literal(write)})"
+
     offered = {
-        "qps": (F.lit(QPS), F.col("queries")),
-        "iops": (_by_mode(READ_IOPS, WRITE_IOPS), F.col("ops")),
-        "throughput": (
-            _by_mode(READ_THROUGHPUT, WRITE_THROUGHPUT), F.col("bytes") / 1024.0 / 1024.0,
+        "qps": (literal(QPS), "queries"),
+        "iops": (by_mode(READ_IOPS, WRITE_IOPS), "ops"),
+        "throughput": (by_mode(READ_THROUGHPUT, WRITE_THROUGHPUT), "bytes / 1024D / 1024D"),
+        "latency": (
+            by_mode(READ_LATENCY, WRITE_LATENCY),
+            "CASE WHEN paired_ops > 0 THEN paired_wait / paired_ops END",
         ),
-        "latency": (_by_mode(READ_LATENCY, WRITE_LATENCY), latency),
-        "query_errors": (F.lit(QUERY_ERRORS), F.col("errors")),
-        "redo_waits": (F.lit(REDO_WAITS), F.col("log_waits")),
+        "query_errors": (literal(QUERY_ERRORS), "errors"),
+        "redo_waits": (literal(REDO_WAITS), "log_waits"),
     }
-    rows = [
-        F.struct(metric.alias("metric"), value.alias("value"))
+    rows = ", ".join(
+        f"named_struct('metric', {metric}, 'value', {value})"
         for group, (metric, value) in offered.items()
         if group in groups
-    ]
-    return (
-        summed.select(*SAMPLE_KEYS, F.inline(F.array(*rows)))
-        .filter(F.col("value").isNotNull())
     )
+    return summed.selectExpr(*SAMPLE_KEYS, f"inline(array({rows}))").filter("value IS NOT NULL")
 
 
 def _tail_samples(series, runs, start, end) -> DataFrame:

@@ -9,25 +9,24 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidegauge.functions.text import columns
+
 #: Buckets per factor e; each spans about 0.1 % of its value. Doubles span 2 x 710 powers of e,
 #: which bounds the histogram of a group whatever its number of rows.
 BUCKETS_PER_E = 1024
 _ZERO = 720 * BUCKETS_PER_E
+_SCALE = f"least(floor(ln(abs(_v)) * {BUCKETS_PER_E}) + {_ZERO}, {3 * _ZERO})"
+_BUCKET = (
+    f"CASE WHEN isnan(_v) THEN {4 * _ZERO} WHEN _v > 0 THEN {_SCALE} WHEN _v < 0 THEN -{_SCALE} "
+    "WHEN _v = 0 THEN 0 END"
+)
 
 
-def _bucket(value: Column) -> Column:
-    scale = F.floor(F.log(F.abs(value)) * F.lit(BUCKETS_PER_E)) + F.lit(_ZERO)
-    return (
-        F.when(F.isnan(value), F.lit(4 * _ZERO))
-        .when(value > 0, F.least(scale, F.lit(3 * _ZERO)))
-        .when(value < 0, -F.least(scale, F.lit(3 * _ZERO)))
-        .otherwise(F.lit(0))
-        .cast("long")
-    )
+def _covers(rank: str, start: str) -> str:
+    return f"({rank} >= {start} AND {rank} < {start} + _n)"
 
 
 def distribution(
@@ -44,85 +43,57 @@ def distribution(
     """
     names = {n: n for n in ("avg", "min", "max", "samples")} if names is None else names
     keys = list(keys)
+    by = columns(keys) or "1"
 
+    # Both users of `counted` read all its columns, so Spark shuffles the rows once.
     counted = (
-        rows.groupBy(*keys, F.col(value).cast("double").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_bucket", F.when(F.col("_v").isNotNull(), _bucket(F.col("_v"))))
+        rows.groupBy(*keys, F.expr(f"CAST(`{value}` AS DOUBLE)").alias("_v"))
+        .agg(F.expr("count(1)").alias("_n"))
+        .withColumn("_bucket", F.expr(f"CAST({_BUCKET} AS BIGINT)"))
     )
-    # Both users of `counted` read all its columns, so Spark shuffles the rows once.
     histogram = counted.groupBy(*keys, "_bucket").agg(
-        F.sum("_n").alias("_n"),
-        F.sum(F.col("_v") * F.col("_n")).alias("_sum"),
-        F.min("_v").alias("_min"),
-        F.max("_v").alias("_max"),
-    )
-    group = W.partitionBy(*keys)
-    present = F.when(F.col("_bucket").isNotNull(), F.col("_n"))
-    before = group.orderBy(F.col("_bucket").asc_nulls_first()).rowsBetween(
-        W.unboundedPreceding, -1
+        F.expr("sum(_n)").alias("_n"), F.expr("sum(_v * _n)").alias("_sum"),
+        F.expr("min(_v)").alias("_min"), F.expr("max(_v)").alias("_max"),
     )
-    placed = (
-        histogram.withColumn("_before", F.coalesce(F.sum(present).over(before), F.lit(0)))
-        .withColumn("_valid", F.coalesce(F.sum(present).over(group), F.lit(0)))
-        .withColumn("_rows", F.sum("_n").over(group))
-        .withColumn("_avg", F.sum("_sum").over(group) / F.col("_valid"))
-        .withColumn("_low", F.min("_min").over(group))
-        .withColumn("_high", F.max("_max").over(group))
+    present = "CASE WHEN _bucket IS NOT NULL THEN _n END"
+    group = f"OVER (PARTITION BY {by})"
+    placed = histogram.selectExpr(
+        *[f"`{k}` AS _k{i}" for i, k in enumerate(keys)], "_bucket AS _kb", "_n",
+        f"coalesce(sum({present}) OVER (PARTITION BY {by} ORDER BY _bucket NULLS FIRST "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _before",
+        f"coalesce(sum({present}) {group}, 0) AS _valid", f"sum(_n) {group} AS _rows",
+        f"sum(_sum) {group} AS _total", f"min(_min) {group} AS _low", f"max(_max) {group} AS _high",
     )
-
-    ranks = {name: F.lit(p) * (F.col("_valid") - 1) for name, p in percentiles.items()}
-
-    def covers(rank: Column, start: Column, count: Column) -> Column:
-        return (rank >= start) & (rank < start + count)
-
-    wanted = F.lit(False)
-    for rank in ranks.values():
-        wanted = (
-            wanted
-            | covers(F.floor(rank), F.col("_before"), F.col("_n"))
-            | covers(F.ceil(rank), F.col("_before"), F.col("_n"))
-        )
+    ranks = {name: f"({p}D * (_valid - 1))" for name, p in percentiles.items()}
+    ends = [f"{side}({rank})" for rank in ranks.values() for side in ("floor", "ceil")]
     # A group of nulls alone has no bucket with a rank; its one null bucket row stands for it.
-    wanted = (wanted & F.col("_bucket").isNotNull()) | (F.col("_valid") == 0)
-    target = placed.filter(wanted).select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-        F.col("_bucket").alias("_kb"),
-        "_before", "_valid", "_rows", "_avg", "_low", "_high",
-    )
-    on = F.col("_bucket").eqNullSafe(F.col("_kb"))
-    for i, key in enumerate(keys):
-        on = on & F.col(key).eqNullSafe(F.col(f"_k{i}"))
-    inside = (
-        W.partitionBy(*keys, "_bucket")
-        .orderBy("_v")
-        .rowsBetween(W.unboundedPreceding, W.currentRow)
+    wanted = " OR ".join(
+        ["_valid = 0"] + [f"(_kb IS NOT NULL AND {_covers(end, '_before')})" for end in ends]
     )
-    picked = (
-        counted.join(target, on)
-        .withColumn("_start", F.col("_before") + F.sum("_n").over(inside) - F.col("_n"))
+    target = placed.filter(wanted).drop("_n")
+    same = " AND ".join(["_bucket <=> _kb"] + [f"`{k}` <=> _k{i}" for i, k in enumerate(keys)])
+    picked = counted.join(target, F.expr(same)).withColumn(
+        "_start",
+        F.expr(f"_before - _n + sum(_n) OVER (PARTITION BY {by}, _bucket ORDER BY _v "
+               "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"),
     )
 
-    def at(rank: Column) -> Column:
-        return F.max(F.when(covers(rank, F.col("_start"), F.col("_n")), F.col("_v")))
+    def at(name: str, side: str) -> str:
+        return f"max(CASE WHEN {_covers(f'{side}({ranks[name]})', '_start')} THEN _v END)"
 
-    carried = [F.max(c).alias(c) for c in ("_valid", "_rows", "_avg", "_low", "_high")]
-    ends = []
-    for name, rank in ranks.items():
-        ends += [at(F.floor(rank)).alias(f"_{name}_lo"), at(F.ceil(rank)).alias(f"_{name}_hi")]
-    final = picked.groupBy(*keys).agg(*carried, *ends)
-
-    def interpolated(name: str) -> Column:
-        low, high, rank = F.col(f"_{name}_lo"), F.col(f"_{name}_hi"), ranks[name]
-        return (
-            F.when(low == high, low)
-            .otherwise(low + (high - low) * (rank - F.floor(rank)))
-            .alias(name)
-        )
-
-    sources = {"avg": "_avg", "min": "_low", "max": "_high", "samples": "_rows"}
-    return final.select(
-        *keys,
-        *[F.col(sources[n]).alias(out) for n, out in names.items()],
-        *[interpolated(n) for n in percentiles],
+    final = picked.groupBy(*keys).agg(
+        *[F.expr(f"max({c})").alias(c) for c in ("_valid", "_rows", "_total", "_low", "_high")],
+        *[F.expr(at(n, "floor")).alias(f"_{n}_lo") for n in ranks],
+        *[F.expr(at(n, "ceil")).alias(f"_{n}_hi") for n in ranks],
+    )
+    sources = {"avg": "_total / nullif(_valid, 0)", "min": "_low", "max": "_high", "samples": "_rows"}
+    return final.selectExpr(
+        *[f"`{k}`" for k in keys],
+        *[f"{sources[n]} AS `{out}`"
+          for n, out in names.items()],
+        *[
+            f"CASE WHEN _{n}_lo = _{n}_hi THEN _{n}_lo ELSE _{n}_lo + (_{n}_hi - _{n}_lo) * "
+            f"({rank} - floor({rank})) END AS `{n}`"
+            for n, rank in ranks.items()
+        ],
     )

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidegauge.functions.text import columns
+
 #: Width of a time slice. 90 days have 2,160 slices, which bounds the carried rows per series.
 SLICE_SECONDS = 3600
 
@@ -22,8 +24,8 @@ SLICE = "_slice"
 _CARRIED = "_carried"
 
 
-def slice_of(ts: Column, seconds: int) -> Column:
-    return F.floor(F.unix_seconds(ts) / F.lit(seconds))
+def slice_of(ts: str, seconds: int) -> Column:
+    return F.expr(f"floor(unix_seconds({ts}) / {seconds})")
 
 
 def with_previous(
@@ -41,27 +43,26 @@ def with_previous(
     shuffle of its own. Of different values at one instant the largest counts as the last one
     inside a slice; across a slice border any of them may.
     """
-    sliced = rows.withColumn(SLICE, slice_of(F.col(ts), slice_seconds))
+    sliced = rows.withColumn(SLICE, slice_of(ts, slice_seconds))
     tails = sliced.groupBy(*keys, SLICE).agg(
         F.max_by(value, ts).alias(value), F.max(ts).alias(ts)
     )
-    later = W.partitionBy(*keys).orderBy(SLICE)
-    carried = (
-        tails.withColumn(SLICE, F.lead(SLICE).over(later))
-        .filter(F.col(SLICE).isNotNull())
-        .withColumn(_CARRIED, F.lit(True))
-    )
+    by = columns(keys)
+    carried = tails.selectExpr(
+        *keys, value, ts,
+        f"lead({SLICE}) OVER (PARTITION BY {by} ORDER BY {SLICE}) AS {SLICE}",
+        f"true AS {_CARRIED}",
+    ).filter(f"{SLICE} IS NOT NULL")
     both = sliced.withColumn(_CARRIED, F.lit(False)).unionByName(
         carried, allowMissingColumns=True
     )
     if colocate:
         both = both.repartition(*colocate, SLICE)
     # The slice leads the sort: a number that tells most rows apart without comparing text.
-    order = W.partitionBy(SLICE, *keys).orderBy(ts, value)
+    order = f"OVER (PARTITION BY {SLICE}, {by} ORDER BY {ts}, {value})"
     return (
-        both.withColumn("prev_ts", F.lag(ts).over(order))
-        .withColumn("prev_value", F.lag(value).over(order))
-        .filter(~F.col(_CARRIED))
+        both.selectExpr("*", f"lag({ts}) {order} AS prev_ts", f"lag({value}) {order} AS prev_value")
+        .filter(f"NOT {_CARRIED}")
         .drop(_CARRIED)
     )
 
@@ -79,10 +80,10 @@ def latest_before(
     Rows without an earlier mark keep nulls. Both inputs have the keys and ``ts``.
     """
     info = ["mark_ts", *payload]
-    rows_in = rows.withColumn(SLICE, slice_of(F.col(ts), slice_seconds))
+    rows_in = rows.withColumn(SLICE, slice_of(ts, slice_seconds))
     marks_in = marks.select(
         *keys, ts, *payload, F.col(ts).alias("mark_ts"),
-        slice_of(F.col(ts), slice_seconds).alias(SLICE),
+        slice_of(ts, slice_seconds).alias(SLICE),
     )
     tails = marks_in.groupBy(*keys, SLICE).agg(
         *[F.max_by(name, ts).alias(name) for name in info], F.max(ts).alias(ts)

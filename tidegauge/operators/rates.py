@@ -12,7 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.functions.timing import milli_seconds, whole_seconds
+from tidegauge.functions.text import listed, literal
+from tidegauge.functions.timing import whole_seconds
 from tidegauge.operators.ordered import SLICE, SLICE_SECONDS, latest_before, with_previous
 
 SERIES_KEYS = ("series_key", "field", "target_id", "run_id", "measurement")
@@ -21,22 +22,20 @@ LEGACY_KEYS = ("run_id", "host", "metric")
 
 def between(start=None, end=None, ts: str = "ts") -> Column:
     """Inclusive time range; a bound of None is open. Bounds are datetimes or timestamp text."""
-    condition = F.lit(True)
-    if start is not None:
-        condition = condition & (F.col(ts) >= F.lit(start).cast("timestamp"))
-    if end is not None:
-        condition = condition & (F.col(ts) <= F.lit(end).cast("timestamp"))
-    return condition
+    tests = [
+        f"{ts} {sign} CAST({literal(bound)} AS TIMESTAMP)"
+        for sign, bound in ((">=", start), ("<=", end))
+        if bound is not None
+    ]
+    return F.expr(" AND ".join(tests) or "true")
 
 
 def wanted_fields(fields: Mapping[str, Sequence[str]]) -> Column:
     """Rows of the given fields, keyed by measurement."""
-    condition = F.lit(False)
-    for measurement, names in fields.items():
-        condition = condition | (
-            (F.col("measurement") == measurement) & F.col("field").isin(*names)
-        )
-    return condition
+    return F.expr(" OR ".join(
+        f"(measurement = {literal(measurement)} AND field IN ({listed(names)}))"
+        for measurement, names in fields.items()
+    ))
 
 
 def counter_rate(
@@ -90,14 +89,11 @@ def multi_rate(
 
 
 def _rates(paired: DataFrame, kept: Sequence[str]) -> DataFrame:
-    seconds = milli_seconds(F.col("ts"), F.col("prev_ts"))
-    delta = F.col("value") - F.col("prev_value")
-    return paired.filter((seconds > 0) & (delta >= 0)).select(
+    seconds = "((unix_millis(ts) - unix_millis(prev_ts)) / 1000D)"
+    delta = "(value - prev_value)"
+    return paired.filter(f"{seconds} > 0 AND {delta} >= 0").selectExpr(
         "ts", "run_id", "target_id", "host", "tier", "measurement", "field", "series_key", *kept,
-        delta.alias("delta"),
-        seconds.alias("seconds"),
-        (delta / seconds).alias("rate"),
-        SLICE,
+        f"{delta} AS delta", f"{seconds} AS seconds", f"{delta} / {seconds} AS rate", SLICE,
     )
 
 

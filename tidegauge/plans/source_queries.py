@@ -228,15 +228,28 @@ def _write_segments(t) -> str:
     return path + "/*"
 
 
-_BAD = "(7, 17, 27)"
+#: The segments the fixture breaks, told from the events in them.
+_FAULTS = {
+    "faults": """
+        SELECT event_id % 40 AS segment, 'segment has a line that is no row' AS problem FROM ev
+        WHERE event_id % 40 IN (17, 27) AND k % 9 = 0 GROUP BY ALL
+        UNION ALL
+        SELECT 7, 'segment mixes tables or mappings' FROM ev WHERE event_id % 40 = 7
+        HAVING count(DISTINCT k % 2) = 2
+    """
+}
+_GOOD = "event_id % 40 NOT IN (SELECT segment FROM faults)"
 
 
 @query(
     "replay_segments",
-    f"SELECT 'metrics' AS \"table\", target_id, sum(n) AS rows, {r('sum(v)', 'total')} FROM ("
-    "SELECT target_id, CASE WHEN event_id % 40 = 1 THEN 2 ELSE 1 END AS n, "
-    "value * CASE WHEN event_id % 40 = 1 THEN 2 ELSE 1 END AS v FROM ev "
-    f"WHERE event_id % 40 NOT IN {_BAD}) GROUP BY target_id".replace("sum(n)", "CAST(sum(n) AS BIGINT)"),
+    f"""
+    SELECT CASE WHEN event_id % 40 = 7 AND k % 2 = 0 THEN 'events' ELSE 'metrics' END AS "table",
+           target_id, CAST(sum(n) AS BIGINT) AS rows, {r('sum(value * n)', 'total')}
+    FROM (SELECT *, CASE WHEN event_id % 40 = 1 THEN 2 ELSE 1 END AS n FROM ev WHERE {_GOOD})
+    GROUP BY ALL
+    """,
+    _FAULTS,
 )
 def _replay_segments(t):
     rows, _ = segments.read_segments(t.spark, _write_segments(t))
@@ -248,11 +261,8 @@ def _replay_segments(t):
 
 @query(
     "quarantined_segments",
-    """
-    SELECT * FROM (VALUES ('segment has a line that is no row', CAST(2 AS BIGINT)),
-                          ('segment mixes tables or mappings', CAST(1 AS BIGINT)))
-             v(problem, files)
-    """,
+    "SELECT problem, count(*) AS files FROM faults GROUP BY problem",
+    _FAULTS,
 )
 def _quarantined_segments(t):
     _, bad = segments.read_segments(t.spark, _write_segments(t))
@@ -263,8 +273,9 @@ def _quarantined_segments(t):
     "idempotent_load",
     f"""
     SELECT target_id, count(*) AS rows, {r('sum(value)', 'total')} FROM ev
-    WHERE event_id % 40 NOT IN {_BAD} GROUP BY target_id
+    WHERE {_GOOD} GROUP BY target_id
     """,
+    _FAULTS,
 )
 def _idempotent_load(t):
     """The same folder is loaded twice and holds a copy of a segment; each row counts once."""
