@@ -284,7 +284,7 @@ class Tables:
         """
         frame = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         cores = self.spark.sparkContext.defaultParallelism
-        if len(frame.inputFiles()) < cores:
+        if len(frame._jdf.inputFiles()) < cores:  # the count alone, not the names
             frame = frame.repartition(cores)
         if not any(t == "timestamp_ntz" for _, t in frame.dtypes):
             return frame

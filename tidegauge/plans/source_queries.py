@@ -176,6 +176,31 @@ def _scan_platform(t):
     return platform.read_platform(t.spark, "metrics", path)
 
 
+@query(
+    "scan_diagnostics",
+    f"""
+    SELECT 'MySqlSlowLogs' AS category, time_generated, resource, db_s, sql_text_s,
+           {r('query_time_d', 'query_time_d')}, CAST(NULL AS VARCHAR) AS user_s FROM slow_log
+    UNION ALL
+    SELECT 'MySqlAuditLogs', time_generated, resource, db_s, sql_text_s, CAST(NULL AS DOUBLE),
+           user_s FROM audit_log
+    """,
+)
+def _scan_diagnostics(t):
+    path = scratch_folder(t.spark, "diagnostics")
+    platform.write_platform(t.diagnostics, "diagnostics", path)
+    return platform.read_platform(t.spark, "diagnostics", path).select(
+        "category", "time_generated", "resource", "db_s", "sql_text_s", "query_time_d", "user_s"
+    )
+
+
+@query("scan_activity", "SELECT * FROM activity")
+def _scan_activity(t):
+    path = scratch_folder(t.spark, "activity")
+    platform.write_platform(t.activity, "activity", path, "json")
+    return platform.read_platform(t.spark, "activity", path, "json")
+
+
 @query(
     "incremental_error_log",
     """

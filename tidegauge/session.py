@@ -46,10 +46,12 @@ def prepare(spark: SparkSession) -> SparkSession:
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A new folder below the shared checkpoint folder of the cluster.
 
-    Only a session that names no such folder (a test on one machine) gets a local one.
+    Only a local session that names no such folder (a test) gets one of this machine.
     """
     base = spark.conf.get(CHECKPOINT_SETTING, None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
         base = tempfile.mkdtemp(prefix="tidegauge-")
         spark.conf.set(CHECKPOINT_SETTING, base)
     return f"{base.rstrip('/')}/tidegauge/{label}-{uuid.uuid4().hex}"
