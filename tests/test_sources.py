@@ -57,15 +57,19 @@ def test_content_is_loaded_once(spark, tmp_path):
 
 
 @pytest.mark.parametrize("written", [True, False])
-def test_load_after_a_crash_between_its_writes(spark, tmp_path, written):
-    """The ledger says begun; the rows may or may not have been written."""
+@pytest.mark.parametrize("name", ["a.jsonl", "renamed.jsonl"])
+def test_load_after_a_crash_between_its_writes(spark, tmp_path, written, name):
+    """The ledger says begun; the rows may or may not have been written, the file renamed."""
     segment(tmp_path / "in", "a.jsonl", line(1), line(2))
     tag = segments.segment_tags(spark, str(tmp_path / "in")).first()
-    begun = spark.createDataFrame([(tag["tag"], tag["file"], "begun")], segments.LEDGER)
+    begun = spark.createDataFrame(
+        [(tag["tag"], tag["file"], "begun", "earlier")], segments.LEDGER
+    )
     begun.write.parquet(str(tmp_path / "ledger"))
     if written:
         rows, _ = segments.read_segments(spark, str(tmp_path / "in"))
         rows.join(begun.select("tag", "file"), "file").write.parquet(str(tmp_path / "rows"))
+    (tmp_path / "in" / "a.jsonl").rename(tmp_path / "in" / name)
     assert load(spark, tmp_path) == [1, 2]
     assert load(spark, tmp_path) == [1, 2]
 
