@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import hilbert_shards, mixing
+from tidegauge.llm import hilbert_shards, license_scan, line_dedup, mixing, packing, warc
 from tidegauge.llm.common import table, text_bytes, word_count
+from tidegauge.session import scratch_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -54,3 +55,26 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
         "doc.doc_id", "size", F.expr("shares[0].source_size").alias("source_size"),
         F.expr("shares[0].target").alias("target"), "taken",
     )
+
+
+@query("op1_license_scan")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scan(table(spark, folder, "documents"))
+
+
+@query("op2_pack_sequences")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), *packing.public_vocabulary())
+
+
+@query("op4_line_dedup")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs).select("doc_id", "text", "line_dedup.*")
+
+
+@query("op7_warc_pages")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    archives = scratch_folder(spark, "warc")
+    warc.write_pages(table(spark, folder, "pages"), archives)
+    return warc.page_records(warc.read(spark, archives))
