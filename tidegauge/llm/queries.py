@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import hilbert_shards, license_scan, line_dedup, mixing, packing, warc
+from tidegauge.llm import (
+    exact_topk,
+    hash_forest,
+    hilbert_shards,
+    license_scan,
+    line_dedup,
+    mixing,
+    packing,
+    warc,
+)
 from tidegauge.llm.common import table, text_bytes, word_count
 from tidegauge.session import scratch_folder
 
@@ -78,3 +87,26 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     archives = scratch_folder(spark, "warc")
     warc.write_pages(table(spark, folder, "pages"), archives)
     return warc.page_records(warc.read(spark, archives))
+
+
+@query("op3_exact_topk", sql="""
+    WITH v AS (
+        SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+        FROM embeddings
+        WHERE embedding IS NOT NULL
+          AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id,
+               CAST(list_sum(list_transform(list_zip(q.e, c.e), p -> p[1] * p[2])) AS BIGINT) AS score
+        FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id)
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+    WHERE rank <= 10
+""")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_topk.top_products(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query("op9_hash_forest")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return hash_forest.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
