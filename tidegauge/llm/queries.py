@@ -11,6 +11,7 @@ from tidegauge.llm import (
     exact_topk,
     hash_forest,
     hilbert_shards,
+    language_crf,
     license_scan,
     line_dedup,
     mixing,
@@ -110,3 +111,12 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_hash_forest")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return hash_forest.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query("op5_language_crf")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    return language_crf.identify(docs).select(
+        "doc_id", language_crf.held_out(F.col("doc_id")).alias("held_out"),
+        "language.lang_pred", "language.score",
+    )
