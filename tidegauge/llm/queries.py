@@ -16,6 +16,7 @@ from tidegauge.llm import (
     line_dedup,
     mixing,
     packing,
+    shingle_join,
     warc,
 )
 from tidegauge.llm.common import table, text_bytes, word_count
@@ -120,3 +121,8 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", language_crf.held_out(F.col("doc_id")).alias("held_out"),
         "language.lang_pred", "language.score",
     )
+
+
+@query("op10_shingle_join")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return shingle_join.join(table(spark, folder, "documents")).drop("mark")
