@@ -1,13 +1,71 @@
-"""A corpus pipeline of five stages over the documents table."""
+"""A corpus pipeline of five stages over the documents table.
+
+Language identification drops documents that are in no language it knows, line dedup removes
+passages that repeat, the shingle join leaves one document of each group of near copies, mixing
+brings the sources to their target weights, and packing cuts the mix into sequences.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidegauge.llm import language_crf, line_dedup, mixing, packing, shingle_join
+from tidegauge.llm.common import measured, stored, word_count
+
+#: Documents whose language is less likely than this are rejected.
+LEAST_SCORE = 0.5
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a known language; texts without letters, or of no clear language, go."""
+    found = language_crf.identify(docs).where(
+        (F.col("language.lang_pred") != language_crf.UNDETERMINED)
+        & (F.col("language.score") >= LEAST_SCORE)
+    )
+    return found.drop("language")
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines of repeated passages; those of which nothing is left go."""
+    cleaned = line_dedup.dedup_lines(docs).where(
+        "text IS NULL OR text <> '' OR line_dedup.removed_windows = 0"
+    )
+    return measured(cleaned.drop("line_dedup"))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return shingle_join.representatives(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: documents as often as their source's target takes them, the last one cut."""
+    mixed = mixing.mix(
+        docs, [F.col("doc_id"), F.col("text")], F.array("source"), word_count(F.col("text"))
+    )
+    return measured(mixing.repeated(mixed))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the mix, in sequences."""
+    return packing.pack(docs, *packing.public_vocabulary())
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("line_dedup", dedup_lines),
+    ("ngram_jaccard_join", drop_near_copies),
+    ("source_mix", mix_sources),
+    ("packing", pack_sequences),
+]
+
+#: Training a field and tokenising are beyond SQL; tests hold every stage against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

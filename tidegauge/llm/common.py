@@ -34,6 +34,14 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def measured(frame: DataFrame) -> DataFrame:
+    """The frame with ``n_chars`` brought up to date with its text, where it has that column."""
+    if "n_chars" not in frame.columns:
+        return frame
+    kind = frame.schema["n_chars"].dataType
+    return frame.withColumn("n_chars", F.length("text").cast(kind))
+
+
 def seeded(seed: int, *columns: Column) -> Column:
     """A hash that orders rows as if at random, the same in each run."""
     return F.xxhash64(F.lit(seed), *columns)

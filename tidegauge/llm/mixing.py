@@ -9,17 +9,20 @@ its whole laps, and one of them the part that is left.
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict, deque
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidegauge.llm.common import leading_bits, seeded
+from tidegauge.llm.common import WORD, leading_bits, seeded
 
 #: Documents of a pattern that are ordered in one window, about.
 ROWS_PER_BUCKET = 2000
 _BITS = 30
+_WORD = re.compile(WORD)
 
 
 def water_filled(sizes: list[int], weights: list[float], total: float, most: float) -> list[float]:
@@ -228,6 +231,20 @@ def _bits() -> str:
     return f"shiftrightunsigned(place, {64 - _BITS})"
 
 
+def _first_words(text: pd.Series, words: pd.Series) -> pd.Series:
+    """The texts up to the end of so many words; null where no number is given."""
+
+    def one(whole, count):
+        if whole is None or count is None or count != count:
+            return None
+        for n, word in enumerate(_WORD.finditer(whole), 1):
+            if n == count:
+                return whole[:word.end()]
+        return whole
+
+    return pd.Series([one(*row) for row in zip(text, words)], dtype=object)
+
+
 def repeated(mixed: DataFrame, text: str = "text") -> DataFrame:
     """The mixed documents themselves: whole repeats as rows of their own, a cut one at the end.
 
@@ -240,10 +257,11 @@ def repeated(mixed: DataFrame, text: str = "text") -> DataFrame:
             "filter(array(taken % size), x -> x > 0))"
         ))
     )
-    cut = F.expr(r"rtrim(regexp_extract(doc.`" + text + r"`, "
-                 r"concat('(?s)^(?:[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+){', words, '}'), 0))")
-    return laps.select(*[
-        (F.when(F.col("words") == F.col("size"), F.col(f"doc.`{c}`")).otherwise(cut) if c == text
+    whole = F.col("words") == F.col("size")
+    first_words = F.pandas_udf(_first_words, "string")
+    cut = first_words(F.when(~whole, F.col(f"doc.`{text}`")), F.when(~whole, F.col("words")))
+    return laps.withColumn("cut", cut).select(*[
+        (F.when(whole, F.col(f"doc.`{c}`")).otherwise(F.col("cut")) if c == text
          else F.col(f"doc.`{c}`")).alias(c)
         for c in columns
     ])
