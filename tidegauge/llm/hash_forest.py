@@ -18,8 +18,11 @@ ROWS_PER_BLOCK = 16384
 QUERIES_PER_BLOCK = 4096
 TREES = 96
 BITS = 32
-#: Candidates, counted in each tree, at which the ascent ends, as a share of the block's rows.
-SHARE = 0.6
+#: Candidates, counted once for each tree that brings them, at which the ascent ends, as a share of
+#: the block's rows.
+SHARE = 1.0
+#: The ascent also goes on until trees bring this many each, on average.
+LEAST_PER_TREE = 32
 _QUERIES_AT_ONCE = 256
 
 
@@ -82,7 +85,7 @@ class Forest:
 def search(ids, rows, query_ids, queries, k: int, trees: int, bits: int, share: float, seed: int):
     """Nearest rows found of each query in one block: places of queries and rows, and distances."""
     forest = Forest(rows, trees, bits, seed)
-    enough = max(k + 1, int(share * len(rows)))
+    enough = max(k + 1, int(share * len(rows)), LEAST_PER_TREE * trees)
     # The query's own rows are found too; as many candidates are needed beside them.
     own = {i: int(n) for i, n in zip(*np.unique(ids, return_counts=True))}
     out_q, out_r, out_s = [], [], []
