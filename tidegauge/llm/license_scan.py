@@ -41,7 +41,7 @@ def _joined(lines: str) -> str:
 def known_digests(known: DataFrame) -> DataFrame:
     """Digest and licence of known texts; of two licences with one digest the first by name."""
     whole = known.select(
-        "license_id", F.transform(F.split(normalised(F.col("text")), "\n"), F.trim).alias("lines")
+        "license_id", F.transform(F.split(normalised(F.col("text")), "\n"), lambda l: F.trim(l)).alias("lines")
     )
     return (
         whole.select("license_id", F.expr(_joined("lines")).alias("normal"))
@@ -73,7 +73,9 @@ def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     lines = docs.select(
         "doc_id",
         F.xxhash64("text").alias("mark"),
-        F.transform(F.split(normalised(F.coalesce("text", F.lit(""))), "\n"), F.trim).alias("lines"),
+        F.transform(
+            F.split(normalised(F.coalesce("text", F.lit(""))), "\n"), lambda l: F.trim(l)
+        ).alias("lines"),
         F.expr("transform(split(coalesce(text, ''), '\n'), l -> trim(l))").alias("raw"),
     )
     units = lines.select(

@@ -13,6 +13,7 @@ from tidegauge.llm import (
     hilbert_shards,
     language_crf,
     license_scan,
+    license_texts,
     line_dedup,
     mixing,
     packing,
@@ -68,7 +69,52 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("op1_license_scan")
+def _normal_sql(text: str) -> str:
+    """The normalisation of licence texts in the checking SQL."""
+    kept = (
+        r"regexp_replace(lower(" + text + r"), '(^|\n)[ \t]*(?:copyright[ \t]|\(c\)|©|all rights reserved)"
+        r"[^\n]*', '\1', 'g')"
+    )
+    words = rf"regexp_replace({kept}, '[^\p{{L}}\p{{N}}\n]+', ' ', 'g')"
+    apart = f"concat(' ', replace(replace({words}, chr(10), concat(' ', chr(10), ' ')), ' ', '  '), ' ')"
+    for spelled, common in license_texts.SPELLINGS:
+        apart = f"replace({apart}, ' {spelled} ', ' {common} ')"
+    return f"list_transform(string_split(replace({apart}, '  ', ' '), chr(10)), lambda l: trim(l))"
+
+
+def _known_sql() -> str:
+    quoted = ", ".join(
+        "('{}', '{}')".format(name, text.replace("'", "''")) for name, text in license_texts.KNOWN
+    )
+    return f"""
+        SELECT digest, min(license_id) AS license_id FROM (
+            SELECT license_id, md5(array_to_string(list_filter(lines, lambda l: l <> ''), ' ')) AS digest
+            FROM (SELECT license_id, {_normal_sql('text')} AS lines FROM (VALUES {quoted}) k(license_id, text)))
+        GROUP BY digest"""
+
+
+@query("op1_license_scan", sql=f"""
+    WITH known AS ({_known_sql()}),
+    docs AS (
+        SELECT doc_id, {_normal_sql("coalesce(text, '')")} AS lines,
+               list_transform(string_split(coalesce(text, ''), chr(10)), lambda l: trim(l)) AS raw
+        FROM documents),
+    units AS (
+        SELECT doc_id, 'line' AS kind, unnest(list_filter(lines, lambda l: l <> '')) AS normal FROM docs
+        UNION ALL
+        SELECT doc_id, 'paragraph', array_to_string(list_filter(string_split(p, chr(10)), lambda l: l <> ''), ' ')
+        FROM (SELECT doc_id, unnest(string_split(array_to_string(list_transform(lines, lambda l, i:
+                  CASE WHEN raw[i] = '' THEN chr(12) ELSE l END), chr(10)), chr(12))) AS p FROM docs)
+        WHERE instr(trim(p, chr(10)), chr(10)) > 0),
+    hits AS (
+        SELECT doc_id, count(*) AS notices, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS names
+        FROM units JOIN known ON md5(normal) = digest GROUP BY doc_id)
+    SELECT d.doc_id, d.text_digest, k.license_id AS text_license,
+           coalesce(h.notices, 0) AS notices, h.names AS notice_licenses
+    FROM (SELECT doc_id, md5(array_to_string(list_filter(lines, lambda l: l <> ''), ' ')) AS text_digest FROM docs) d
+    LEFT JOIN known k ON k.digest = d.text_digest
+    LEFT JOIN hits h ON h.doc_id = d.doc_id
+""")
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scan(table(spark, folder, "documents"))
 
@@ -78,7 +124,26 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), *packing.public_vocabulary())
 
 
-@query("op4_line_dedup")
+@query("op4_line_dedup", sql="""
+    WITH split AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
+    windows AS (
+        SELECT doc_id, pos, list_slice(lines, pos, pos + 2) AS span
+        FROM (SELECT doc_id, lines, unnest(range(1, greatest(len(lines) - 2, 1) + 1)) AS pos FROM split)),
+    later AS (
+        SELECT * FROM (
+            SELECT *, row_number() OVER (PARTITION BY span ORDER BY doc_id, pos) AS n FROM windows
+            WHERE len(list_filter(span, lambda l: trim(l) <> '')) > 0)
+        WHERE n > 1),
+    covered AS (
+        SELECT doc_id, list(DISTINCT p) AS places, count(DISTINCT pos) AS n
+        FROM (SELECT doc_id, pos, unnest(range(pos, pos + 3)) AS p FROM later) GROUP BY doc_id)
+    SELECT s.doc_id,
+           CASE WHEN c.doc_id IS NULL THEN s.text ELSE coalesce(array_to_string(list_filter(
+               lines, lambda l, i: NOT list_contains(places, i)), chr(10)), '') END AS text,
+           CAST(coalesce(len(lines), 0) AS INTEGER) AS n_lines,
+           CAST(coalesce(c.n, 0) AS INTEGER) AS removed_windows
+    FROM split s LEFT JOIN covered c ON c.doc_id = s.doc_id
+""")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return line_dedup.dedup_lines(docs).select("doc_id", "text", "line_dedup.*")
@@ -93,13 +158,13 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op3_exact_topk", sql="""
     WITH v AS (
-        SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+        SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
         FROM embeddings
         WHERE embedding IS NOT NULL
-          AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
     scored AS (
         SELECT q.vec_id AS query_id, c.vec_id,
-               CAST(list_sum(list_transform(list_zip(q.e, c.e), p -> p[1] * p[2])) AS BIGINT) AS score
+               CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
         FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id)
     SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
     FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
