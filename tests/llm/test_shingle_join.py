@@ -155,5 +155,16 @@ def test_components(spark):
     for a, b in edges:
         if a != b:
             root[max(find(a), find(b))] = min(find(a), find(b))
-    assert got == {x: find(x) for x in root}
+    assert got.keys() == root.keys()
+    assert {(a, b) for a in root for b in root if got[a] == got[b]} == {
+        (a, b) for a in root for b in root if find(a) == find(b)}
     assert stars.components(frame.where("a < 0"), "none").collect() == []
+
+
+def test_links_are_added_to_components(spark):
+    first = spark.createDataFrame([(1, 2), (3, 4), (8, 9)], "a long, b long")
+    labels = stars.components(first, "first")
+    more = spark.createDataFrame([(2, 4), (5, 6), (6, 1), (7, 7)], "a long, b long")
+    got = {r.node: r.root for r in stars.joined_labels(labels, more, "more").collect()}
+    assert {got[x] for x in (1, 2, 3, 4, 5, 6)} == {got[1]} and got[8] == got[9] != got[1] and len(got) == 8
+    assert stars.joined_labels(labels, more.where("a > 9"), "none") is labels

@@ -1,4 +1,4 @@
-"""Connected components of links, by alternating large and small stars."""
+"""Connected components of links, by contraction."""
 
 from __future__ import annotations
 
@@ -8,48 +8,57 @@ from pyspark.sql import functions as F
 from tidegauge.llm.common import stored
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One step on edges (u, v) with u > v: hang neighbours on the smallest of them.
-
-    The large star moves a node's larger neighbours, the small star the node and its smaller ones.
-    Only minima are grouped, so a node may have any number of neighbours.
-    """
-    both = edges.select("u", "v")
-    if large:
-        both = both.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("v")).select(
-        "u", F.least("u", "v").alias("m")
+def _renamed(edges: DataFrame, roots: DataFrame) -> DataFrame:
+    """The edges between the roots of their ends, without loops. Ends without a root stay."""
+    u = roots.select(F.col("node").alias("u"), F.col("root").alias("ru"))
+    v = roots.select(F.col("node").alias("v"), F.col("root").alias("rv"))
+    return (
+        edges.join(u, "u", "left").join(v, "v", "left")
+        .select(F.coalesce("ru", "u").alias("u"), F.coalesce("rv", "v").alias("v"))
+        .where("u <> v")
+        .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
     )
-    hung = both.join(least, "u")
-    if large:
-        moved = hung.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    else:
-        moved = hung.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
-            least.select("u", F.col("m").alias("v"))
-        )
-    return moved.where("u > v").distinct()
 
 
 def components(links: DataFrame, label: str) -> DataFrame:
-    """``node`` and ``root``, the smallest node of its component, for all nodes with a link.
+    """``node`` and ``root`` for all nodes with a link to another; a component has one root.
 
-    ``links`` has columns ``a`` and ``b``. Each round is written to the shared folder, and few rounds
-    are needed: the number grows with the logarithm of the largest component.
+    ``links`` has columns ``a`` and ``b``. In each round every node joins its smallest neighbour,
+    and what is left are the links between the nodes that others joined: at most half as many nodes
+    as before, so the rounds grow with the logarithm of the largest component. A node may have any
+    number of neighbours: only minima are grouped. Each round is written to the shared folder.
     """
     edges = stored(
-        links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        .where("u > v").distinct(), f"{label}-edges",
+        links.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"))
+        .where("u < v").distinct(), f"{label}-edges",
     )
-    state = None
+    labels = None
     while True:
-        edges = stored(_star(_star(edges, True), False), f"{label}-stars")
-        # Every round that changes an edge makes the sum over all edges of what they point to smaller.
-        now = edges.agg(
-            F.count("*"), F.expr("coalesce(sum(cast(xxhash64(u, v) AS decimal(38, 0))), 0)")
-        ).first()
-        if now == state:
-            break
-        state = now
-    nodes = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
-    return nodes.unionByName(roots)
+        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        nearest = stored(
+            both.groupBy("u").agg(F.min("v").alias("v"))
+            .select(F.col("u").alias("node"), F.least("u", "v").alias("root")), f"{label}-nearest",
+        )
+        # Two steps at once: a node joins what its smallest neighbour joins.
+        further = nearest.select(F.col("node").alias("root"), F.col("root").alias("next"))
+        roots = nearest.join(further, "root").select("node", F.col("next").alias("root"))
+        labels = stored(roots if labels is None else _relabelled(labels, roots), f"{label}-labels")
+        edges = stored(_renamed(edges, roots), f"{label}-edges")
+        if edges.isEmpty():
+            return labels
+
+
+def _relabelled(labels: DataFrame, roots: DataFrame) -> DataFrame:
+    moved = roots.select(F.col("node").alias("root"), F.col("root").alias("next"))
+    return labels.join(moved, "root", "left").select("node", F.coalesce("next", "root").alias("root"))
+
+
+def joined_labels(labels: DataFrame, links: DataFrame, label: str) -> DataFrame:
+    """The components when further links are added to those of ``labels``."""
+    links = stored(links.select(F.col("a").alias("u"), F.col("b").alias("v")), f"{label}-links")
+    if links.isEmpty():
+        return labels
+    between = _renamed(links, labels).select(F.col("u").alias("a"), F.col("v").alias("b"))
+    merged = components(between, label)
+    fresh = merged.join(labels.select("node"), "node", "left_anti")
+    return stored(_relabelled(labels, merged).unionByName(fresh), f"{label}-joined")

@@ -21,34 +21,37 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.llm.common import stored, text_bytes
-from tidegauge.llm.components import components
+from tidegauge.llm.components import components, joined_labels
 from tidegauge.llm.shingles import WORDS, shingle_sets
 
 #: Similarity from which two documents link, in hundredths.
 THRESHOLD = 75
 #: Shingles that a task counts at once, and bytes of text whose shingles make a bucket, about.
 SHINGLES_AT_ONCE = 2_000_000
-BYTES_PER_BUCKET = 16 << 20
+BYTES_PER_BUCKET = 8 << 20
 #: Slots of the table of counts that orders shingles, rare before frequent.
 HEAT_SLOTS = 1 << 18
-#: Rounds of heads in which the lists' open pairs are not enumerated if they are more than so many
-#: times the lists' entries.
-HEAD_ROUNDS = 4
-OPEN_PAIRS = 4
+#: Open pairs of lists are enumerated once they are at most so many times the lists' entries, or
+#: after so many more rounds of heads.
+OPEN_PAIRS = 1000
+HEAD_ROUNDS = 3
 
 _SKETCH = pa.schema([
     ("kind", pa.string()), ("bucket", pa.int32()), ("doc_id", pa.int64()), ("mark", pa.int64()),
-    ("n", pa.int64()), ("digest", pa.binary()), ("chunk", pa.int64()),
-    ("owners", pa.binary()), ("prints", pa.binary()),
+    ("n", pa.int64()), ("digest", pa.binary()), ("name", pa.int64()), ("chunk", pa.int64()),
+    ("names", pa.binary()), ("sizes", pa.binary()), ("prints", pa.binary()),
 ])
 _SKETCH_DDL = (
-    "kind string, bucket int, doc_id long, mark long, n long, digest binary, chunk long, "
-    "owners binary, prints binary"
+    "kind string, bucket int, doc_id long, mark long, n long, digest binary, name long, "
+    "chunk long, names binary, sizes binary, prints binary"
 )
-_COUNTED = pa.schema([f for f in _SKETCH if f.name not in ("bucket", "owners", "prints")])
-_COUNTED_DDL = "kind string, doc_id long, mark long, n long, digest binary, chunk long"
-#: In ``owners``: the shingle has several owners in its chunk, where it is already counted.
-_WITNESS = 0xFFFFFFFF
+_COUNTED = pa.schema([f for f in _SKETCH if f.name not in ("bucket", "prints")])
+_COUNTED_DDL = (
+    "kind string, doc_id long, mark long, n long, digest binary, name long, chunk long, names binary, "
+    "sizes binary"
+)
+#: Bytes of a digest that name a set while shingles are counted.
+_NAME = 8
 
 
 def _rows(kind: str, size: int, **columns) -> pa.RecordBatch:
@@ -64,36 +67,34 @@ def _sketch(buckets: int, width: int):
 
     def chunk_rows(digests: list[bytes], sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         chunk = xxhash.xxh3_64_intdigest(b"".join(digests)) >> 1
+        names = np.frombuffer(b"".join(d[:_NAME] for d in digests), "<u8")
         shingles = np.concatenate(sets)
-        owners = np.repeat(np.arange(len(sets), dtype=np.uint32), [len(s) for s in sets])
+        owners = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
         order = np.argsort(shingles, kind="stable")
         shingles, owners = shingles[order], owners[order]
         same = shingles[1:] == shingles[:-1]
         several = np.concatenate([[False], same]) | np.concatenate([same, [False]])
         counts = np.bincount(owners[several], minlength=len(sets))
         some = np.flatnonzero(counts)
-        yield _rows(
-            "shared", len(some), bucket=(some % buckets).astype(np.int32), n=counts[some],
-            digest=[digests[i] for i in some], chunk=np.full(len(some), chunk, np.int64),
-        )
+        if len(some):
+            yield _rows(
+                "shared", 1, bucket=[chunk % buckets], chunk=[chunk],
+                names=[names[some].tobytes()], sizes=[counts[some].astype("<u4").tobytes()],
+            )
+        # A shingle of several sets of the chunk is counted for them, and told once, without owner.
         first = np.concatenate([[True], ~same])
-        shingles, owners = shingles[first], np.where(several[first], np.uint32(_WITNESS), owners[first])
-        home = (shingles % np.uint64(buckets)).astype(np.int32)
+        shingles, owners = shingles[first], np.where(several[first], len(sets), owners[first])
+        home = shingles % np.uint64(buckets)
         prints = ((shingles // np.uint64(buckets)) & np.uint64(0xFFFFFFFF)).astype("<u4")
-        order = np.argsort(home, kind="stable")
-        prints, owners = prints[order], owners[order].astype("<u4")
-        edges = np.searchsorted(home[order], np.arange(buckets + 1))
-        for b in range(buckets):
-            own, local = owners[edges[b]:edges[b + 1]], prints[edges[b]:edges[b + 1]]
-            if not len(own):
-                continue
-            known = own != _WITNESS
-            names, place = np.unique(own[known], return_inverse=True)
-            own = own.copy()
-            own[known] = place
+        order = np.lexsort((owners, home))
+        home, prints, owners = home[order], prints[order], owners[order]
+        edges = np.searchsorted(home, np.arange(buckets + 1, dtype=np.uint64))
+        for b in np.flatnonzero(np.diff(edges)):
+            own, sizes = np.unique(owners[edges[b]:edges[b + 1]], return_counts=True)
             yield _rows(
-                "shingles", 1, bucket=[b], chunk=[chunk], owners=[own.tobytes()],
-                prints=[local.tobytes()], digest=[b"".join(digests[i] for i in names)],
+                "shingles", 1, bucket=[b], chunk=[chunk],
+                names=[names[own[own < len(sets)]].tobytes()],
+                sizes=[sizes.astype("<u4").tobytes()], prints=[prints[edges[b]:edges[b + 1]].tobytes()],
             )
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,6 +120,7 @@ def _sketch(buckets: int, width: int):
                 "document", len(found), doc_id=batch.column(0), mark=batch.column(2),
                 bucket=[(m or 0) % buckets for m in batch.column(2).to_pylist()],
                 digest=[d for d, _ in found], n=[n for _, n in found],
+                name=[d and int.from_bytes(d[:_NAME], "little", signed=True) for d, _ in found],
             )
         if sets:
             yield from chunk_rows(digests, sets)
@@ -127,41 +129,58 @@ def _sketch(buckets: int, width: int):
 
 
 def _count(group: pa.Table) -> pa.Table:
-    """Of a bucket: the documents as they are; of each set of a chunk, its shingles that other sets
-    have too. Prints that only look equal can make a count too high, never too low."""
+    """Of a bucket: the documents as they are; of each chunk, how many shingles of its sets other
+    sets have too. Prints that only look equal can make a count too high, never too low."""
     kinds = group["kind"].to_numpy()
-    kept = group.filter(pa.array(kinds != "shingles")).select(_COUNTED.names)
+    kept = group.filter(pa.array(kinds != "shingles")).select(_COUNTED.names).cast(_COUNTED)
     parts = group.filter(pa.array(kinds == "shingles"))
     if not parts.num_rows:
-        return kept.cast(_COUNTED)
+        return kept
     chunks = parts["chunk"].to_pylist()
-    names = [np.frombuffer(d, "V16") for d in parts["digest"].to_pylist()]
-    owners = [np.frombuffer(o, "<u4").astype(np.int64) for o in parts["owners"].to_pylist()]
-    prints = np.concatenate([np.frombuffer(p, "<u4") for p in parts["prints"].to_pylist()])
-    sizes = np.array([len(x) for x in names])
-    starts = np.cumsum(sizes) - sizes
-    seats = np.concatenate([np.where(o == _WITNESS, -1, o + s) for o, s in zip(owners, starts)])
-    every = np.concatenate(names) if sizes.sum() else np.empty(0, "V16")
-    _, identity = np.unique(every, return_inverse=True)
-    # Equal sets of several chunks count as one owner; a witness is another owner of its own.
-    who = np.where(seats < 0, -1 - np.arange(len(seats)), identity[seats] if len(identity) else -1)
+    names = [np.frombuffer(x, "<u8") for x in parts["names"].to_pylist()]
+    sizes = [np.frombuffer(x, "<u4") for x in parts["sizes"].to_pylist()]
+    prints = np.concatenate([np.frombuffer(x, "<u4") for x in parts["prints"].to_pylist()])
+    # Sets are numbered over all chunks; what has no owner in its chunk gets a number of its own.
+    every, _ = np.unique(np.concatenate(names), return_inverse=True)
+    seats, who, at = [], [], 0
+    for k, (own, size) in enumerate(zip(names, sizes)):
+        numbers = np.searchsorted(every, own)
+        if len(size) > len(own):
+            numbers = np.append(numbers, -1 - k)
+        who.append(np.repeat(numbers, size))
+        seats.append(np.repeat(np.append(np.arange(at, at + len(own)), -1)[:len(size)], size))
+        at += len(own)
+    who, seats = np.concatenate(who), np.concatenate(seats)
     order = np.argsort(prints, kind="stable")
     prints, who, seats = prints[order], who[order], seats[order]
     first = np.concatenate([[True], prints[1:] != prints[:-1]])
-    run = np.cumsum(first) - 1
     places = np.flatnonzero(first)
-    shared = np.minimum.reduceat(who, places) != np.maximum.reduceat(who, places)
-    witnessed = np.minimum.reduceat(seats, places) < 0
-    counted = seats[(shared | witnessed)[run] & (seats >= 0)]
-    counts = np.bincount(counted, minlength=len(every))
-    some = np.flatnonzero(counts)
-    chunk_of = np.repeat(np.array(chunks, np.int64), sizes)
-    found = pa.table([
-        pa.array(["shared"] * len(some)), pa.nulls(len(some), pa.int64()), pa.nulls(len(some), pa.int64()),
-        pa.array(counts[some], pa.int64()), pa.array([every[i].tobytes() for i in some], pa.binary()),
-        pa.array(chunk_of[some], pa.int64()),
-    ], schema=_COUNTED)
-    return pa.concat_tables([kept.cast(_COUNTED), found])
+    least = np.minimum.reduceat(who, places)
+    shared = (least < 0) | (least != np.maximum.reduceat(who, places))
+    counted = seats[shared[np.cumsum(first) - 1] & (seats >= 0)]
+    counts = np.bincount(counted, minlength=at)
+    rows, at = [], 0
+    for chunk, own in zip(chunks, names):
+        mine = counts[at:at + len(own)]
+        at += len(own)
+        some = np.flatnonzero(mine)
+        if len(some):
+            rows.append({
+                "kind": "shared", "chunk": chunk, "names": own[some].tobytes(),
+                "sizes": mine[some].astype("<u4").tobytes(),
+            })
+    return pa.concat_tables([kept, pa.Table.from_pylist(rows, schema=_COUNTED)])
+
+
+def _total(group: pa.Table) -> pa.Table:
+    """Shared shingles of the sets of one chunk, over all buckets."""
+    names = np.frombuffer(b"".join(group["names"].to_pylist()), "<i8")
+    sizes = np.frombuffer(b"".join(group["sizes"].to_pylist()), "<u4")
+    every, place = np.unique(names, return_inverse=True)
+    return pa.table({
+        "name": pa.array(every, pa.int64()),
+        "shared": pa.array(np.bincount(place, weights=sizes).astype(np.int64), pa.int64()),
+    })
 
 
 def _sets_of(width: int):
@@ -182,7 +201,9 @@ def _sets_of(width: int):
 
 
 def _prefixes(heat, threshold: int):
-    """The rarest shingles of each set, as many as any linked set must share one of."""
+    """The rarest shingles of each set, as many as any linked set must share one of; and the set's
+    weight, how frequent its shingles are, by which lists choose their heads: of a group of edited
+    copies the least edited one is the nearest to all."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots = heat.value
@@ -197,6 +218,7 @@ def _prefixes(heat, threshold: int):
                     "digest": pa.array([name] * length, pa.binary()),
                     "n": pa.array(np.full(length, n), pa.int64()),
                     "at": pa.array(np.arange(1, length + 1), pa.int64()),
+                    "weight": pa.array(np.full(length, counts.mean()), pa.float64()),
                 })
 
     return work
@@ -207,13 +229,18 @@ def _can_link(n: str, m: str, overlap: str, threshold: int) -> Column:
     return F.expr(f"{100 + threshold} * ({overlap}) >= {threshold} * ({n} + {m})")
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Overlaps of pairs (``a``, ``b``), counted, and in which shingles a differs from b."""
+def verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Overlaps of pairs (``a``, ``b``), counted; of linked ones, in which shingles a differs from b."""
     left = sets.select(F.col("digest").alias("a"), F.col("n").alias("an"), F.col("shingles").alias("as"))
     right = sets.select(F.col("digest").alias("b"), F.col("n").alias("bn"), F.col("shingles").alias("bs"))
-    return pairs.join(left, "a").join(right, "b").select(
-        "a", "b", "an", "bn", F.size(F.array_intersect("as", "bs")).cast("long").alias("overlap"),
-        F.array_except("as", "bs").alias("gained"), F.array_except("bs", "as").alias("lost"),
+    counted = pairs.join(left, "a").join(right, "b").withColumn(
+        "overlap", F.size(F.array_intersect("as", "bs")).cast("long")
+    )
+    linked = _can_link("an", "bn", "overlap", threshold)
+    return counted.select(
+        "a", "b", "an", "bn", "overlap", linked.alias("linked"),
+        F.when(linked, F.array_except("as", "bs")).alias("gained"),
+        F.when(linked, F.array_except("bs", "as")).alias("lost"),
     )
 
 
@@ -228,11 +255,8 @@ def derived(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def links_of(sets: DataFrame, threshold: int) -> DataFrame:
-    """Links between different sets that connect every component of the full join: (a, b).
-
-    Every pair at or above the threshold is linked in the result or joined by other links in it.
-    """
+def linked_sets(sets: DataFrame, threshold: int) -> DataFrame:
+    """``node`` and ``root`` of every set with a link, under all links at or above the threshold."""
     spark = sets.sparkSession
     warm = (
         sets.select(F.explode("shingles").alias("s"))
@@ -241,15 +265,13 @@ def links_of(sets: DataFrame, threshold: int) -> DataFrame:
     )
     heat = np.zeros(HEAT_SLOTS, np.int64)
     heat[[r["slot"] for r in warm]] = [r["count"] for r in warm]
-    entries = stored(
-        sets.mapInArrow(
-            _prefixes(spark.sparkContext.broadcast(heat), threshold),
-            "shingle long, digest binary, n long, at long",
-        ).withColumn("rank", F.xxhash64("digest")), "entries",
-    )
+    entries = stored(sets.mapInArrow(
+        _prefixes(spark.sparkContext.broadcast(heat), threshold),
+        "shingle long, digest binary, n long, at long, weight double",
+    ), "entries")
+    best = F.max(F.struct("weight", "digest", "n", "at"))
     heads = (
-        entries.groupBy("shingle")
-        .agg(F.min(F.struct("rank", "digest", "n", "at")).alias("head"), F.count("*").alias("size"))
+        entries.groupBy("shingle").agg(best.alias("head"), F.count("*").alias("size"))
         .where("size > 1")
         .select("shingle", F.col("head.digest").alias("head"), F.col("head.n").alias("head_n"),
                 F.col("head.at").alias("head_at"))
@@ -261,83 +283,79 @@ def links_of(sets: DataFrame, threshold: int) -> DataFrame:
         return _can_link(n, m, f"1 + least({n} - {at}, {m} - {bt})", threshold)
 
     first = lists.where((F.col("digest") != F.col("head")) & reach("n", "at", "head_n", "head_at"))
-    answers = stored(
-        verified(first.select(F.col("digest").alias("a"), F.col("head").alias("b")).distinct(), sets),
-        "answers",
-    )
-    linked = _can_link("an", "bn", "overlap", threshold)
-    links = answers.where(linked).select("a", "b")
+    answers = stored(verified(
+        first.select(F.col("digest").alias("a"), F.col("head").alias("b")).distinct(), sets, threshold
+    ), "answers")
+    labels = components(answers.where("linked").select("a", "b"), "labels")
 
-    for number in range(HEAD_ROUNDS):
-        labels = components(links, f"labels{number}")
+    for number in range(HEAD_ROUNDS + 1):
         own = labels.select(F.col("node").alias("digest"), F.col("root").alias("own"))
-        theirs = labels.select(F.col("node").alias("head"), F.col("root").alias("head_own"))
-        members = (
-            lists.join(own, "digest", "left").join(theirs, "head", "left")
-            .withColumn("own", F.coalesce("own", "digest"))
-            .withColumn("head_own", F.coalesce("head_own", "head"))
-        )
-        outside = members.where("own <> head_own")
-        open_lists = outside.groupBy("shingle").agg(
-            F.count("*").alias("outside"), F.min(F.struct("rank", "digest", "n", "at")).alias("next")
+        labelled = lists.join(own, "digest", "left").withColumn("own", F.coalesce("own", "digest"))
+        # Open lists are those of several components: a member is outside if it is not in the
+        # head's, and pairs of members inside need no look.
+        state = labelled.groupBy("shingle").agg(
+            F.max(F.when(F.col("digest") == F.col("head"), F.col("own"))).alias("head_own"),
+            F.min("own").alias("least_own"), F.max("own").alias("most_own"),
+        ).where("least_own <> most_own").select("shingle", "head_own")
+        mixed = stored(
+            labelled.join(state, "shingle").withColumn("outside", F.expr("own <> head_own")),
+            f"mixed{number}",
         )
-        mixed = stored(members.join(open_lists, "shingle"), f"mixed{number}")
-        known = answers.select(
-            F.col("a").alias("digest"), F.col("b").alias("head"), F.col("overlap").alias("head_overlap"),
-            F.when(linked, F.col("gained")).alias("gained"), F.when(linked, F.col("lost")).alias("lost"),
+        open_lists = mixed.groupBy("shingle").agg(
+            F.count(F.when(F.col("outside"), 1)).alias("out"), F.count("*").alias("size"),
+            F.max(F.when(F.col("outside"), F.struct("weight", "digest", "n", "at"))).alias("next"),
         )
-        open_pairs, size = mixed.agg(
-            F.coalesce(F.sum("outside"), F.lit(0)), F.count("*")
+        if number == HEAD_ROUNDS:
+            break
+        size, pairs = open_lists.agg(
+            F.coalesce(F.sum("size"), F.lit(0)),
+            F.coalesce(F.sum(F.col("out").cast("double") * F.col("size")), F.lit(0.0)),
         ).first()
-        if open_pairs <= OPEN_PAIRS * max(size, lists.count()) or number == HEAD_ROUNDS - 1:
+        if not size:
+            return labels
+        if pairs <= OPEN_PAIRS * size:
             break
-        again = mixed.where((F.col("digest") != F.col("next.digest")) & reach("n", "at", "next.n", "next.at"))
-        more = stored(verified(
-            again.select(F.col("digest").alias("a"), F.col("next.digest").alias("b")).distinct(), sets
-        ).where(linked).select("a", "b"), f"more{number}")
-        links = links.unionByName(more)
+        # Too many open pairs: compare all with one more head of each list, taken from outside.
+        again = mixed.join(open_lists.select("shingle", "next"), "shingle").where(
+            (F.col("digest") != F.col("next.digest")) & reach("n", "at", "next.n", "next.at")
+        )
+        more = verified(
+            again.select(F.col("digest").alias("a"), F.col("next.digest").alias("b")).distinct(), sets, threshold
+        ).where("linked")
+        labels = joined_labels(labels, more.select("a", "b"), f"more{number}")
 
     # Overlaps with the head bound those of members with each other.
-    bounded = mixed.drop("next", "outside").join(known, ["digest", "head"], "left").withColumns({
-        "in_head": F.when(F.col("digest") == F.col("head"), F.col("n")).otherwise(F.col("head_overlap")),
+    known = answers.select(F.col("a").alias("digest"), F.col("b").alias("head"), F.col("overlap").alias("in_head"))
+    bounded = mixed.join(known, ["digest", "head"], "left").withColumns({
+        "in_head": F.when(F.col("digest") == F.col("head"), F.col("n")).otherwise(F.col("in_head")),
         "block": F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / threshold))).cast("int"),
     })
-    outer = bounded.where("own <> head_own").select(
+    outer = bounded.where("outside").select(
         "shingle", F.col("digest").alias("b"), F.col("n").alias("bn"), F.col("at").alias("bt"),
         F.col("own").alias("b_own"), F.col("in_head").alias("b_in"),
         F.explode(F.expr("array(block - 1, block, block + 1)")).alias("block"),
     )
     inner = bounded.select(
-        "shingle", F.col("digest").alias("a"), F.col("n").alias("an"), F.col("at"), "block",
+        "shingle", "block", F.col("digest").alias("a"), F.col("n").alias("an"), "at",
         F.col("own").alias("a_own"), F.col("in_head").alias("a_in"),
-        (F.col("own") != F.col("head_own")).alias("a_outside"), "gained", "lost",
-        F.col("head").alias("a_head"),
+        F.col("outside").alias("a_outside"), F.col("head").alias("a_head"),
     )
     room = "least(coalesce(a_in, an), coalesce(b_in, bn)) + least(an - coalesce(a_in, 0), bn - coalesce(b_in, 0))"
-    pairs = (
-        outer.join(inner.drop("gained", "lost"), ["shingle", "block"])
-        .where("a_own <> b_own AND a <> a_head AND (NOT a_outside OR a < b)")
-        .where(reach("an", "at", "bn", "bt"))
-        .where(_can_link("an", "bn", room, threshold))
-        .groupBy("a", "b").agg(
-            F.first("an").alias("an"), F.first("bn").alias("bn"),
-            F.max(F.when(F.col("b_in").isNotNull() & ~F.col("a_outside"),
-                         F.struct(F.col("a_head").alias("head"), F.col("b_in").alias("overlap")))).alias("way"),
-        )
-    )
-    pairs = stored(pairs, "pairs")
-    ways = known.where("gained IS NOT NULL").select(
-        F.col("digest").alias("a"), F.col("head"), "gained", "lost"
+    met = outer.join(inner, ["shingle", "block"]).where(
+        F.expr("a_own <> b_own AND a <> a_head AND (NOT a_outside OR a < b)")
+        & reach("an", "at", "bn", "bt") & _can_link("an", "bn", room, threshold)
     )
-    by_way = pairs.where("way IS NOT NULL").select(
-        "a", "b", "an", "bn", F.col("way.head").alias("head"), F.col("way.overlap").alias("head_overlap")
-    ).join(ways, ["a", "head"], "left")
-    near = derived(by_way.where("gained IS NOT NULL"), sets)
-    rest = pairs.where("way IS NULL").select("a", "b").unionByName(
-        by_way.where("gained IS NULL").select("a", "b")
-    )
-    plain = verified(rest, sets).select("a", "b", "an", "bn", "overlap")
-    return links.unionByName(near.unionByName(plain).where(linked).select("a", "b"))
+    way = F.when(~F.col("a_outside") & F.col("b_in").isNotNull(), F.struct("a_head", "b_in"))
+    pairs = stored(met.groupBy("a", "b").agg(
+        F.first("an").alias("an"), F.first("bn").alias("bn"), F.max(way).alias("way")
+    ), "pairs")
+    changes = answers.where("linked").select("a", F.col("b").alias("head"), "gained", "lost")
+    by_way = pairs.select(
+        "a", "b", "an", "bn", F.col("way.a_head").alias("head"), F.col("way.b_in").alias("head_overlap")
+    ).join(changes, ["a", "head"], "left")
+    near = derived(by_way.where("gained IS NOT NULL"), sets).where(_can_link("an", "bn", "overlap", threshold))
+    rest = verified(by_way.where("gained IS NULL").select("a", "b"), sets, threshold).where("linked")
+    return joined_labels(labels, near.select("a", "b").unionByName(rest.select("a", "b")), "last")
 
 
 def join(docs: DataFrame, threshold: int = THRESHOLD, width: int = WORDS) -> DataFrame:
@@ -362,17 +380,17 @@ def join(docs: DataFrame, threshold: int = THRESHOLD, width: int = WORDS) -> Dat
         rows.select("doc_id", "text", "mark").mapInArrow(_sketch(buckets, width), _SKETCH_DDL)
         .groupBy("bucket").applyInArrow(_count, _COUNTED_DDL), "sketch",
     )
-    named = counted.where("kind = 'document'").drop("kind", "chunk")
+    named = counted.where("kind = 'document'").select("doc_id", "mark", "n", "digest", "name")
     classes = named.where("n > 0").groupBy("digest").agg(
-        F.min("doc_id").alias("first_id"), F.min("mark").alias("mark"), F.first("n").alias("n")
+        F.min("doc_id").alias("first_id"), F.min("mark").alias("mark"), F.first("n").alias("n"),
+        F.first("name").alias("name"),
     )
     shared = (
-        counted.where("kind = 'shared'")
-        .groupBy("digest", "chunk").agg(F.sum("n").alias("shared"))
-        .groupBy("digest").agg(F.max("shared").alias("shared"))
+        counted.where("kind = 'shared'").groupBy("chunk").applyInArrow(_total, "name long, shared long")
+        .groupBy("name").agg(F.max("shared").alias("shared"))
     )
     alive = stored(
-        classes.join(shared, "digest").where(f"100 * shared >= {threshold} * n").select("mark", "digest"),
+        classes.join(shared, "name").where(f"100 * shared >= {threshold} * n").select("mark", "digest"),
         "alive",
     )
     texts = rows.join(alive.select("mark").distinct(), "mark", "left_semi").select("text")
@@ -382,13 +400,13 @@ def join(docs: DataFrame, threshold: int = THRESHOLD, width: int = WORDS) -> Dat
         .groupBy("digest").agg(F.first("n").alias("n"), F.first("shingles").alias("shingles")),
         "sets",
     )
-    labels = components(links_of(sets, threshold), "labels")
+    labels = linked_sets(sets, threshold)
     grouped = classes.select("digest", "first_id").join(
         labels.select(F.col("node").alias("digest"), "root"), "digest", "left"
     ).withColumn("root", F.coalesce("root", "digest"))
     smallest = grouped.groupBy("root").agg(F.min("first_id").alias("component_id"))
     answer = grouped.join(smallest, "root").select("digest", "component_id")
-    return named.join(answer, "digest", "left").select(
+    return named.drop("name").join(answer, "digest", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         "mark",
@@ -400,13 +418,19 @@ def representatives(docs: DataFrame, threshold: int = THRESHOLD, width: int = WO
     one of the smallest hash, all its copies folded to one). Empty texts all stay."""
     mine = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     found = join(docs, threshold, width)
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "mark"))
     kept = stored(
-        found.where("n_shingles > 0").groupBy("component_id").agg(
-            F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "mark")).alias("one")
-        ).select(F.col("one.mark").alias("kept_mark")).distinct(), "kept",
+        found.where("n_shingles > 0").groupBy("component_id", "mark")
+        .agg(least.alias("one"), F.count("*").alias("copies"))
+        .groupBy("component_id").agg(F.min(F.struct("one", "copies")).alias("kept"))
+        .select(F.col("kept.one.mark").alias("kept_mark"), F.col("kept.copies").alias("copies"))
+        .unionByName(found.where("n_shingles = 0").select(
+            F.col("mark").alias("kept_mark"), F.lit(0).cast("long").alias("copies")).distinct()),
+        "kept",
     )
-    folded = stored(found.where("n_shingles = 0").select(F.col("mark").alias("kept_mark")).distinct(), "empty")
     keyed = docs.select(F.struct("*").alias("doc"), mine.alias("kept_mark"))
-    once = keyed.join(kept, "kept_mark", "left_semi").groupBy("kept_mark").agg(F.first("doc").alias("doc"))
-    empty = keyed.join(folded, "kept_mark", "left_semi")
-    return once.select("doc.*").unionByName(empty.select("doc.*"))
+    single = keyed.join(kept.where("copies < 2"), "kept_mark", "left_semi")
+    folded = keyed.join(kept.where("copies > 1"), "kept_mark", "left_semi").groupBy("kept_mark").agg(
+        F.first("doc").alias("doc")
+    )
+    return single.select("doc.*").unionByName(folded.select("doc.*"))
