@@ -126,6 +126,19 @@ def test_tagged_point_has_no_legacy_form(spark, tmp_path):
         c.legacy_metric_rows(packed, "collector").collect()
 
 
+def test_legacy_form_is_checked_against_the_catalog(spark, tmp_path):
+    packed, _, _ = jsonl.load_archive(spark, archive(tmp_path, GOOD))
+    unknown = packed.withColumn("measurement", F.lit("no.such")).withColumn(
+        "tags", F.map_filter("tags", lambda k, v: F.lit(False)))
+    with pytest.raises(Exception, match="unknown measurement"):
+        c.legacy_metric_rows(unknown, "collector").collect()
+
+
+def test_context_of_white_space_is_blank(spark, tmp_path):
+    _, _, rejects = jsonl.load_archive(spark, archive(tmp_path, changed(run_id="\t\u00a0")), strict=False)
+    assert [r["problem"] for r in rejects.collect()] == ["telemetry context requires: run_id"]
+
+
 def test_optional_text_field_stays_out_of_series(spark, tmp_path):
     row = changed(measurement="mysql.global_variable", tags={"name": "version"},
                   fields={"text_value": "8.4.4"})

@@ -50,3 +50,21 @@ def test_one_group_over_everything(spark):
 
 def test_no_rows(spark):
     assert summary(spark, []) == {}
+
+
+def test_a_narrow_range_spreads_over_parts(spark):
+    values = [1_000_000 + i / 1000 for i in range(100_000)]
+    frame = spark.createDataFrame([("a", v) for v in values], "key string, value double")
+    out = distribution(frame, ["key"], "value", {"p50": 0.5, "p95": 0.95}).first()
+    assert out["p50"] == pytest.approx(np.percentile(values, 50), rel=1e-12)
+    assert out["p95"] == pytest.approx(np.percentile(values, 95), rel=1e-12)
+    # All values lie in one bucket; a part of it, which one window orders, holds few of them.
+    low, high = values[0], values[-1]
+    parts = np.floor((np.array(values) - low) / (high - low) * 4096).clip(max=4095)
+    assert np.unique(parts, return_counts=True)[1].max() <= 30
+
+
+def test_infinite_values(spark):
+    inf = float("inf")
+    found = summary(spark, [("a", v) for v in (-inf, 1.0, 2.0, 3.0, inf)])
+    assert found[("a",)]["p50"] == 2.0 and found[("a",)]["max"] == inf

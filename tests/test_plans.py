@@ -33,7 +33,7 @@ def test_no_cross_join_no_python_in_tasks(spark, name):
 
 @pytest.fixture(scope="module")
 def stored(spark):
-    save_series(Tables(spark, FOLDER).series, "plan_series", 2)
+    save_series(Tables(spark, FOLDER).series, "plan_series")
     yield spark.table("plan_series")
     spark.sql("DROP TABLE plan_series")
 
@@ -46,14 +46,28 @@ def test_rate_prunes_partitions_and_columns_of_a_stored_table(stored):
     assert all("tags" not in s.split("ReadSchema")[1] for s in scans)
 
 
+def final_plan(frame):
+    """The plan that ran, with its reused parts."""
+    frame.sparkSession.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    execution = frame._jdf.queryExecution()
+    execution.executedPlan().executeCollectPublic()
+    return execution.executedPlan().finalPhysicalPlan().toString()
+
+
 def test_rates_shuffle_the_rows_once(stored):
     frame = rates.multi_rate(
         stored, {"mysql.file_io": ["operations_total"]}, [RUN], START, END, dimensions={}
     )
-    text = plan(frame)
-    # One exchange of the rows, two of the slice tails, which are combined before theirs.
-    assert text.count("Exchange hashpartitioning") == 3
-    assert "partial_max_by" in text
+    text = final_plan(frame)
+    # Rows and slice tails come from one exchange; two more move the tails, a row per slice.
+    assert text.count("ReusedExchange") == 1 and "RoundRobin" not in text
+    assert text.count("FileScan") == 1
+    assert len(re.findall(r"\+- Exchange hashpartitioning", text)) == 3
+
+
+@pytest.mark.parametrize("name", ["benchmark_summary", "saturation", "multi_rate"])
+def test_no_round_robin(spark, name):
+    assert "RoundRobin" not in plan(QUERIES[name](spark, FOLDER))
 
 
 def test_latest_snapshot_needs_no_window_or_join(stored):

@@ -109,6 +109,57 @@ def test_jdbc_query_filters_at_the_server():
     assert "`variable_value`" in snapshots.jdbc_query("status")
 
 
+def test_jdbc_query_is_cut_at_the_server():
+    assert snapshots.jdbc_query("files", 7).endswith("ORDER BY sum_timer_wait DESC LIMIT 7")
+    assert "ORDER BY data_length + index_length DESC LIMIT" in snapshots.jdbc_query("tables")
+    assert "LIMIT" not in snapshots.jdbc_query("variables")
+
+
+def test_drain_returns_what_polls_return(spark):
+    log = entries(spark, [0, 1, 2, 2, 2, 3, 9])
+    polled, cursor = [], T0
+    while True:
+        batch, after = error_log.poll(log, cursor, 2)
+        if after == cursor:
+            break
+        polled += [r["data"] for r in batch.collect()]
+        cursor = after
+    assert sorted(polled) == sorted(r["data"] for r in error_log.drain(log, T0).collect())
+
+
+def test_owners_of_packed_rows(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [("t", "h", {"a": "b"}, 1), (None, "h", {}, 2)],
+        "target_id string, host string, tags map<string, string>, n long",
+    )
+    segments.write_by_target(rows, str(tmp_path / "packed"))
+    found = spark.read.json(str(tmp_path / "packed"))
+    assert {r["n"]: r["owner"] for r in found.collect()} == {1: "t", 2: "h"}
+
+
+def test_broken_lines_are_rejects_not_rows(spark, tmp_path):
+    from tidegauge.schemas import METRICS
+    from tidegauge.sources import jsonl
+
+    (tmp_path / "m.jsonl").write_text(
+        '{"ts": "2024-01-01T00:00:00Z", "run_id": "r", "host": "h", "metric": "m", "value": 1.5}\n'
+        '{"ts": "no time", "run_id": "r2"}\n{broken\n[1, 2]\n\t\n'
+    )
+    rows = jsonl.read_metrics_jsonl(spark, str(tmp_path)).collect()
+    assert [(r["run_id"], r["ts"] is None) for r in rows] == [("r", False), ("r2", True)]
+    rejects = jsonl.read_rejects(spark, str(tmp_path), METRICS).collect()
+    assert [r["value"] for r in rejects] == ["{broken", "[1, 2]"]
+    assert jsonl.read_metrics_jsonl(spark, str(tmp_path)).count() == 2
+
+
+def test_an_unreadable_ledger_is_an_error(spark, tmp_path):
+    assert segments.read_ledger(spark, str(tmp_path / "none")).count() == 0
+    (tmp_path / "ledger").mkdir()
+    (tmp_path / "ledger" / "part-0.parquet").write_text("not parquet")
+    with pytest.raises(Exception):
+        segments.read_ledger(spark, str(tmp_path / "ledger")).collect()
+
+
 def test_platform_round_trip(spark, tmp_path):
     frame = spark.createDataFrame(
         [(T0, "cpu_percent", "s", 1.0, 2.0, 3.0)],

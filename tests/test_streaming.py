@@ -116,7 +116,12 @@ def test_alert_of_a_window_follows_later_rows(spark, tmp_path):
     assert set(feed_metric((1, 90.0))) == {T0 - timedelta(minutes=m) for m in (0, 5, 10)}
     assert feed_metric((2, 84.0))[T0] == 87.0
     assert T0 not in feed_metric((8, 10.0))
-    assert rollups.current_alerts(spark, str(tmp_path / "out")).count() == 3
+    current = rollups.current_alerts(spark, str(tmp_path / "out"))
+    truth = rollups.all_alerts(spark, str(tmp_path / "out"))
+    assert sorted(current.collect()) == sorted(truth.select(current.columns).collect())
+    assert {r["window_start"] for r in current.collect()} == {T0 - timedelta(minutes=10)}
+    assert feed_metric((3, 1.0)) == {}
+    assert rollups.current_alerts(spark, str(tmp_path / "out")).count() == 0
 
 
 BEAT = ("ts timestamp, target_id string, host string, run_id string, measurement string, "

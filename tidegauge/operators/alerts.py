@@ -65,8 +65,8 @@ def _windows(rule: AlertRule) -> Column:
     return F.filter(starts, lambda s: s + F.lit(size) > F.unix_seconds("pane"))
 
 
-def evaluate(pane_rows: DataFrame, rules: Sequence[AlertRule] = RULES) -> DataFrame:
-    """Windows whose value exceeds the threshold of their rule."""
+def windows_of(pane_rows: DataFrame, rules: Sequence[AlertRule] = RULES) -> DataFrame:
+    """The panes, once for each rule and window they belong to."""
     described = F.array(*[
         F.struct(
             F.lit(r.metric).alias("metric"), F.lit(r.name).alias("rule"),
@@ -77,13 +77,17 @@ def evaluate(pane_rows: DataFrame, rules: Sequence[AlertRule] = RULES) -> DataFr
         )
         for r in rules
     ])
-    windows = (
+    return (
         pane_rows.select("*", F.inline(described))
         .filter(F.col("metric") == F.col("metric_name"))
         .select("*", F.explode("starts").alias("start"))
         .withColumn("window_start", F.timestamp_seconds("start"))
         .withColumn("window_end", F.timestamp_seconds(F.col("start") + F.col("size")))
     )
+
+
+def judged(windows: DataFrame) -> DataFrame:
+    """Value and threshold of every window, whether it fires or not."""
     value = (
         F.when(F.col("aggregation") == "Average", F.sum("sum_average") / F.sum("count_average"))
         .when(F.col("aggregation") == "Total", F.sum("sum_total"))
@@ -92,11 +96,15 @@ def evaluate(pane_rows: DataFrame, rules: Sequence[AlertRule] = RULES) -> DataFr
     return (
         windows.groupBy(*WINDOW_KEYS, "aggregation", "threshold")
         .agg(value.alias("value"))
-        .filter(F.col("value") > F.col("threshold"))
         .select(*WINDOW_KEYS, "value", "threshold")
     )
 
 
+def evaluate(pane_rows: DataFrame, rules: Sequence[AlertRule] = RULES) -> DataFrame:
+    """Windows whose value exceeds the threshold of their rule."""
+    return judged(windows_of(pane_rows, rules)).filter("value > threshold")
+
+
 def metric_alerts(metrics: DataFrame, rules: Sequence[AlertRule] = RULES) -> DataFrame:
     return evaluate(panes(metrics, rules), rules)
 

@@ -139,7 +139,8 @@ def server_compliance(variables: DataFrame) -> DataFrame:
     def latest(name: str) -> Column:
         chosen = F.col("variable_name") == name
         return F.max_by(
-            F.when(chosen, F.col("variable_value")), F.when(chosen, F.col("observed_at"))
+            F.when(chosen, F.col("variable_value")),
+            F.when(chosen, F.struct("observed_at", "variable_value")),
         )
 
     return (

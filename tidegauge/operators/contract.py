@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.catalog import catalog_frame, field_frame
 from tidegauge.functions.tags import series_key
+from tidegauge.functions.text import filled
 from tidegauge.functions.timing import has_utc_offset, parse_instant, utc_iso
 from tidegauge.operators.audits import CONTRACT_VERSION
 from tidegauge.schemas import POINTS, SERIES, WIRE_NAMES
@@ -48,8 +49,7 @@ def invariant_problem(naive: Column | None = None) -> Column:
 
     ``naive`` is the condition that the observation time names no offset.
     """
-    blank = [F.when(F.trim(F.coalesce(F.col(c), F.lit(""))) == "", F.lit(c))
-             for c in REQUIRED_CONTEXT]
+    blank = [F.when(~filled(F.col(c)), F.lit(c)) for c in REQUIRED_CONTEXT]
     missing = F.array_join(F.array_compact(F.array(*blank)), ", ")
     measurement = F.coalesce(F.col("measurement"), F.lit(""))
     names = F.map_keys("fields")
@@ -188,14 +188,14 @@ def series_rows(packed: DataFrame) -> DataFrame:
 def legacy_metric_rows(
     points: DataFrame, source: str, names: Mapping[str, str] | None = None
 ) -> DataFrame:
-    """Legacy rows of untagged points; a tagged point fails the job."""
-    refused = F.raise_error(
-        F.concat(
-            F.col("measurement"),
-            F.lit(" has tags and cannot be represented by the legacy metric table"),
-        )
-    ).cast("boolean")
-    untagged = points.filter(F.when(F.size("tags") <= 0, F.lit(True)).otherwise(refused))
+    """Legacy rows of untagged points; one that has tags or breaks the contract fails the job."""
+    tagged = F.when(F.size("tags") > 0, F.concat(
+        F.col("measurement"), F.lit(" has tags and cannot be represented by the legacy metric table")
+    ))
+    refused = F.coalesce("problem", tagged)
+    untagged = check_points(points).filter(
+        F.when(refused.isNull(), F.lit(True)).otherwise(F.raise_error(refused).cast("boolean"))
+    ).drop("problem")
     metric = F.col("field")
     for field, renamed in (names or {}).items():
         metric = F.when(F.col("field") == field, F.lit(renamed)).otherwise(metric)

@@ -2,7 +2,8 @@
 
 The built-in exact percentile keeps all distinct values of a group in one buffer. Here only the
 rank is computed centrally: a histogram with a bounded number of buckets tells in which bucket a
-rank lies, and only the values of that bucket are ordered.
+rank lies, a second one inside that bucket in which of its parts, and only the values of that part
+are ordered. Values in a narrow range thus still spread over many parts.
 """
 
 from __future__ import annotations
@@ -18,7 +19,11 @@ from tidegauge.functions.text import columns
 #: which bounds the histogram of a group whatever its number of rows.
 BUCKETS_PER_E = 1024
 _ZERO = 720 * BUCKETS_PER_E
-_SCALE = f"least(floor(ln(abs(_v)) * {BUCKETS_PER_E}) + {_ZERO}, {3 * _ZERO})"
+#: Equal parts of a bucket between its least and greatest value.
+PARTS = 4096
+_SCALE = (
+    f"greatest(1, floor(least(ln(abs(_v)) * {BUCKETS_PER_E}, {2 * _ZERO}D)) + {_ZERO})"
+)
 _BUCKET = (
     f"CASE WHEN isnan(_v) THEN {4 * _ZERO} WHEN _v > 0 THEN {_SCALE} WHEN _v < 0 THEN -{_SCALE} "
     "WHEN _v = 0 THEN 0 END"
@@ -63,6 +68,7 @@ def distribution(
         "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _before",
         f"coalesce(sum({present}) {group}, 0) AS _valid", f"sum(_n) {group} AS _rows",
         f"sum(_sum) {group} AS _total", f"min(_min) {group} AS _low", f"max(_max) {group} AS _high",
+        "_min AS _first", "_max AS _last",
     )
     ranks = {name: f"({p}D * (_valid - 1))" for name, p in percentiles.items()}
     ends = [f"{side}({rank})" for rank in ranks.values() for side in ("floor", "ceil")]
@@ -72,9 +78,28 @@ def distribution(
     )
     target = placed.filter(wanted).drop("_n")
     same = " AND ".join(["_bucket <=> _kb"] + [f"`{k}` <=> _k{i}" for i, k in enumerate(keys)])
-    picked = counted.join(target, F.expr(same)).withColumn(
+    inside = counted.join(target, F.expr(same)).withColumn("_part", F.expr(
+        f"CASE WHEN _last > _first AND _last - _first < double('Infinity') "
+        f"THEN CAST(least(floor((_v - _first) / (_last - _first) * {PARTS}), {PARTS - 1}) AS INT) "
+        "ELSE 0 END"
+    ))
+    parts = (
+        inside.groupBy(*keys, "_bucket", "_part")
+        .agg(F.expr("sum(_n)").alias("_n"), F.expr("max(_before)").alias("_before"),
+             F.expr("max(_valid)").alias("_valid"))
+        .withColumn("_before", F.expr(
+            f"_before + coalesce(sum(_n) OVER (PARTITION BY {by}, _bucket ORDER BY _part "
+            "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"))
+        .filter(wanted.replace("_kb IS NOT NULL", "_bucket IS NOT NULL"))
+        .selectExpr(*[f"`{k}` AS _p{i}" for i, k in enumerate(keys)], "_bucket AS _pb",
+                    "_part AS _pp", "_before AS _from")
+    )
+    in_part = " AND ".join(
+        ["_bucket <=> _pb", "_part = _pp"] + [f"`{k}` <=> _p{i}" for i, k in enumerate(keys)]
+    )
+    picked = inside.join(parts, F.expr(in_part)).withColumn(
         "_start",
-        F.expr(f"_before - _n + sum(_n) OVER (PARTITION BY {by}, _bucket ORDER BY _v "
+        F.expr(f"_from - _n + sum(_n) OVER (PARTITION BY {by}, _bucket, _part ORDER BY _v "
                "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"),
     )
 

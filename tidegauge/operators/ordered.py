@@ -2,9 +2,8 @@
 
 A window over a series puts the whole series into one task. Here a series is cut into time slices,
 so a window only ever sees one slice. What a slice must know of the past is a single row, the last
-one before it; that row is found by a plain aggregation (combined before its shuffle, one row per
-slice) and handed to the slice as a carried row. Every row still meets its true predecessor,
-however long the gap.
+one before it; that row is found by a plain aggregation (one row per slice) and handed to the slice
+as a carried row. Every row still meets its true predecessor, however long the gap.
 """
 
 from __future__ import annotations
@@ -40,24 +39,24 @@ def with_previous(
 
     The slice column stays in the result. ``colocate`` names a subset of the keys to shuffle by
     (the slice is added), so that a later grouping by those columns, the slice and more needs no
-    shuffle of its own. Of different values at one instant the largest counts as the last one
-    inside a slice; across a slice border any of them may.
+    shuffle of its own. Of different values at one instant the largest counts as the last one.
     """
-    sliced = rows.withColumn(SLICE, slice_of(ts, slice_seconds))
+    # The rows are shuffled once: the tails are aggregated where their slices lie. They look at every
+    # column, so that both readers of the shuffle read the same and Spark runs it for both.
+    place = [*(colocate or keys), SLICE]
+    sliced = rows.withColumn(SLICE, slice_of(ts, slice_seconds)).repartition(*place)
     tails = sliced.groupBy(*keys, SLICE).agg(
-        F.max_by(value, ts).alias(value), F.max(ts).alias(ts)
-    )
+        F.max_by(F.struct(*sliced.columns), F.struct(ts, value)).alias("_tail")
+    ).select(*keys, SLICE, *[F.col("_tail")[c].alias(c) for c in (ts, value)])
     by = columns(keys)
     carried = tails.selectExpr(
         *keys, value, ts,
         f"lead({SLICE}) OVER (PARTITION BY {by} ORDER BY {SLICE}) AS {SLICE}",
         f"true AS {_CARRIED}",
-    ).filter(f"{SLICE} IS NOT NULL")
+    ).filter(f"{SLICE} IS NOT NULL").repartition(*place)
     both = sliced.withColumn(_CARRIED, F.lit(False)).unionByName(
         carried, allowMissingColumns=True
     )
-    if colocate:
-        both = both.repartition(*colocate, SLICE)
     # The slice leads the sort: a number that tells most rows apart without comparing text.
     order = f"OVER (PARTITION BY {SLICE}, {by} ORDER BY {ts}, {value})"
     return (
@@ -77,7 +76,8 @@ def latest_before(
 ) -> DataFrame:
     """As-of match: add ``mark_ts`` and the mark's payload, the newest mark at or before each row.
 
-    Rows without an earlier mark keep nulls. Both inputs have the keys and ``ts``.
+    Rows without an earlier mark keep nulls. Both inputs have the keys and ``ts``. Of several marks
+    at one instant the one with the largest payload counts.
     """
     info = ["mark_ts", *payload]
     rows_in = rows.withColumn(SLICE, slice_of(ts, slice_seconds))
@@ -86,8 +86,8 @@ def latest_before(
         slice_of(ts, slice_seconds).alias(SLICE),
     )
     tails = marks_in.groupBy(*keys, SLICE).agg(
-        *[F.max_by(name, ts).alias(name) for name in info], F.max(ts).alias(ts)
-    )
+        F.max(F.struct(ts, *info)).alias("_tail")
+    ).select(*keys, SLICE, *[F.col("_tail")[c].alias(c) for c in (*info, ts)])
     slices = rows_in.select(*keys, SLICE).distinct()
     before = W.partitionBy(*keys).orderBy(SLICE).rowsBetween(W.unboundedPreceding, -1)
     # A mark travels as one struct, so that a null in its payload stays its own.
@@ -106,7 +106,7 @@ def latest_before(
     )
     upto = (
         W.partitionBy(SLICE, *keys)
-        .orderBy(ts, "_row")
+        .orderBy(ts, "_row", *payload)
         .rowsBetween(W.unboundedPreceding, W.currentRow)
     )
     mark = F.when(~F.col("_row"), F.struct(*info))

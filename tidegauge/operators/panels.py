@@ -78,7 +78,7 @@ def latest_value(
     return (
         _samples(series, run, targets, STATUS, [field], start, end)
         .groupBy("target_id")
-        .agg(F.max_by("value", "ts").alias(name))
+        .agg(F.max_by("value", F.struct("ts", "value")).alias(name))
     )
 
 
@@ -108,7 +108,7 @@ def buffer_pool_hit_ratio(
     return (
         paired.filter(F.col("reads").isNotNull() & (F.col("requests") > 0))
         .groupBy("target_id")
-        .agg(F.max_by(ratio, F.col("ts")).alias("hit_ratio"))
+        .agg(F.max_by(ratio, F.struct(F.col("ts"), ratio)).alias("hit_ratio"))
         .withColumn(
             "band",
             F.when(F.col("hit_ratio") >= high, "ok")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -59,6 +60,30 @@ def _metric_series_rate(t):
     )
 
 
+@query(
+    "rate_ties",
+    """
+    SELECT ts, run_id, host, round(delta / seconds, 6) + 0e0 AS rate FROM (
+        SELECT *, value - lag(value) OVER w AS delta,
+               epoch_us(ts) // 1000000 - epoch_us(lag(ts) OVER w) // 1000000 AS seconds
+        FROM (SELECT time_bucket(INTERVAL 1 HOUR, ts) - INTERVAL 1 SECOND * (event_id % 2) AS ts,
+                     run_id, host, CAST(event_id % 977 AS DOUBLE) AS value FROM ev)
+        WINDOW w AS (PARTITION BY run_id, host ORDER BY ts, value))
+    WHERE seconds > 0 AND delta >= 0
+    """,
+)
+def _rate_ties(t):
+    """Many values at one instant, on both sides of the borders of hour slices."""
+    ties = t.events.selectExpr(
+        "date_trunc('hour', ts) - make_interval(0, 0, 0, 0, 0, 0, event_id % 2) AS ts", "run_id",
+        "host", "'tier' AS tier", "'m' AS metric", "CAST(event_id % 977 AS DOUBLE) AS value",
+    )
+    runs = [r["run_id"] for r in ties.select("run_id").distinct().collect()]
+    rated = [rates.counter_rate(ties, "m", run).select("ts", F.lit(run).alias("run_id"), "host", "rate")
+             for run in sorted(runs)]
+    return reduce(lambda a, b: a.unionByName(b), rated)
+
+
 @query(
     "multi_rate", _RATE_SELECT,
     rate_tables(f"({field_is('mysql.file_io', 'operations_total', 'bytes_total')} "

@@ -7,6 +7,7 @@ frame reads what it wrote. Where a stream must end at the batch result, the batc
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -51,12 +52,12 @@ def _read_telemetry_jsonl(t):
     "read_series_jsonl",
     f"""
     SELECT ts, contract_version, run_id, target_id, host, tier, measurement, field,
-           {r('value', 'value')}, series_key, tag_event AS event, tag_mode AS mode
-    FROM series WHERE measurement = 'mysql.file_io'
+           {r('value', 'value')}, series_key, nullif(tag_event, '') AS event, nullif(tag_mode, '') AS mode
+    FROM series
     """,
 )
 def _read_series_jsonl(t):
-    frame = _round_trip(t, t.measurement("mysql.file_io"), jsonl.read_series_jsonl)
+    frame = _round_trip(t, t.series, jsonl.read_series_jsonl)
     return frame.selectExpr("*", "tags['event'] AS event", "tags['mode'] AS mode").drop(
         "tags", "kind", "unit"
     )
@@ -132,34 +133,35 @@ def _write_telemetry_jsonl(t):
 # --- snapshots and platform tables ----------------------------------------------------------
 
 
-@query(
-    "scan_snapshots",
-    """
-    SELECT 'tables' AS name, count(*) AS rows, CAST(sum(data_length) AS BIGINT) AS total
-    FROM tables WHERE table_type = 'BASE TABLE' AND engine IS NOT NULL
-      AND table_schema NOT IN ('mysql', 'information_schema', 'performance_schema', 'sys')
-    UNION ALL SELECT 'files', count(*), CAST(sum(sum_timer_wait // 1000000) AS BIGINT)
-    FROM files WHERE count_star > 0
-    UNION ALL SELECT 'digests', count(*), CAST(sum(sum_timer_wait // 1000000) AS BIGINT)
-    FROM digests WHERE digest IS NOT NULL
-    UNION ALL SELECT 'engine_metrics', count(*), CAST(sum("count") AS BIGINT)
-    FROM engine_metrics WHERE status = 'enabled'
-    """,
-)
+#: The fixture has one table for both kinds of object waits.
+_EXPORTED = {"table_io": "object_io", "index_io": "object_io"}
+#: What is summed over each scan, as both engines read it.
+_SCANNED = {
+    "status": "sum(length(variable_value))", "files": "sum(sum_timer_wait {div} 1000000)",
+    "digests": "sum(sum_timer_wait {div} 1000000)", "engine_metrics": "sum({quote}count{quote})",
+    "variables": "sum(length(variable_value))", "sessions": "sum(length(state))",
+    "tables": "sum(data_length)", "table_io": "sum(count_star)", "index_io": "sum(count_star)",
+    "error_log": "sum(length(data))",
+}
+
+
+@query("scan_snapshots", " UNION ALL ".join(
+    f"SELECT '{name}' AS name, count(*) AS rows, "
+    f"CAST({total.format(div='//', quote=chr(34))} AS BIGINT) AS total "
+    f"FROM {_EXPORTED.get(name, name)} WHERE {snapshots.SCANS[name][2]}"
+    for name, total in _SCANNED.items()
+))
 def _scan_snapshots(t):
-    totals = {
-        "tables": F.sum("data_length"), "files": F.sum(F.expr("sum_timer_wait div 1000000")),
-        "digests": F.sum(F.expr("sum_timer_wait div 1000000")), "engine_metrics": F.sum("count"),
-    }
-    parts = None
-    for name, total in totals.items():
+    parts = []
+    for name, total in _SCANNED.items():
         path = scratch_folder(t.spark, name)
-        t.snapshot(name).write.parquet(path)
-        part = snapshots.read_snapshot(t.spark, name, path).agg(
-            F.count(F.lit(1)).alias("rows"), total.alias("total")
-        ).select(F.lit(name).alias("name"), "rows", "total")
-        parts = part if parts is None else parts.union(part)
-    return parts
+        exported = t.error_log if name == "error_log" else t.snapshot(_EXPORTED.get(name, name))
+        exported.write.parquet(path)
+        parts.append(snapshots.read_snapshot(t.spark, name, path).agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.expr(f"CAST({total.format(div='div', quote='`')} AS BIGINT)").alias("total"),
+        ).select(F.lit(name).alias("name"), "rows", "total"))
+    return reduce(lambda a, b: a.union(b), parts)
 
 
 @query(
@@ -215,13 +217,22 @@ def _incremental_error_log(t):
     return batch.select("logged", "run_id", "target_id", "error_code", "prio", "subsystem", "data")
 
 
+@query(
+    "drained_error_log",
+    "SELECT logged, run_id, target_id, error_code, prio, subsystem, data FROM error_log "
+    "WHERE logged > TIMESTAMP '2024-01-10'",
+)
+def _drained_error_log(t):
+    rows = error_log.drain(t.error_log, datetime(2024, 1, 10))
+    return rows.select("logged", "run_id", "target_id", "error_code", "prio", "subsystem", "data")
+
+
 @query(
     "error_log_cold_start",
     "SELECT max(logged) AS cursor FROM error_log",
 )
 def _error_log_cold_start(t):
-    start = error_log.cold_cursor(t.error_log, AS_OF)
-    return t.spark.range(1).select(F.lit(start).cast("timestamp").alias("cursor"))
+    return error_log.cold_start(t.error_log, AS_OF)
 
 
 # --- segments -------------------------------------------------------------------------------
@@ -414,7 +425,7 @@ def _stream_series_rate(t):
 def _stream_metric_alerts(t):
     stream, out, log = _streamed(t, t.platform_metrics, "alerts", 3)
     run_available(rollups.alert_stream(stream, out), log)
-    return rollups.all_alerts(t.spark, out)
+    return rollups.current_alerts(t.spark, out)
 
 
 @query("stream_write_points", _SERIES_ROWS, CONTRACT)
@@ -424,6 +435,15 @@ def _stream_write_points(t):
     return read_batches(t.spark, f"{out}/series").drop("tags", "day")
 
 
+@query("stream_point_rejects", _REJECTED, CONTRACT)
+def _stream_point_rejects(t):
+    stream, out, log = _streamed(t, _wire_points(t), "points", 3)
+    run_available(ingest.point_stream(stream, out), log)
+    return read_batches(t.spark, f"{out}/rejects").groupBy("problem").agg(
+        F.count(F.lit(1)).alias("rows")
+    )
+
+
 def _wire_points(t):
     """Points with their faults; a naive time, which a parsed column cannot show, is null."""
     return c.point_from_row(wire_rows(t)).drop("event_id", "observed_at")

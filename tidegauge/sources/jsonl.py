@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidegauge.functions.text import filled
 from tidegauge.operators.contract import (
     check_points,
     naive_text,
@@ -17,20 +18,42 @@ from tidegauge.operators.contract import (
 from tidegauge.schemas import EVENTS, METRICS, POINTS, SERIES, WIRE_NAMES, wire_schema
 
 
+#: Characters of a failing line that the message of a strict load shows.
+MESSAGE_CHARACTERS = 200
+
+
 class ArchiveError(ValueError):
     """An archive without any telemetry row."""
 
 
+_BROKEN = "_broken_line"
+
+
+def _lines(spark: SparkSession, path: str, table: T.StructType) -> DataFrame:
+    """Lines that are not blank (``value``), with their file and their wire row; its last field is
+    the text of a line that is no such row, null for all others."""
+    wire = T.StructType([*wire_schema(table).fields, T.StructField(_BROKEN, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}
+    return spark.read.text(path).filter(filled(F.col("value"))).select(
+        "value", F.col("_metadata.file_path").alias("file"),
+        F.from_json("value", wire, options).alias("row"),
+    )
+
+
 def _read(spark: SparkSession, path: str, table: T.StructType) -> DataFrame:
-    """Rows of a table from its wire form; keys that a line lacks become null."""
-    wire = wire_schema(table)
-    rows = spark.read.schema(wire).json(path)
+    """Rows of a table from its wire form; keys that a line lacks, and times that cannot be read,
+    become null. Lines that are no row are left to ``read_rejects``."""
     columns = [
-        F.to_timestamp(f.name).alias(f.name) if f.name == "ts"
-        else F.col(WIRE_NAMES.get(f.name, f.name)).alias(f.name)
+        F.try_to_timestamp("row.ts").alias("ts") if f.name == "ts"
+        else F.col(f"row.{WIRE_NAMES.get(f.name, f.name)}").alias(f.name)
         for f in table.fields
     ]
-    return rows.select(*columns)
+    return _lines(spark, path, table).filter(F.col(f"row.{_BROKEN}").isNull()).select(*columns)
+
+
+def read_rejects(spark: SparkSession, path: str, table: T.StructType) -> DataFrame:
+    """The lines that are no row of the table (``value``), with their file."""
+    return _lines(spark, path, table).filter(F.col(f"row.{_BROKEN}").isNotNull()).select("file", "value")
 
 
 def read_telemetry_jsonl(spark: SparkSession, path: str) -> DataFrame:
@@ -85,7 +108,7 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     All other columns of the lines, such as their file, stay.
     """
     kept = [c for c in lines.columns if c != "value"]
-    parsed = lines.filter(F.trim("value") != "").withColumn(
+    parsed = lines.filter(filled(F.col("value"))).withColumn(
         "_row", F.from_json("value", _ARRIVING, {"mode": "PERMISSIVE"})
     )
     missing = F.array_compact(F.array(*[
@@ -116,14 +139,14 @@ def load_archive(
     line is an error.
     """
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
-    if lines.filter(F.trim("value") != "").isEmpty():
+    if lines.filter(filled(F.col("value"))).isEmpty():
         raise ArchiveError(f"{path} contains no telemetry rows")
     checked = parse_lines(lines)
     invalid = F.col("problem").isNotNull()
     if strict:
         failure = F.raise_error(
             F.concat(F.col("file"), F.lit(": invalid telemetry row: "), F.col("problem"),
-                     F.lit(": "), F.substring("value", 1, 200))
+                     F.lit(": "), F.substring("value", 1, MESSAGE_CHARACTERS))
         ).cast("boolean")
         valid = checked.filter(F.when(~invalid, F.lit(True)).otherwise(failure))
     else:

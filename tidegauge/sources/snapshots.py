@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.catalog import STATUS_NAMES
+from tidegauge.operators.audits import TOP_K
 from tidegauge.operators.normalize import POLL, SYSTEM_SCHEMAS
 
 # Server tables, the columns read of them, and the rows left at the source.
@@ -77,11 +78,28 @@ def read_snapshot(spark: SparkSession, name: str, path: str) -> DataFrame:
     return scan_snapshot(spark.read.parquet(path), name)
 
 
-def jdbc_query(name: str) -> str:
-    """Text sent to a server. Reserved column names are quoted the server's way."""
+#: The order in which a server sends the rows of the scans that have a limit, and the
+#: measurement whose limit it is.
+RANKED: Mapping[str, tuple[str, str]] = {
+    "files": ("sum_timer_wait", "mysql.file_io"),
+    "digests": ("sum_timer_wait", "mysql.statement_digest"),
+    "tables": ("data_length + index_length", "mysql.schema_size"),
+    "table_io": ("sum_timer_wait", "mysql.table_io"),
+    "index_io": ("sum_timer_wait", "mysql.index_io"),
+}
+
+
+def jdbc_query(name: str, top_k: int | None = None) -> str:
+    """Text sent to a server. Reserved column names are quoted the server's way; scans that keep
+    the busiest or largest rows are ordered and cut by the server (``top_k`` of them, or as many
+    as the operators keep)."""
     table, columns, condition = SCANS[name]
     listed = ", ".join(f"`{c}`" for c in columns.split())
-    return f"SELECT {listed} FROM {table} WHERE {condition}"
+    text = f"SELECT {listed} FROM {table} WHERE {condition}"
+    if name in RANKED:
+        order, measurement = RANKED[name]
+        text += f" ORDER BY {order} DESC LIMIT {int(top_k or TOP_K[measurement])}"
+    return text
 
 
 def read_snapshot_jdbc(

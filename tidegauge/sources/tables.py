@@ -17,19 +17,16 @@ from tidegauge.operators.audits import RETENTION_DAYS, retained
 DAY = "day"
 
 
-def save_series(series: DataFrame, table: str, files_per_day: int = 64) -> None:
+def save_series(series: DataFrame, table: str) -> None:
     """Append series rows to a catalog table partitioned by measurement and day.
 
-    A day of a measurement is spread over some files by series, sorted inside each, so that one
-    series is found by file statistics and a hot series fills one file, not one task.
+    Spark splits a day of a measurement by its size. Files are sorted inside, so that a field and
+    series are found by the statistics of their row groups.
     """
-    spread = F.pmod(F.xxhash64("series_key", F.hour("ts")), F.lit(files_per_day))
     (
         series.withColumn(DAY, F.to_date("ts"))
-        .withColumn("_file", spread)
-        .repartition("measurement", DAY, "_file")
+        .hint("rebalance", F.col("measurement"), F.col(DAY))
         .sortWithinPartitions("measurement", DAY, "field", "series_key", "ts")
-        .drop("_file")
         .write.mode("append").format("parquet").partitionBy("measurement", DAY)
         .saveAsTable(table)
     )

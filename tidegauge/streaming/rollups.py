@@ -14,12 +14,13 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from tidegauge.operators.alerts import (
     PANE_KEYS,
-    PANE_SECONDS,
     RULES,
     WINDOW_KEYS,
     AlertRule,
     evaluate,
+    judged,
     panes,
+    windows_of,
 )
 from tidegauge.operators.rollups import (
     EVENT_KEYS,
@@ -28,7 +29,7 @@ from tidegauge.operators.rollups import (
     merge_partials,
     metrics_partials,
 )
-from tidegauge.streaming.batches import read_batches, write_batch
+from tidegauge.streaming.batches import read_batch, read_batches, write_batch
 
 
 def metrics_stream(metrics: DataFrame, folder: str) -> DataStreamWriter:
@@ -83,36 +84,40 @@ def _merged_panes(rows: DataFrame) -> DataFrame:
 def alert_stream(
     metrics: DataFrame, folder: str, rules: Sequence[AlertRule] = RULES
 ) -> DataStreamWriter:
-    """Writer that keeps panes and, per batch, the alerts of the windows the batch touched."""
-    spread = max(rule.window_minutes * 60 for rule in rules)
+    """Writer that keeps panes by day and, per batch, judges the windows the batch touched.
+
+    A touched window is written whether it fires or not, so that one which falls back below its
+    threshold takes back the alert of an earlier batch.
+    """
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        write_batch(panes(batch, rules), f"{folder}/panes", batch_id)
-        spark = batch.sparkSession
-        stored = read_batches(spark, f"{folder}/panes")
-        touched = spark.read.parquet(f"{folder}/panes/batch={batch_id}").agg(
-            F.min("pane").alias("first"), F.max("pane").alias("last")
-        ).first()
-        if touched["first"] is None:
-            return
-        reach = F.make_interval(secs=F.lit(spread + PANE_SECONDS))
-        near = stored.filter(
-            F.col("pane").between(F.lit(touched["first"]) - reach, F.lit(touched["last"]) + reach)
+        write_batch(
+            panes(batch, rules).withColumn("day", F.to_date("pane")), f"{folder}/panes", batch_id,
+            by=["day"],
         )
-        fired = evaluate(_merged_panes(near), rules).filter(
-            (F.col("window_end") > F.lit(touched["first"]))
-            & (F.col("window_start") <= F.lit(touched["last"]))
-        )
-        write_batch(fired.withColumn("version", F.lit(batch_id)), f"{folder}/alerts", batch_id)
+        spark = batch.sparkSession
+        own = read_batch(spark, f"{folder}/panes", batch_id)
+        touched = windows_of(own, rules).select(*WINDOW_KEYS).distinct()
+        # Windows are shorter than a day: the touched days and their neighbours hold all of them.
+        days = [
+            r["d"] for r in own.select(F.explode(F.expr(
+                "array(date_sub(day, 1), day, date_add(day, 1))")).alias("d")).distinct().collect()
+        ]
+        near = read_batches(spark, f"{folder}/panes").filter(F.col("day").isin(days))
+        found = judged(windows_of(_merged_panes(near), rules)).join(touched, [*WINDOW_KEYS], "left_semi")
+        write_batch(found.withColumn("version", F.lit(batch_id)), f"{folder}/alerts", batch_id)
 
     return metrics.writeStream.foreachBatch(step)
 
 
 def current_alerts(spark: SparkSession, folder: str) -> DataFrame:
-    """Latest evaluation of every window that ever fired."""
+    """The windows that fire by their latest evaluation."""
     rows = read_batches(spark, f"{folder}/alerts")
-    return rows.groupBy(*WINDOW_KEYS).agg(
-        F.max_by("value", "version").alias("value"), F.max("threshold").alias("threshold")
+    return (
+        rows.groupBy(*WINDOW_KEYS)
+        .agg(F.max_by(F.struct("value", "threshold"), "version").alias("latest"))
+        .select(*WINDOW_KEYS, "latest.value", "latest.threshold")
+        .filter("value > threshold")
     )
 
 
