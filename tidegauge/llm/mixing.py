@@ -22,6 +22,8 @@ from tidegauge.llm.common import WORD, leading_bits, seeded
 #: Documents of a pattern that are ordered in one window, about.
 ROWS_PER_BUCKET = 2000
 _BITS = 30
+#: The table of patterns is broadcast up to this many rows; larger ones are joined by a shuffle.
+MOST_BROADCAST = 10_000
 _WORD = re.compile(WORD)
 
 
@@ -191,6 +193,8 @@ def mix(
         "pattern string, buckets long, lap long, legs array<struct<source: string, "
         "source_size: bigint, target: double, first: bigint, last: bigint>>",
     )
+    if len(plan) <= MOST_BROADCAST:
+        patterns = F.broadcast(patterns)
 
     dealt = rows.join(patterns.select("pattern", "buckets"), "pattern").withColumn(
         "bucket", F.expr(f"({_bits()} * buckets) div {1 << _BITS}")
