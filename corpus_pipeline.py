@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from tidegauge.llm import language_crf, line_dedup, mixing, packing, shingle_join
 from tidegauge.llm.common import measured, stored, word_count
 
-#: Documents whose language is less likely than this are rejected.
-LEAST_SCORE = 0.5
+#: Documents whose language is less likely than this are rejected. Text that switches between
+#: languages scores the share of its main one, and stays.
+LEAST_SCORE = 0.3
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
