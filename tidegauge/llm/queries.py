@@ -149,7 +149,27 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.dedup_lines(docs).select("doc_id", "text", "line_dedup.*")
 
 
-@query("op7_warc_pages")
+_HEX_BITS = (
+    "array_to_string(list_transform(range(1, 41), lambda i: "
+    "lpad(to_binary(strpos('0123456789abcdef', substr(hex, i, 1)) - 1), 4, '0')), '')"
+)
+_BASE32 = (
+    "array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + "
+    + " + ".join(f"{16 >> k} * CAST(substr(bits, CAST(5 * i + {k + 1} AS INT), 1) AS INT)" for k in range(5))
+    + ", 1)), '')"
+)
+
+
+@query("op7_warc_pages", sql=f"""
+    SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
+           CASE WHEN page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN page_id < last THEN last END AS refers_to
+    FROM (SELECT *, {_HEX_BITS} AS bits FROM (
+        SELECT page_id, sha1(coalesce(html, '')) AS hex,
+               CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
+               max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last
+        FROM pages))
+""")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     archives = scratch_folder(spark, "warc")
     warc.write_pages(table(spark, folder, "pages"), archives)
@@ -188,6 +208,27 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("op10_shingle_join")
+@query("op10_shingle_join", sql=r"""
+    WITH RECURSIVE split AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+    sets AS (
+        SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+            ELSE list_distinct(list_transform(range(1, len(words) - 3),
+                lambda i: array_to_string(list_slice(words, i, i + 4), ' '))) END AS shingles FROM split),
+    sizes AS (SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n FROM sets),
+    entries AS (SELECT doc_id, unnest(shingles) AS shingle FROM sets),
+    common AS (
+        SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+        FROM entries x JOIN entries y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY ALL),
+    links AS (
+        SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+        WHERE 100 * shared >= 75 * (x.n + y.n - shared)),
+    reached(doc_id, root) AS (
+        SELECT doc_id, doc_id FROM sets
+        UNION SELECT links.b, root FROM reached JOIN links ON links.a = reached.doc_id)
+    SELECT doc_id, n AS n_shingles, component_id
+    FROM sizes JOIN (SELECT doc_id, min(root) AS component_id FROM reached GROUP BY doc_id) USING (doc_id)
+""")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return shingle_join.join(table(spark, folder, "documents")).drop("mark")
