@@ -16,22 +16,37 @@ from tidegauge.llm.license_texts import KNOWN, SPELLINGS
 MOST_KNOWN = 100_000
 
 
-def normalised(text: Column) -> Column:
-    """Text in the form that is compared; lines stay apart by line feeds.
-
-    Lower case; lines that begin as copyright notices or say only that all rights are reserved are
-    emptied; all but letters and digits become one blank; words are respelled.
-    """
+def bare_words(text: Column) -> Column:
+    """Lower case; lines that begin as copyright notices emptied; all but letters, digits and line
+    feeds one blank."""
     kept = F.regexp_replace(
         F.lower(text),
         r"(^|\n)[ \t]*(?:copyright[ \t]|\(c\)|©|all rights reserved)[^\n]*", "$1",
     )
-    words = F.regexp_replace(kept, r"[^\p{L}\p{N}\n]+", " ")
+    return F.regexp_replace(kept, r"[^\p{L}\p{N}\n]+", " ")
+
+
+def respelled(words: Column) -> Column:
+    """Bare words in their common spellings. Most texts hold none of the others: these are looked
+    for together before they are replaced one by one."""
     # Two blanks between words, so that neighbours do not share the blank they are found by.
-    apart = F.concat(F.lit(" "), F.replace(F.replace(words, F.lit("\n"), F.lit(" \n ")), F.lit(" "), F.lit("  ")), F.lit(" "))
+    apart = F.replace(F.replace(words, F.lit("\n"), F.lit(" \n ")), F.lit(" "), F.lit("  "))
+    apart = F.concat(F.lit(" "), apart, F.lit(" "))
     for spelled, common in SPELLINGS:
         apart = F.replace(apart, F.lit(f" {spelled} "), F.lit(f" {common} "))
-    return F.replace(apart, F.lit("  "), F.lit(" "))
+    other = "|".join(spelled for spelled, _ in SPELLINGS)
+    return F.when(
+        words.rlike(rf"(?:^|[ \n])(?:{other})(?:[ \n]|$)"), F.replace(apart, F.lit("  "), F.lit(" "))
+    ).otherwise(words)
+
+
+def normal_lines(texts: DataFrame, *others: str | Column) -> DataFrame:
+    """``lines``, the normalised lines of ``text``, beside other columns."""
+    words = texts.select(*others, bare_words(F.col("text")).alias("words"))
+    kept = [c for c in words.columns if c != "words"]
+    return words.select(*kept, respelled(F.col("words")).alias("normal")).select(
+        *kept, F.transform(F.split("normal", "\n"), lambda l: F.trim(l)).alias("lines")
+    )
 
 
 def _joined(lines: str) -> str:
@@ -40,11 +55,8 @@ def _joined(lines: str) -> str:
 
 def known_digests(known: DataFrame) -> DataFrame:
     """Digest and licence of known texts; of two licences with one digest the first by name."""
-    whole = known.select(
-        "license_id", F.transform(F.split(normalised(F.col("text")), "\n"), lambda l: F.trim(l)).alias("lines")
-    )
     return (
-        whole.select("license_id", F.expr(_joined("lines")).alias("normal"))
+        normal_lines(known, "license_id").select("license_id", F.expr(_joined("lines")).alias("normal"))
         .where("normal <> ''")
         .groupBy(F.md5("normal").alias("digest")).agg(F.min("license_id").alias("license_id"))
     )
@@ -70,13 +82,9 @@ def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     digests = known_digests(published(spark) if known is None else known)
     if known is None or known.limit(MOST_KNOWN + 1).count() <= MOST_KNOWN:
         digests = F.broadcast(digests)
-    lines = docs.select(
-        "doc_id",
-        F.xxhash64("text").alias("mark"),
-        F.transform(
-            F.split(normalised(F.coalesce("text", F.lit(""))), "\n"), lambda l: F.trim(l)
-        ).alias("lines"),
-        F.expr("transform(split(coalesce(text, ''), '\n'), l -> trim(l))").alias("raw"),
+    lines = normal_lines(
+        docs.select("doc_id", F.xxhash64("text").alias("mark"), F.coalesce("text", F.lit("")).alias("text")),
+        "doc_id", "mark", F.expr("transform(split(text, '\n'), l -> trim(l))").alias("raw"),
     )
     units = lines.select(
         "doc_id", "mark",
@@ -88,7 +96,8 @@ def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
                     if(get(raw, i) = '', '\f', l)), '\n'), '\f'),
                     p -> instr(trim(BOTH '\n' FROM p), '\n') > 0),
                 p -> struct('paragraph' AS kind, {_joined("split(p, '\n')")} AS normal)))""").alias("units"),
-    ).select("doc_id", "mark", F.explode("units").alias("unit"))
+    # Never empty. An inner explode would be preceded by a filter that computes all of it once more.
+    ).select("doc_id", "mark", F.explode_outer("units").alias("unit"))
     looked = units.select(
         "doc_id", "mark", "unit.kind", F.md5("unit.normal").alias("digest")
     ).join(digests, "digest", "left")
