@@ -47,11 +47,12 @@ def dedup_lines(docs: DataFrame, width: int = 3) -> DataFrame:
         keyed.where("body IS NOT NULL")
         .select("id", "mark", F.split("body", "\n", -1).alias("lines"))
         .select("id", "mark", F.expr(
-            f"""inline(filter(transform(
+            f"""inline_outer(filter(transform(
                 sequence(0, greatest(size(lines) - {width}, 0)),
                 i -> struct(i AS at, slice(lines, i + 1, {width}) AS span)),
                 w -> exists(w.span, l -> trim(l) <> '')))"""
         ))
+        .where("at IS NOT NULL")
         .select("id", "mark", "at", F.xxhash64("span").alias("h1"), F.hash("span").alias("h2"))
     )
     repeated = (
