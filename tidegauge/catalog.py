@@ -7,108 +7,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-# Status variables in server order, and which of them are gauges, bytes or times.
-STATUS_NAMES = """
-Innodb_data_reads Innodb_data_writes Innodb_data_read Innodb_data_written Innodb_data_fsyncs
-Innodb_data_pending_reads Innodb_data_pending_writes Innodb_data_pending_fsyncs
-Innodb_pages_read Innodb_pages_written Innodb_pages_created
-Innodb_os_log_written Innodb_os_log_fsyncs Innodb_os_log_pending_fsyncs
-Innodb_os_log_pending_writes Innodb_log_writes Innodb_log_write_requests Innodb_log_waits
-Innodb_buffer_pool_read_requests Innodb_buffer_pool_reads Innodb_buffer_pool_write_requests
-Innodb_buffer_pool_pages_total Innodb_buffer_pool_pages_free Innodb_buffer_pool_pages_dirty
-Innodb_buffer_pool_pages_data Innodb_buffer_pool_bytes_dirty Innodb_buffer_pool_wait_free
-Innodb_rows_read Innodb_rows_inserted Innodb_rows_updated Innodb_rows_deleted
-Innodb_row_lock_waits Innodb_row_lock_time Innodb_row_lock_time_avg
-Innodb_row_lock_current_waits
-Threads_connected Threads_running Threads_created Threads_cached
-Connections Aborted_connects Aborted_clients Max_used_connections
-Queries Questions Slow_queries
-Com_select Com_insert Com_update Com_delete Com_commit Com_rollback Com_begin
-Prepared_stmt_count Bytes_received Bytes_sent
-Handler_read_first Handler_read_key Handler_read_next Handler_read_rnd Handler_read_rnd_next
-Handler_write Handler_update Handler_delete Handler_commit Handler_rollback
-Created_tmp_tables Created_tmp_disk_tables Created_tmp_files
-Select_scan Select_full_join Select_range Sort_merge_passes Sort_rows Sort_scan
-Table_locks_waited Table_locks_immediate Table_open_cache_hits Table_open_cache_misses
-Open_tables Opened_tables Binlog_cache_use Binlog_cache_disk_use
-Ssl_accepts Ssl_finished_accepts Uptime
-""".split()
-STATUS_GAUGES = """
-Innodb_data_pending_reads Innodb_data_pending_writes Innodb_data_pending_fsyncs
-Innodb_os_log_pending_fsyncs Innodb_os_log_pending_writes
-Innodb_buffer_pool_pages_total Innodb_buffer_pool_pages_free Innodb_buffer_pool_pages_dirty
-Innodb_buffer_pool_pages_data Innodb_buffer_pool_bytes_dirty
-Innodb_row_lock_current_waits Innodb_row_lock_time_avg
-Threads_connected Threads_running Threads_cached Max_used_connections
-Prepared_stmt_count Open_tables Uptime
-""".split()
-STATUS_BYTES = """
-Innodb_data_read Innodb_data_written Innodb_os_log_written Innodb_buffer_pool_bytes_dirty
-Bytes_received Bytes_sent
-""".split()
-STATUS_MILLISECONDS = ["Innodb_row_lock_time", "Innodb_row_lock_time_avg"]
-
-# Measurements with tags and cardinality, then their fields as
-# name kind unit type, with ? for optional and - for not projected to series.
-MEASUREMENTS = {
-    "collector.health": ("", "low", """
-        heartbeat gauge state float
-        mysql_reachable gauge state float
-        cycle_duration_ms? gauge ms float
-    """),
-    "mysql.file_io": ("event mode", "bounded", """
-        operations_total counter operations int
-        bytes_total counter bytes int
-        wait_ms_total counter ms float
-    """),
-    "mysql.statement_digest": ("schema digest", "high", """
-        executions_total counter executions int
-        latency_ms_total counter ms float
-        lock_ms_total counter ms float
-        rows_examined_total counter rows int
-        rows_sent_total counter rows int
-        errors_total counter errors int
-        warnings_total counter warnings int
-        tmp_tables_total counter tables int
-        tmp_disk_tables_total counter tables int
-        no_index_used_total counter executions int
-        latency_p95_ms gauge ms float
-        latency_p99_ms gauge ms float
-    """),
-    "mysql.innodb_metric": ("name subsystem metric_type", "bounded", """
-        counter_value? counter value int
-        gauge_value? gauge value float
-    """),
-    "mysql.global_variable": ("name", "bounded", """
-        numeric_value? gauge value float
-        text_value?- state text str
-    """),
-    "mysql.process_state": ("command state", "bounded", """
-        sessions gauge sessions int
-        oldest_seconds gauge s int
-    """),
-    "mysql.schema_size": ("schema table engine", "high", """
-        rows_estimate gauge rows int
-        data_bytes gauge bytes int
-        index_bytes gauge bytes int
-        free_bytes gauge bytes int
-    """),
-    "mysql.table_io": ("schema table", "high", """
-        fetch_total counter operations int
-        fetch_wait_ms_total counter ms float
-        insert_total counter operations int
-        insert_wait_ms_total counter ms float
-        update_total counter operations int
-        update_wait_ms_total counter ms float
-        delete_total counter operations int
-        delete_wait_ms_total counter ms float
-    """),
-    "mysql.index_io": ("schema table index", "high", """
-        fetch_total counter operations int
-        fetch_wait_ms_total counter ms float
-    """),
-}
-
 
 @dataclass(frozen=True)
 class Field:
@@ -128,9 +26,106 @@ class Measurement:
     fields: tuple[Field, ...]
 
 
-def _declared(line: str) -> Field:
-    name, kind, unit, value_type = line.split()
-    return Field(name.rstrip("?-"), kind, unit, value_type, "-" not in name, "?" not in name)
+# Status variables in server order, and which of them are gauges, bytes or times.
+STATUS_NAMES = [
+    "Innodb_data_reads", "Innodb_data_writes", "Innodb_data_read", "Innodb_data_written",
+    "Innodb_data_fsyncs", "Innodb_data_pending_reads", "Innodb_data_pending_writes",
+    "Innodb_data_pending_fsyncs", "Innodb_pages_read", "Innodb_pages_written",
+    "Innodb_pages_created", "Innodb_os_log_written", "Innodb_os_log_fsyncs",
+    "Innodb_os_log_pending_fsyncs", "Innodb_os_log_pending_writes", "Innodb_log_writes",
+    "Innodb_log_write_requests", "Innodb_log_waits", "Innodb_buffer_pool_read_requests",
+    "Innodb_buffer_pool_reads", "Innodb_buffer_pool_write_requests",
+    "Innodb_buffer_pool_pages_total", "Innodb_buffer_pool_pages_free",
+    "Innodb_buffer_pool_pages_dirty", "Innodb_buffer_pool_pages_data",
+    "Innodb_buffer_pool_bytes_dirty", "Innodb_buffer_pool_wait_free", "Innodb_rows_read",
+    "Innodb_rows_inserted", "Innodb_rows_updated", "Innodb_rows_deleted", "Innodb_row_lock_waits",
+    "Innodb_row_lock_time", "Innodb_row_lock_time_avg", "Innodb_row_lock_current_waits",
+    "Threads_connected", "Threads_running", "Threads_created", "Threads_cached", "Connections",
+    "Aborted_connects", "Aborted_clients", "Max_used_connections", "Queries", "Questions",
+    "Slow_queries", "Com_select", "Com_insert", "Com_update", "Com_delete", "Com_commit",
+    "Com_rollback", "Com_begin", "Prepared_stmt_count", "Bytes_received", "Bytes_sent",
+    "Handler_read_first", "Handler_read_key", "Handler_read_next", "Handler_read_rnd",
+    "Handler_read_rnd_next", "Handler_write", "Handler_update", "Handler_delete", "Handler_commit",
+    "Handler_rollback", "Created_tmp_tables", "Created_tmp_disk_tables", "Created_tmp_files",
+    "Select_scan", "Select_full_join", "Select_range", "Sort_merge_passes", "Sort_rows",
+    "Sort_scan", "Table_locks_waited", "Table_locks_immediate", "Table_open_cache_hits",
+    "Table_open_cache_misses", "Open_tables", "Opened_tables", "Binlog_cache_use",
+    "Binlog_cache_disk_use", "Ssl_accepts", "Ssl_finished_accepts", "Uptime",
+]
+STATUS_GAUGES = [
+    "Innodb_data_pending_reads", "Innodb_data_pending_writes", "Innodb_data_pending_fsyncs",
+    "Innodb_os_log_pending_fsyncs", "Innodb_os_log_pending_writes",
+    "Innodb_buffer_pool_pages_total", "Innodb_buffer_pool_pages_free",
+    "Innodb_buffer_pool_pages_dirty", "Innodb_buffer_pool_pages_data",
+    "Innodb_buffer_pool_bytes_dirty", "Innodb_row_lock_current_waits", "Innodb_row_lock_time_avg",
+    "Threads_connected", "Threads_running", "Threads_cached", "Max_used_connections",
+    "Prepared_stmt_count", "Open_tables", "Uptime",
+]
+STATUS_BYTES = [
+    "Innodb_data_read", "Innodb_data_written", "Innodb_os_log_written",
+    "Innodb_buffer_pool_bytes_dirty", "Bytes_received", "Bytes_sent",
+]
+STATUS_MILLISECONDS = ["Innodb_row_lock_time", "Innodb_row_lock_time_avg"]
+
+# Measurements with their tags, cardinality and fields.
+MEASUREMENTS = [
+    Measurement("collector.health", (), "low", (
+        Field("heartbeat", "gauge", "state", "float"),
+        Field("mysql_reachable", "gauge", "state", "float"),
+        Field("cycle_duration_ms", "gauge", "ms", "float", required=False),
+    )),
+    Measurement("mysql.file_io", ("event", "mode"), "bounded", (
+        Field("operations_total", "counter", "operations", "int"),
+        Field("bytes_total", "counter", "bytes", "int"),
+        Field("wait_ms_total", "counter", "ms", "float"),
+    )),
+    Measurement("mysql.statement_digest", ("schema", "digest"), "high", (
+        Field("executions_total", "counter", "executions", "int"),
+        Field("latency_ms_total", "counter", "ms", "float"),
+        Field("lock_ms_total", "counter", "ms", "float"),
+        Field("rows_examined_total", "counter", "rows", "int"),
+        Field("rows_sent_total", "counter", "rows", "int"),
+        Field("errors_total", "counter", "errors", "int"),
+        Field("warnings_total", "counter", "warnings", "int"),
+        Field("tmp_tables_total", "counter", "tables", "int"),
+        Field("tmp_disk_tables_total", "counter", "tables", "int"),
+        Field("no_index_used_total", "counter", "executions", "int"),
+        Field("latency_p95_ms", "gauge", "ms", "float"),
+        Field("latency_p99_ms", "gauge", "ms", "float"),
+    )),
+    Measurement("mysql.innodb_metric", ("name", "subsystem", "metric_type"), "bounded", (
+        Field("counter_value", "counter", "value", "int", required=False),
+        Field("gauge_value", "gauge", "value", "float", required=False),
+    )),
+    Measurement("mysql.global_variable", ("name",), "bounded", (
+        Field("numeric_value", "gauge", "value", "float", required=False),
+        Field("text_value", "state", "text", "str", series=False, required=False),
+    )),
+    Measurement("mysql.process_state", ("command", "state"), "bounded", (
+        Field("sessions", "gauge", "sessions", "int"),
+        Field("oldest_seconds", "gauge", "s", "int"),
+    )),
+    Measurement("mysql.schema_size", ("schema", "table", "engine"), "high", (
+        Field("rows_estimate", "gauge", "rows", "int"),
+        Field("data_bytes", "gauge", "bytes", "int"),
+        Field("index_bytes", "gauge", "bytes", "int"),
+        Field("free_bytes", "gauge", "bytes", "int"),
+    )),
+    Measurement("mysql.table_io", ("schema", "table"), "high", (
+        Field("fetch_total", "counter", "operations", "int"),
+        Field("fetch_wait_ms_total", "counter", "ms", "float"),
+        Field("insert_total", "counter", "operations", "int"),
+        Field("insert_wait_ms_total", "counter", "ms", "float"),
+        Field("update_total", "counter", "operations", "int"),
+        Field("update_wait_ms_total", "counter", "ms", "float"),
+        Field("delete_total", "counter", "operations", "int"),
+        Field("delete_wait_ms_total", "counter", "ms", "float"),
+    )),
+    Measurement("mysql.index_io", ("schema", "table", "index"), "high", (
+        Field("fetch_total", "counter", "operations", "int"),
+        Field("fetch_wait_ms_total", "counter", "ms", "float"),
+    )),
+]
 
 
 def _status_unit(name: str) -> str:
@@ -155,14 +150,7 @@ def _status() -> Measurement:
     return Measurement("mysql.global_status", (), "low", fields)
 
 
-CATALOG = {
-    name: Measurement(
-        name, tuple(tags.split()), cardinality,
-        tuple(_declared(line) for line in fields.split("\n") if line.strip()),
-    )
-    for name, (tags, cardinality, fields) in MEASUREMENTS.items()
-}
-CATALOG["mysql.global_status"] = _status()
+CATALOG = {m.name: m for m in [*MEASUREMENTS, _status()]}
 
 _FIELD_SPEC = T.StructType([
     T.StructField("kind", T.StringType()),

@@ -73,16 +73,19 @@ ACTIVITY = _struct(
 
 # Platform column names as exported, in the order of the layouts above.
 PLATFORM_NAMES = {
-    "metrics": "TimeGenerated MetricName Resource Average Maximum Total".split(),
-    "diagnostics": (
-        "TimeGenerated Category Resource db_s host_s ip_s user_s event_class_s event_subclass_s "
-        "is_aad_auth_s sql_text_s query_time_d lock_time_d rows_sent_d rows_examined_d "
-        "error_code_d"
-    ).split(),
-    "activity": (
-        "TimeGenerated ResourceProvider OperationNameValue ActivityStatusValue "
-        "ActivitySubstatusValue Caller CallerIpAddress ResourceGroup _ResourceId CorrelationId"
-    ).split(),
+    "metrics": [
+        "TimeGenerated", "MetricName", "Resource", "Average", "Maximum", "Total",
+    ],
+    "diagnostics": [
+        "TimeGenerated", "Category", "Resource", "db_s", "host_s", "ip_s", "user_s",
+        "event_class_s", "event_subclass_s", "is_aad_auth_s", "sql_text_s", "query_time_d",
+        "lock_time_d", "rows_sent_d", "rows_examined_d", "error_code_d",
+    ],
+    "activity": [
+        "TimeGenerated", "ResourceProvider", "OperationNameValue", "ActivityStatusValue",
+        "ActivitySubstatusValue", "Caller", "CallerIpAddress", "ResourceGroup", "_ResourceId",
+        "CorrelationId",
+    ],
 }
 PLATFORM_TABLES = {
     "metrics": PLATFORM_METRICS, "diagnostics": DIAGNOSTICS, "activity": ACTIVITY,
