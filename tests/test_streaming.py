@@ -1,5 +1,6 @@
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidegauge.operators.rates import metric_series_rate
@@ -153,3 +154,27 @@ def test_a_repeated_batch_replaces_itself(spark, tmp_path):
         write_batch(spark.range(5), str(tmp_path / "t"), 0)
     write_batch(spark.range(2), str(tmp_path / "t"), 1)
     assert read_batches(spark, str(tmp_path / "t")).count() == 7
+
+
+def test_a_late_beat_joins_its_sessions(spark, tmp_path):
+    def beat(second):
+        return (at(second), "t", "h", "r", "collector.health", "heartbeat")
+
+    for rows in ([beat(0), beat(110), beat(400)], [beat(55)], [beat(30), beat(400)]):
+        add(spark, tmp_path / "in", rows, BEAT)
+        source = stream(spark, tmp_path / "in", BEAT)
+        run_available(liveness.session_stream(source, str(tmp_path / "out")), str(tmp_path / "log"))
+    found = liveness.current_outages(spark, str(tmp_path / "out")).orderBy("first_beat").collect()
+    assert [(r["first_beat"], r["last_beat"], r["beats"], r["down_at"]) for r in found] == [
+        (at(0), at(110), 4, at(170)), (at(400), at(400), 2, at(460)),
+    ]
+
+
+def test_a_batch_that_was_lost_is_an_error(spark, tmp_path):
+    from tidegauge.streaming.batches import read_batch, write_batch
+
+    assert read_batch(spark, str(tmp_path / "t"), -1, "id long").count() == 0
+    write_batch(spark.range(3), str(tmp_path / "t"), 0)
+    assert read_batch(spark, str(tmp_path / "t"), 0, "id long").count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read_batch(spark, str(tmp_path / "t"), 1, "id long").count()

@@ -473,6 +473,7 @@ def quality_gates(
         found = F.arrays_overlap(F.col("metrics"), F.array(*[F.lit(m) for m in wanted]))
         return F.when(~found, F.lit(text))
 
+    # The texts of the gates, as reports show them.
     issues = F.array(
         F.when(F.col("sides") != 2, "Both selected Run/Target pairs were not found."),
         F.when(

@@ -57,6 +57,7 @@ def invariant_problem(naive: Column | None = None) -> Column:
         F.map_entries("tags"), lambda e: (e["key"] == "") | e["value"].isNull()
     )
     untimed = F.col("ts").isNull() if naive is None else naive
+    # The texts of problems, here and below, by which callers tell them apart.
     return (
         F.when(missing != "", F.concat(F.lit("telemetry context requires: "), missing))
         .when(untimed, "observed_at must be timezone-aware")

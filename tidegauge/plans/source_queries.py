@@ -421,6 +421,37 @@ def _stream_series_rate(t):
     return done.unionByName(rates.open_rates(t.spark, out, files - 1))
 
 
+_COUNTERS = (
+    f"({field_is('mysql.file_io', 'operations_total', 'bytes_total', 'wait_ms_total')} "
+    f"OR {field_is('mysql.global_status', 'Queries')})"
+)
+
+
+@query(
+    "stream_late_rates",
+    f"""
+    SELECT ts, run_id, target_id, host, tier, measurement, field, series_key,
+           {r('delta', 'delta')}, {r('seconds', 'seconds')}, {r('delta / seconds', 'rate')}
+    FROM paired WHERE seconds > 0 AND delta >= 0
+    """,
+    {"paired": f"""
+        SELECT *, value - prev_value AS delta,
+               (epoch_us(ts) // 1000 - epoch_us(prev_ts) // 1000) / 1000e0 AS seconds
+        FROM (SELECT *, lag(ts) OVER w AS prev_ts, lag(value) OVER w AS prev_value
+              FROM series WHERE {_COUNTERS}
+              WINDOW w AS (PARTITION BY run_id, target_id, measurement, field, series_key
+                           ORDER BY ts, value))
+    """},
+)
+def _stream_late_rates(t):
+    """A short delay makes many samples late; counted again, the rates are those of the batch."""
+    samples = t.series.filter(_COUNTERS).select(*rates._COLUMNS)
+    files = 3
+    stream, out, log = _streamed(t, samples, "late", files)
+    run_available(rates.rate_stream(stream, out, delay_seconds=3600), log)
+    return rates.current_rates(t.spark, out, files - 1)
+
+
 @query("stream_metric_alerts", _alert_sql(RULES))
 def _stream_metric_alerts(t):
     stream, out, log = _streamed(t, t.platform_metrics, "alerts", 3)
@@ -491,3 +522,11 @@ def _stream_liveness(t):
     stream, out, log = _streamed(t, t.measurement("collector.health").drop("tags"), "beats", 1)
     run_available(liveness.outages(stream).writeStream.format("parquet").option("path", out), log)
     return t.spark.read.parquet(out)
+
+
+@query("stream_sessions", _OUTAGES)
+def _stream_sessions(t):
+    """Beats in several files, in no order: late ones count like all others."""
+    stream, out, log = _streamed(t, t.measurement("collector.health").drop("tags"), "sessions", 4)
+    run_available(liveness.session_stream(stream, out), log)
+    return liveness.current_outages(t.spark, out)

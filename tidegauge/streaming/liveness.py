@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from tidegauge.operators.health import DOWN_AFTER_SECONDS, HEALTH, HEARTBEAT
+from tidegauge.streaming.batches import read_batches, write_batch
 
 KEYS = ("target_id", "host", "run_id")
 
@@ -31,3 +34,32 @@ def outages(series: DataFrame, delay: str = "10 seconds") -> DataFrame:
             .alias("down_at"),
         )
     )
+
+
+def session_stream(series: DataFrame, folder: str) -> DataStreamWriter:
+    """Writer that keeps the sessions of each batch; a late beat simply counts when they are read."""
+    return series.writeStream.foreachBatch(
+        lambda batch, batch_id: write_batch(
+            outages(batch).drop("down_at"), f"{folder}/sessions", batch_id
+        )
+    )
+
+
+def current_outages(spark: SparkSession, folder: str) -> DataFrame:
+    """Sessions over all batches so far, those at most a minute apart merged.
+
+    A collector's sessions, not its beats, are ordered together.
+    """
+    by_start = W.partitionBy(*KEYS).orderBy("first_beat", "last_beat")
+    before = F.max("last_beat").over(by_start.rowsBetween(W.unboundedPreceding, -1))
+    gap = F.make_interval(secs=F.lit(DOWN_AFTER_SECONDS))
+    starts = F.coalesce((F.col("first_beat") > F.col("before") + gap).cast("int"), F.lit(1))
+    return (
+        read_batches(spark, f"{folder}/sessions")
+        .withColumn("before", before)
+        .withColumn("session", F.sum(starts).over(by_start))
+        .groupBy(*KEYS, "session")
+        .agg(F.min("first_beat").alias("first_beat"), F.max("last_beat").alias("last_beat"),
+             F.sum("beats").alias("beats"))
+        .select(*KEYS, "first_beat", "last_beat", "beats", (F.col("last_beat") + gap).alias("down_at"))
+    )
