@@ -27,7 +27,7 @@ from tidegauge.llm.shingles import WORDS, shingle_sets
 #: Similarity from which two documents link, in hundredths.
 THRESHOLD = 75
 #: Shingles that a task counts at once, and bytes of text whose shingles make a bucket, about.
-SHINGLES_AT_ONCE = 2_000_000
+SHINGLES_AT_ONCE = 1_000_000
 BYTES_PER_BUCKET = 8 << 20
 #: Slots of the table of counts that orders shingles, rare before frequent.
 HEAT_SLOTS = 1 << 18
