@@ -124,8 +124,8 @@ def test_query(spark):
     assert sorted((tuple(r) for r in queries.QUERIES["op10_shingle_join"](spark, sf).collect()), key=repr) == brute(rows)
 
 
-@given(st.lists(st.text(alphabet="aAbß é\t\n\x0b\x0c\r\x1c ", max_size=40), max_size=12), st.sampled_from([8, 64, 1 << 20]))
-@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet="aAbß é\t\n\x0b\x0c\r\x1c ", max_size=40), max_size=12), st.sampled_from([2, 5, 8, 64, 1 << 20]))
+@settings(max_examples=300, deadline=None)
 def test_sets(texts, buffer):
     before, shingles.BUFFER = shingles.BUFFER, buffer
     try:
@@ -168,3 +168,15 @@ def test_links_are_added_to_components(spark):
     got = {r.node: r.root for r in stars.joined_labels(labels, more, "more").collect()}
     assert {got[x] for x in (1, 2, 3, 4, 5, 6)} == {got[1]} and got[8] == got[9] != got[1] and len(got) == 8
     assert stars.joined_labels(labels, more.where("a > 9"), "none") is labels
+
+
+def test_words_longer_than_buffers(monkeypatch):
+    monkeypatch.setattr(shingles, "BUFFER", 1000)
+    giant, texts = "X" * 50_000, []
+    for lead in ("", "a ", "a b c d ", "q " * 600):
+        texts += [f"{lead}{giant}", f"{lead}{giant.lower()} tail b c d e f", f"{lead} {'y' * 2000} {'y' * 2001} z w"]
+    made = list(shingles.shingle_sets(texts))
+    assert [len(s) for s in made] == [len(brute_set(t)) for t in texts]
+    for a, x in zip(texts, made):
+        for b, y in zip(texts, made):
+            assert len(np.intersect1d(x, y)) == len(brute_set(a) & brute_set(b))

@@ -6,16 +6,20 @@ shingles by mixing the hashes of neighbouring words.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import xxhash
 
 WORDS = 5
 #: Bytes hashed together; longer texts are taken in parts that overlap by a shingle.
 BUFFER = 1 << 20
 
+_GAPS = bytes([32, *range(9, 14)])
+_GAP = re.compile(b"[" + _GAPS + b"]")
 _BLANK = np.zeros(256, bool)
-_BLANK[[32, *range(9, 14)]] = True
+_BLANK[list(_GAPS)] = True
 _LOWER = np.arange(256)
 _LOWER[65:91] += 32
 #: A random whole number for each byte, letters A to Z as a to z, and the base of the prefix sums.
@@ -70,12 +74,28 @@ def _combined(words: np.ndarray, width: int) -> np.ndarray:
 
 
 def _long(data: bytes, width: int, tables: _Tables) -> np.ndarray:
-    """The set of a text longer than a buffer."""
+    """The set of a text longer than a buffer.
+
+    Words longer than two buffers are hashed by themselves, so that no text needs more memory for
+    its words than a few buffers.
+    """
     parts, carried, at = [], np.empty(0, np.uint64), 0
     while at < len(data):
-        end = min(len(data), at + BUFFER)
-        while end < len(data) and not _BLANK[data[end]]:
-            end += 1
+        gap = _GAP.search(data, min(at + BUFFER, len(data)))
+        end = gap.start() if gap else len(data)
+        if end - at > 2 * BUFFER:
+            before = max(data.rfind(bytes([b]), at, at + BUFFER) for b in _GAPS)
+            start = at + (before == at)
+            if before > at:
+                end = before
+            elif end - start > 2 * BUFFER:
+                word = xxhash.xxh3_64_intdigest(data[start:end].lower())
+                carried = np.append(carried, np.uint64(word))
+                at = end
+                if len(carried) >= width:
+                    parts.append(_combined(carried, width))
+                    carried = carried[len(carried) - width + 1:]
+                continue
         _, words = _word_hashes(np.frombuffer(data, np.uint8, end - at, at), tables)
         words = np.concatenate([carried, words])
         if len(words) >= width:
