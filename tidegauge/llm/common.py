@@ -15,6 +15,19 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+#: Rows that travel to Python together where they carry whole texts.
+TEXTS_PER_BATCH = 1000
+
+
+def in_small_batches(frame: DataFrame) -> DataFrame:
+    """Lower the session's Arrow batches to so many rows, from here on: a batch of texts is held
+    several times, in Spark and in Python."""
+    setting, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", frame.sparkSession.conf
+    if not 0 < int(conf.get(setting)) <= TEXTS_PER_BATCH:
+        conf.set(setting, str(TEXTS_PER_BATCH))
+    return frame
+
+
 def stored(frame: DataFrame, label: str) -> DataFrame:
     """The frame, written to the shared checkpoint folder and read again.
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidegauge.llm.common import seeded
+from tidegauge.llm.common import in_small_batches, seeded
 
 #: The training sample: documents of each language (by a seeded hash), and characters of each, from
 #: a place that the hash picks.
@@ -34,7 +34,7 @@ SLOTS = 1 << 16
 CHAIN = 256
 #: Letters at either end of a word that affixes and n-grams are taken from.
 ENDS = 12
-_CHARACTERS_AT_ONCE = 1 << 20
+_CHARACTERS_AT_ONCE = 1 << 19
 _WORDS = re.compile(r"[^\W\d_]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -328,4 +328,4 @@ def identify(docs: DataFrame, spans: bool = False, field: Field | None = None) -
 
     predict.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     udf = F.arrow_udf(predict, kind)
-    return docs.withColumn("language", udf(F.col("text").cast("string")))
+    return in_small_batches(docs).withColumn("language", udf(F.col("text").cast("string")))

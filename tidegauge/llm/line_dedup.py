@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidegauge.llm.common import in_small_batches
+
 
 def _without(text: pd.Series, starts: pd.Series, width: pd.Series) -> pd.Series:
     """The texts without the lines that the windows beginning at ``starts`` cover."""
@@ -39,7 +41,7 @@ def dedup_lines(docs: DataFrame, width: int = 3) -> DataFrame:
     document and are cleaned alike. A null text has no lines and stays null; a text whose lines all
     go becomes empty. An empty table gives an empty result.
     """
-    keyed = docs.select(
+    keyed = in_small_batches(docs).select(
         F.struct("*").alias("doc"), F.col("doc_id").alias("id"), F.col("text").alias("body"),
         F.xxhash64("text").alias("mark"),
     )

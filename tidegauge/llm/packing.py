@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import seeded
+from tidegauge.llm.common import in_small_batches, seeded
 
 #: Rows packed together, about. A group is packed by one task.
 DOCUMENTS_PER_GROUP = 2048
@@ -117,7 +117,8 @@ def token_pieces(
                 [pa.array(c, pa.int64()) for c in columns], schema=_PIECE_SCHEMA
             )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
+    texts = in_small_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return texts.mapInArrow(
         pieces, PIECES
     )
 

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import stored, text_bytes
+from tidegauge.llm.common import in_small_batches, stored, text_bytes
 from tidegauge.llm.components import components, joined_labels
 from tidegauge.llm.shingles import WORDS, shingle_sets
 
@@ -370,7 +370,7 @@ def join(docs: DataFrame, threshold: int = THRESHOLD, width: int = WORDS) -> Dat
     component has an id. Repeated rows give equal rows. Texts count whole, whatever their length.
     Other columns are not looked at. An empty table gives no rows.
     """
-    rows = docs.select(
+    rows = in_small_batches(docs).select(
         F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"),
         F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")).alias("mark"),
     )
