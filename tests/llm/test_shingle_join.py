@@ -118,6 +118,21 @@ def test_representatives(spark):
     assert kept.where("doc_id IS NULL").count() == 1
 
 
+def test_representatives_of_null_and_repeated_ids(spark):
+    a, b, c, d = (sentence(seed, 80) for seed in (21, 22, 23, 24))
+    rows = [
+        (None, a), (None, a), (None, a + " tail"), (None, b), (5, c), (5, d), (5, d), (6, c + " tail"),
+        (None, d + " tail"), (None, ""), (None, None),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted((tuple(r) for r in shingle_join.representatives(docs).collect()), key=repr)
+    near = [r for r in kept if r in [(None, a), (None, a + " tail")]]
+    assert len(near) == 1
+    assert sorted((r for r in kept if r not in near), key=repr) == sorted(
+        [(None, b), (5, c), (5, d), (None, ""), (None, None)], key=repr)
+    assert shingle_join.join(docs).columns == ["doc_id", "n_shingles", "component_id", "mark"]
+
+
 def test_query(spark):
     sf = "/root/testdata/sf0.01"
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]

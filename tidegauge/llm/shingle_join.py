@@ -370,6 +370,12 @@ def join(docs: DataFrame, threshold: int = THRESHOLD, width: int = WORDS) -> Dat
     component has an id. Repeated rows give equal rows. Texts count whole, whatever their length.
     Other columns are not looked at. An empty table gives no rows.
     """
+    return _grouped(docs, threshold, width).drop("root")
+
+
+def _grouped(docs: DataFrame, threshold: int, width: int) -> DataFrame:
+    """What ``join`` returns, and ``root``, the digest that names the component; ids may be null or
+    repeated and do not. Of an empty set it is null."""
     rows = in_small_batches(docs).select(
         F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"),
         F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")).alias("mark"),
@@ -405,11 +411,11 @@ def join(docs: DataFrame, threshold: int = THRESHOLD, width: int = WORDS) -> Dat
         labels.select(F.col("node").alias("digest"), "root"), "digest", "left"
     ).withColumn("root", F.coalesce("root", "digest"))
     smallest = grouped.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    answer = grouped.join(smallest, "root").select("digest", "component_id")
+    answer = grouped.join(smallest, "root").select("digest", "root", "component_id")
     return named.drop("name").join(answer, "digest", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-        "mark",
+        "mark", "root",
     )
 
 
@@ -417,12 +423,12 @@ def representatives(docs: DataFrame, threshold: int = THRESHOLD, width: int = WO
     """The documents, one of each component: the row of the smallest id (of rows that repeat it, the
     one of the smallest hash, all its copies folded to one). Empty texts all stay."""
     mine = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    found = join(docs, threshold, width)
+    found = _grouped(docs, threshold, width)
     least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "mark"))
     kept = stored(
-        found.where("n_shingles > 0").groupBy("component_id", "mark")
+        found.where("n_shingles > 0").groupBy("root", "mark")
         .agg(least.alias("one"), F.count("*").alias("copies"))
-        .groupBy("component_id").agg(F.min(F.struct("one", "copies")).alias("kept"))
+        .groupBy("root").agg(F.min(F.struct("one", "copies")).alias("kept"))
         .select(F.col("kept.one.mark").alias("kept_mark"), F.col("kept.copies").alias("copies"))
         .unionByName(found.where("n_shingles = 0").select(
             F.col("mark").alias("kept_mark"), F.lit(0).cast("long").alias("copies")).distinct()),
