@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -46,6 +48,41 @@ def test_lines_and_paragraphs_inside_documents(spark):
     ]
 
 
+def published(name):
+    return (Path(license_texts.__file__).parent / "licenses" / f"{name}.txt").read_text("utf-8")
+
+
+def test_whole_licences_are_found(spark):
+    names = sorted(p.stem for p in (Path(license_texts.__file__).parent / "licenses").iterdir())
+    assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "Unlicense", "CC0-1.0"} <= set(names)
+    terms = published("Apache-2.0").split("APPENDIX")[0]
+    titled = "The MIT License (MIT)\n\nCopyright (c) 2020 X\n\n" + license_texts.KNOWN[1][1]
+    texts = [published(n) for n in names] + [terms, titled, published("GPL-3.0").replace("https:", "http:")]
+    assert [r[0] for r in scanned(spark, texts)] == [*names, "Apache-2.0", "MIT", "GPL-3.0"]
+    assert scanned(spark, [published("GPL-3.0").replace("freedom", "liberty", 1)])[0][0] is None
+
+
+def test_families_of_notices_and_identifier_lines(spark):
+    lines = {
+        "Licensed under CC BY 4.0.": "CC-BY-4.0", "SPDX-License-Identifier: GPL-3.0-or-later": "GPL-3.0-or-later",
+        "This project is licensed under the MIT License": "MIT", "// SPDX-License-Identifier: MPL-2.0": "MPL-2.0",
+        "SPDX-License-Identifier: MIT OR Apache-2.0": "Apache-2.0 OR MIT",
+        "/* SPDX-License-Identifier: GPL-2.0 WITH Linux-syscall-note */": "GPL-2.0 WITH Linux-syscall-note",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": "CC-BY-SA-4.0",
+        "Released under the GNU Affero General Public License, version 3 or later.": "AGPL-3.0-or-later",
+        "Distributed under the Boost Software License, Version 1.0.": "BSL-1.0",
+        "Licensed under GPLv3+": "GPL-3.0", "Licensed under the GPL-2.0 only": "GPL-2.0-only",
+        "Licensed under some other terms.": None, "SPDX-License-Identifier: None-Of-Them": None,
+    }
+    rows = scanned(spark, [f"some prose\n\n{line}\n\nmore" for line in lines])
+    assert rows == [(None, int(name is not None), name) for name in lines.values()]
+
+
+def test_known_texts_fit_the_broadcast():
+    known = license_texts.known_texts()
+    assert len(known) <= license_scan.MOST_KNOWN and set(license_texts.KNOWN) <= set(known)
+
+
 def test_odd_rows(spark):
     docs = clashing(odd_docs(spark), "digest", "license_id", "mark", "kind", "units")
     rows = license_scan.scan(docs).collect()

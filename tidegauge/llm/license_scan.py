@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm.license_texts import KNOWN, SPELLINGS
+from tidegauge.llm.license_texts import SPELLINGS, known_texts
 
 #: Known licence texts come from a list in this package or a table of its kind; the join broadcasts
 #: their digests only up to this many.
@@ -63,7 +63,7 @@ def known_digests(known: DataFrame) -> DataFrame:
 
 
 def published(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(KNOWN, "license_id string, text string")
+    return spark.createDataFrame(known_texts(), "license_id string, text string")
 
 
 def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
