@@ -1,3 +1,5 @@
+import re
+import textwrap
 from pathlib import Path
 
 import pytest
@@ -29,6 +31,36 @@ def test_spellings_case_punctuation_and_copyright_lines(spark, change):
     assert [r[0] for r in scanned(spark, [change(MIT), change(BSD)])] == ["MIT", "BSD-3-Clause"]
 
 
+@pytest.mark.parametrize("first", [
+    "Copyright (c) 2020 X", "Copyright(c) 2020 X", "Copyright: X", "(c) 2020 X", "( C ) 2020 X", "© X", "ALL RIGHTS RESERVED",
+    "Copyright The X Authors. All rights reserved.",
+])
+def test_copyright_lines_of_commented_headers(spark, first):
+    headers = []
+    for text in (MIT, BSD):
+        lines = [first, "", *text.split("\n")]
+        headers += [
+            "\n".join(f"{mark} {line}" for line in lines) for mark in ("#", "//", " *", "--", ";;", "%", "\t\t#")
+        ] + ["/*\n" + "\n".join(f" * {line}" for line in lines) + "\n */"]
+    want = ["MIT"] * 8 + ["BSD-3-Clause"] * 8
+    assert [r[0] for r in scanned(spark, headers)] == want
+    rows = scanned(spark, [f"#!/bin/sh\n\n{header}\n\nrun = 1" for header in headers])
+    assert [(r[0], r[2]) for r in rows] == [(None, name) for name in want]
+
+
+@pytest.mark.parametrize("width", [40, 60, 72, 90])
+def test_wrapped_lines_of_prose_are_no_copyright_lines(spark, width):
+    texts = [license_texts.KNOWN[0][1], BSD, *(published(n) for n in ("Apache-2.0", "GPL-3.0", "MPL-2.0", "LGPL-2.1"))]
+    wrapped = [
+        "\n\n".join(textwrap.fill(" ".join(p.split()), width, break_long_words=False, break_on_hyphens=False)
+                    if not re.search(r"(?i)(copyright|\(c\)) +[\d<[]", p) else p for p in text.split("\n\n"))
+        for text in texts
+    ]
+    commented = ["\n".join(f" * {line}" for line in text.split("\n")) for text in wrapped]
+    assert [r[0] for r in scanned(spark, wrapped + commented)] == [
+        "MIT", "BSD-3-Clause", "Apache-2.0", "GPL-3.0", "MPL-2.0", "LGPL-2.1"] * 2
+
+
 def test_other_texts_are_left_alone(spark):
     rows = scanned(spark, [MIT + " or not", MIT.replace("free of charge", "for a charge"), "a licence", "x"])
     assert rows == [(None, 0, None)] * 4

@@ -16,13 +16,27 @@ from tidegauge.llm.license_texts import SPELLINGS, known_texts
 MOST_KNOWN = 100_000
 
 
+#: Words after "copyright", or after "(c)", that go on with the prose of a licence, which may be
+#: wrapped at any word: such a line is no copyright notice.
+_AFTER_COPYRIGHT = (
+    r"(?:[\"”.]|-[\p{L}-]|[ \t,]+(?:"
+    r"(?:holders?|owners?|notices?|statements?)(?![\p{L}\p{N}])(?![ \t]*:)"
+    r"|(?:laws?|interests?|disclaimers?|permissions?|licen[cs]es?|treaty|treaties|ownership|doctrines|line|patents?|"
+    r"resulting|including|and|or|on|if|is|are|of this|the (?:software|library|program))(?![\p{L}\p{N}])))"
+)
+_AFTER_SIGN = r"[ \t]+(?:you|under|representations|the licen[cs]es)(?![\p{L}\p{N}])"
+#: A line that begins as a copyright notice, after comment marks or other punctuation.
+_COPYRIGHT_LINE = (
+    r"(^|\n)[^\p{L}\p{N}\n]*?(?:copyright(?![\p{L}\p{N}])(?!" + _AFTER_COPYRIGHT + r")"
+    r"|\([ \t]*c[ \t]*\)(?!" + _AFTER_SIGN + r")|©"
+    r"|all[^\p{L}\p{N}\n]+rights[^\p{L}\p{N}\n]+reserved(?![\p{L}\p{N}]))[^\n]*"
+)
+
+
 def bare_words(text: Column) -> Column:
-    """Lower case; lines that begin as copyright notices emptied; all but letters, digits and line
-    feeds one blank."""
-    kept = F.regexp_replace(
-        F.lower(text),
-        r"(^|\n)[ \t]*(?:copyright[ \t]|\(c\)|©|all rights reserved)[^\n]*", "$1",
-    )
+    """Lower case; lines that begin as copyright notices emptied, also behind comment marks; all but
+    letters, digits and line feeds one blank."""
+    kept = F.regexp_replace(F.lower(text), _COPYRIGHT_LINE, "$1")
     return F.regexp_replace(kept, r"[^\p{L}\p{N}\n]+", " ")
 
 
