@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.llm import (
+    conversation_repair,
+    decontaminate,
     exact_topk,
     hash_forest,
     hilbert_shards,
@@ -19,6 +21,7 @@ from tidegauge.llm import (
     packing,
     shingle_join,
     warc,
+    whitening,
 )
 from tidegauge.llm.common import table, text_bytes, word_count
 from tidegauge.session import scratch_folder
@@ -232,3 +235,59 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 """)
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return shingle_join.join(table(spark, folder, "documents")).drop("mark")
+
+
+@query("op11_spectrum_whitening")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    rows, model = whitening.whiten(table(spark, folder, "embeddings"))
+    return rows.select(
+        "vec_id", "deviation", F.posexplode("whitened").alias("place", "whitened")
+    ).select(
+        "vec_id", (F.col("place") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"),
+        "deviation", "whitened",
+        F.get(F.array(*map(F.lit, model.explained)).cast("array<double>"), F.col("place")).alias("explained"),
+        F.lit(model.identity_error).cast("double").alias("identity_error"),
+    )
+
+
+@query("op12_conversation_repair")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    rows = conversation_repair.damaged(table(spark, folder, "conversations"))
+    return conversation_repair.repair(rows, F.col("gone"), F.col("copy"))
+
+
+@query("op13_decontamination", sql=r"""
+    WITH docs AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+    items AS (
+        SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, regexp_extract_all(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+        FROM benchmark),
+    tests AS (
+        SELECT DISTINCT item, least(len(w), 10) AS m, array_to_string(list_slice(w, pos, pos + 9), ' ') AS span
+        FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS pos FROM items WHERE len(w) > 0)),
+    places AS (
+        SELECT doc_id, pos, m, array_to_string(list_slice(w, pos, pos + m - 1), ' ') AS span
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS pos FROM docs), (SELECT DISTINCT m FROM tests)
+        WHERE pos + m - 1 <= len(w)),
+    hits AS (
+        SELECT doc_id, pos, m, item FROM places JOIN tests USING (m, span)),
+    told AS (
+        SELECT doc_id, count(DISTINCT item) AS n, string_agg(DISTINCT item, ',' ORDER BY item) AS names
+        FROM hits GROUP BY doc_id),
+    covered AS (
+        SELECT doc_id, count(DISTINCT p) AS n
+        FROM (SELECT doc_id, unnest(range(pos, pos + m)) AS p FROM hits) GROUP BY doc_id)
+    SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(c.n, 0) AS BIGINT) AS n_hit,
+           CAST(coalesce(t.n, 0) AS BIGINT) AS n_items, sha256(coalesce(t.names, '')) AS items_sha256,
+           coalesce(c.n, 0) > 0 AS contaminated
+    FROM docs d LEFT JOIN told t ON t.doc_id = d.doc_id LEFT JOIN covered c ON c.doc_id = d.doc_id
+""")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.scan(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
