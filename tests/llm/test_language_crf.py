@@ -35,11 +35,36 @@ def test_forward_backward_against_all_labellings():
     assert pairs == pytest.approx(all_pairs)
 
 
+def slots_of(word):
+    if len(word) <= language_crf.SHORT:
+        slots, places = language_crf.features([word])
+        return sorted(slots[slots > 0]), sorted(places[places >= 0])
+    parts = list(language_crf.long_features(word))
+    return sorted(np.concatenate([a for a, _ in parts])), sorted(np.concatenate([b for _, b in parts]))
+
+
 def test_features_tell_words_apart_and_share_affixes():
-    a, b, c = language_crf.features(["walking", "talking", "walking" + "x" * 40])
-    assert a[0] != b[0] and len({*a[a > 0]} & {*b[b > 0]}) > 8
-    assert len({*a[a > 0]} & {*c[c > 0]}) >= 3
-    assert (language_crf.features(["a"])[0] == np.pad(language_crf.features(["a"])[0], 0)).all()
+    a, b, c = (slots_of(w)[0] for w in ("walking", "talking", "walking" + "x" * 40))
+    assert len({*a} ^ {*b}) > 3 and len({*a} & {*b}) > 8
+    assert len({*a} & {*c}) >= 8
+
+
+def test_all_letters_of_long_words_count(monkeypatch):
+    middle = lambda x: "begin" + "a" * 20 + x + "b" * 20 + "end"
+    assert slots_of(middle("mno")) != slots_of(middle("pqr"))
+    word = "".join(random.Random(3).choice("abcdéф漢") for _ in range(700))
+    whole = slots_of(word)
+    monkeypatch.setattr(language_crf, "_LETTERS_AT_ONCE", 64)
+    assert slots_of(word) == whole
+
+
+def test_long_words_have_the_n_grams_of_short_ones(monkeypatch):
+    for word in ("walking", "ab", "a" * 24, "été"):
+        short = slots_of(word)
+        monkeypatch.setattr(language_crf, "SHORT", 0)
+        if len(word) >= 4:  # the long form takes affixes for granted
+            assert len({*slots_of(word)[0]} ^ {*short[0]}) == 2  # but for the word itself
+        monkeypatch.undo()
 
 
 @pytest.fixture(scope="module")
@@ -53,7 +78,7 @@ def field():
 
 def test_switching_text_is_labelled_in_runs(field):
     text = "balo milo balomi lo " * 5 + "krasch ungtz schung kra " * 5 + "ouieau éla oui " * 6
-    (language, score, runs), = language_crf.label(field, [text], spans=True)
+    (language, score, runs, _), = language_crf.label(field, [text], spans=True)
     assert [(l, n) for l, n in runs] == [("xx", 20), ("yy", 20), ("zz", 18)]
     assert language in ("xx", "yy") and 0.3 < score < 0.4
 
@@ -63,15 +88,45 @@ def test_labels_of_odd_texts(field, monkeypatch):
     found = language_crf.label(field, texts)
     assert [f[:2] for f in found[:4]] == [("und", 0.0)] * 4
     assert found[4][0] == found[5][0] == found[7][0] == "xx" and found[6][0] in field.languages
-    assert all(0 <= s <= 1 for _, s, _ in found)
+    assert all(0 <= s <= 1 for _, s, _, _ in found)
     monkeypatch.setattr(language_crf, "_CHARACTERS_AT_ONCE", 100)
     again = language_crf.label(field, texts)
     assert [f[0] for f in again] == [f[0] for f in found]
-    assert again[5][1] == pytest.approx(found[5][1], abs=1e-3)
+    assert again[5][1] == pytest.approx(found[5][1], abs=1e-6)
+
+
+def test_blocks_are_one_unbroken_chain(field, monkeypatch):
+    rng = random.Random(8)
+    vocabulary = ["balo", "mi", "krasch", "ung", "oui", "éla", "xq", "baung", "7", "schla"]
+    texts = [" ".join(rng.choice(vocabulary) for _ in range(n)) for n in (1, 5, 90, 300, 1000)]
+    monkeypatch.setattr(language_crf, "BLOCK", 10_000)
+    whole = language_crf.label(field, texts, spans=True)
+    for block, characters in ((7, 1 << 19), (64, 1 << 19), (5, 100)):
+        monkeypatch.setattr(language_crf, "BLOCK", block)
+        monkeypatch.setattr(language_crf, "_CHARACTERS_AT_ONCE", characters)
+        for a, b in zip(whole, language_crf.label(field, texts, spans=True)):
+            assert (a[0], a[2]) == (b[0], b[2])
+            assert a[1] == pytest.approx(b[1], abs=1e-5) and a[3] == pytest.approx(b[3])
+
+
+def test_sample_is_that_of_the_smallest_hashes(spark, monkeypatch):
+    monkeypatch.setattr(language_crf, "DOCUMENTS_PER_LANGUAGE", 20)
+    docs = spark.range(3000).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("word "), "id").alias("text"),
+        F.when(F.col("id") % 100 == 0, "rare").when(F.col("id") < 2995, "en").otherwise("few").alias("lang"))
+    want = {}
+    rows = docs.select("lang", "text", F.shiftrightunsigned(
+        language_crf.seeded(5, F.col("doc_id"), F.length("text")), 1).alias("place")).collect()
+    for r in sorted(rows, key=lambda r: r.place):
+        want.setdefault(r.lang, []).append(r.text)
+    got = {}
+    for lang, text in language_crf.sample(docs.unionByName(docs), F.lit(True)):
+        got.setdefault(lang, []).append(text)
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v[:20]) for k, v in want.items()}
 
 
 def test_whole_text_counts(field):
-    (language, _, _), = language_crf.label(field, ["balo " * 300 + "krasch " * 2000])
+    (language, *_), = language_crf.label(field, ["balo " * 300 + "krasch " * 2000])
     assert language == "yy"
 
 
