@@ -16,7 +16,6 @@ from tidegauge.llm.common import table
 @pytest.fixture(scope="module")
 def reference():
     tokenizer = Tokenizer.from_file(packing.public_vocabulary()[0])
-    tokenizer.encode_special_tokens = True
     return lambda text: [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
 
 
@@ -72,6 +71,23 @@ def test_long_texts_are_split_where_no_token_spans(reference, monkeypatch):
     assert [*np.concatenate(list(encoder.ids(text))), 1] == reference(text)
 
 
+@pytest.mark.parametrize("text", [
+    "x <|endoftext|> y", "<|endoftext|>", "a<|endoftext|><|endoftext|>\nb", "<|endoftext", "é <|endoftext|> 漢",
+    "word " * 200 + "<|endoftext|>" + " word" * 200,
+])
+def test_added_tokens_are_those_of_the_vocabulary(reference, monkeypatch, text):
+    monkeypatch.setattr(packing, "CHARACTERS_AT_ONCE", 50)
+    assert [*np.concatenate(list(_encoder().ids(text))), 1] == reference(text)
+    assert (50256 in reference(text)) == ("<|endoftext|>" in text)
+
+
+def test_equal_rows_are_spread_over_groups(spark):
+    docs = spark.range(0, 9000, 1, 4).selectExpr("CAST(NULL AS bigint) AS doc_id", "'a b c' AS text")
+    rows = packing.pack(docs, *packing.public_vocabulary())
+    sizes = [r.n for r in rows.groupBy(F.shiftright("sequence_id", 32)).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 5 and max(sizes) < 2200 and sum(sizes) == 9000
+
+
 @given(st.text(max_size=80))
 @settings(max_examples=200, deadline=None)
 def test_both_libraries_give_the_same_ids(reference, text):

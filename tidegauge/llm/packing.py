@@ -12,10 +12,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import in_small_batches, seeded
+from tidegauge.llm.common import in_small_batches, seeded, stored
 
 #: Rows packed together, about. A group is packed by one task.
 DOCUMENTS_PER_GROUP = 2048
@@ -23,20 +24,23 @@ DOCUMENTS_PER_GROUP = 2048
 CHARACTERS_AT_ONCE = 1 << 20
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+_WHERE = "file_part int, row_number long"
 _PIECE_SCHEMA = pa.schema([
     (name, pa.int64()) for name in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")
 ])
+_PLACED_SCHEMA = pa.schema([*_PIECE_SCHEMA, ("file_part", pa.int32()), ("row_number", pa.int64())])
 _PACKED_SCHEMA = pa.schema([
     *_PIECE_SCHEMA, ("sequence_id", pa.int64()), ("offset", pa.int64())
 ])
 
 
 class Encoder:
-    """Ids of a byte-level BPE vocabulary.
+    """Ids of a byte-level BPE vocabulary, as the first library gives them when it has loaded it.
 
     Texts of Latin characters go through the faster of two libraries that hold the same vocabulary;
     all others through the one that defines the ids, since the two may class rare characters
-    differently.
+    differently. So do texts that hold one of the vocabulary's added tokens, which the second library
+    does not know; they are not split.
     """
 
     def __init__(self, tokenizer: str, ranks: str):
@@ -47,7 +51,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.full = Tokenizer.from_file(tokenizer)
-        self.full.encode_special_tokens = True
+        self.added = [t.content for t in self.full.get_added_tokens_decoder().values()]
         with open(ranks, "rb") as lines:
             table = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines)}
         self.latin = tiktoken.Encoding(
@@ -71,6 +75,9 @@ class Encoder:
         yield text[start:]
 
     def ids(self, text: str) -> Iterator[np.ndarray]:
+        if any(token in text for token in self.added):
+            yield np.array(self.full.encode(text, add_special_tokens=False).ids, dtype="<u4")
+            return
         for part in self.parts(text):
             if part.isascii() or max(part) < "ɐ":
                 yield np.asarray(self.latin.encode_to_numpy(part), dtype="<u4")
@@ -97,10 +104,13 @@ def cut(chunks: Iterator[np.ndarray], capacity: int) -> tuple[list[tuple[int, in
 def token_pieces(
     docs: DataFrame, tokenizer: str, ranks: str, capacity: int = 2048, end_id: int = 1
 ) -> DataFrame:
-    """The pieces of every document: its ids and then ``end_id``, cut at multiples of ``capacity``."""
+    """The pieces of every document: its ids and then ``end_id``, cut at multiples of ``capacity``.
+
+    ``file_part`` and ``row_number`` tell documents apart that are equal in all else.
+    """
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer, ranks)
+        encoder, part, number = Encoder(tokenizer, ranks), TaskContext.get().partitionId(), 0
         end = np.array([end_id], dtype="<u4")
 
         def chunks(text):
@@ -111,16 +121,15 @@ def token_pieces(
             found = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 own, total = cut(chunks(text.as_py() or ""), capacity)
-                found.extend((doc_id, *piece, total) for piece in own)
-            columns = zip(*found) if found else [[]] * len(_PIECE_SCHEMA)
+                found.extend((doc_id, *piece, total, part, number) for piece in own)
+                number += 1
+            columns = zip(*found) if found else [[]] * len(_PLACED_SCHEMA)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in columns], schema=_PIECE_SCHEMA
+                [pa.array(c, field.type) for c, field in zip(columns, _PLACED_SCHEMA)], schema=_PLACED_SCHEMA
             )
 
     texts = in_small_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return texts.mapInArrow(
-        pieces, PIECES
-    )
+    return texts.mapInArrow(pieces, f"{PIECES}, {_WHERE}")
 
 
 class Tournament:
@@ -178,14 +187,16 @@ def pack(
     is padded to ``capacity`` at its end.
 
     A null text is empty, and an empty text is its end id alone. A text of any length is cut into
-    full sequences and a rest. Rows with the same id, or none, are documents of their own; pieces
-    of equal length are placed in the order of id and start. Other columns are not looked at. An
-    empty table gives no rows.
+    full sequences and a rest. Rows with the same id, or none, are documents of their own, and equal
+    rows are spread over the groups like others; pieces of equal length are placed in the order of id
+    and start. Other columns are not looked at. An empty table gives no rows.
     """
     groups = max(1, -(-docs.count() // DOCUMENTS_PER_GROUP))
-    pieces = token_pieces(docs, tokenizer, ranks, capacity, end_id).withColumn(
-        "pack_group",
-        F.pmod(seeded(seed, F.col("doc_id"), F.col("start"), F.col("ids_crc32")), F.lit(groups)),
+    # Written first: which group a piece goes to must not change where a task is run again.
+    pieces = stored(token_pieces(docs, tokenizer, ranks, capacity, end_id), "pieces").withColumn(
+        "pack_group", F.pmod(seeded(seed, *[
+            F.col(c) for c in ("doc_id", "start", "ids_crc32", "file_part", "row_number")
+        ]), F.lit(groups)),
     )
 
     def packed(group: pa.Table) -> pa.Table:
