@@ -88,9 +88,9 @@ def test_predicates_reach_the_headers_and_payloads_stay_packed(spark, monkeypatc
                                     warc.GreaterThan(("payload_length",), 1)])) == [
         warc.GreaterThan(("payload_length",), 1)]
     inflated = []
-    original = warc._GzipRecord.body
-    monkeypatch.setattr(warc._GzipRecord, "body",
-                        lambda self, at, n: inflated.append(n) or original(self, at, n))
+    original = warc._Members.take
+    monkeypatch.setattr(warc._Members, "take", lambda self, n, wanted: (
+        inflated.append(n) if n > 100_000 else None) or original(self, n, wanted))
     rows = [r for part in reader.partitions() for b in reader.read(part) for r in b.to_pylist()]
     assert [r["record_id"] for r in rows] == ["urn:page:7"] and len(inflated) == 1
     without = warc.read(spark, folder, payload=False)
@@ -109,15 +109,108 @@ def test_conditions(condition, value, holds):
     assert warc._holds(condition, {"target_uri": value}) is holds
 
 
+def record(n, payload, length=None):
+    block = b"HTTP/1.1 200 OK\r\n\r\n" + payload
+    return (f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:{n}>\r\n"
+            f"Content-Type: application/http; msgtype=response\r\n"
+            f"Content-Length: {len(block) if length is None else length}\r\n\r\n"
+            ).encode() + block + b"\r\n\r\n"
+
+
+BODIES = [b"a" * 5, b"", bytes(range(256)) * 900, b"end", b"five"]
+
+
+def one_member():
+    return gzip.compress(b"".join(record(i, b) for i, b in enumerate(BODIES)))
+
+
+def members():
+    return [gzip.compress(record(i, b)) for i, b in enumerate(BODIES)]
+
+
+def told_members():
+    row = lambda i, b: {"record_id": f"urn:page:{i}", "target_uri": "u", "refers_to": None, "payload": b}
+    return [warc._member(warc.record_bytes(row(i, b), "2020-01-01T00:00:00Z"), 6) for i, b in enumerate(BODIES)]
+
+
+@pytest.mark.parametrize("name,data", [
+    ("a.warc.gz", one_member()),
+    ("b.warc.gz", one_member() + b"\0" * 5000),
+    ("c.warc.gz", b"".join(members()) + b"\0" * 3),
+    ("d.warc.gz", b"\0\0".join(members())),
+    ("e.warc.gz", gzip.compress(b"".join(map(record, range(2), BODIES))) + b"".join(members()[2:])),
+    ("f.warc", b"".join(map(record, range(5), BODIES)) + b"\0" * 700),
+    ("g.warc.gz", b"".join(told_members()) + b"\0"),
+    ("h.warc.gz", b"".join(told_members()[:3]) + b"".join(members()[3:])),
+])
+def test_every_record_of_whole_archives_is_read(spark, tmp_path, name, data):
+    (tmp_path / name).write_bytes(data)
+    rows = warc.read(spark, str(tmp_path)).collect()
+    assert [(r.record_id, bytes(r.payload), r.damage) for r in rows] == [
+        (f"urn:page:{i}", b, None) for i, b in enumerate(BODIES)]
+    heads = warc.read(spark, str(tmp_path), payload=False).where("record_id <> 'urn:page:1'").collect()
+    assert [r.record_id for r in heads] == [f"urn:page:{i}" for i in (0, 2, 3, 4)]
+
+
+PLAIN = b"".join(map(record, range(5), BODIES))
+HEAD = len(record(4, BODIES[4]))
+
+
+@pytest.mark.parametrize("name,data,before", [
+    ("a.warc", PLAIN[:-6], 4), ("b.warc", PLAIN[:-HEAD + 30], 4), ("c.warc", PLAIN + b"no record at all", 5),
+    ("d.warc", b"".join(map(record, range(2), BODIES)) + record(2, b"x", "ten"), 2),
+    ("e.warc", b"".join(map(record, range(2), BODIES)) + record(2, b"more than it says", 20), 2),
+    ("f.warc", record(0, b"a", "") + PLAIN, 0), ("g.warc", b"<html>", 0),
+    ("h.warc.gz", b"".join(members())[:-9], 4), ("i.warc.gz", b"".join(members()) + b"tail", 5),
+    ("j.warc.gz", b"".join(members()[:2]) + members()[2][:50], 2),
+    ("k.warc.gz", b"".join(members()[:2]) + b"\x1f\x8b\x08" + b"\xff" * 80, 2),
+    ("l.warc.gz", gzip.compress(PLAIN[:-6]), 4), ("m.warc.gz", b"plain text", 0),
+    ("n.warc.gz", b"".join(told_members())[:-9], 4), ("o.warc.gz", members()[0][:8], 0),
+])
+def test_damaged_archives(spark, tmp_path, name, data, before):
+    (tmp_path / name).write_bytes(data)
+    with pytest.raises(Exception, match=name):
+        warc.read(spark, str(tmp_path)).collect()
+    rows = warc.read(spark, str(tmp_path), on_damage="tell").collect()
+    assert [r.record_id for r in rows if r.damage is None][:before] == [f"urn:page:{i}" for i in range(before)]
+    told, = (r for r in rows if r.damage is not None)
+    assert name in told.damage and told.record_id is None
+    heads = warc.read(spark, str(tmp_path), payload=False, on_damage="tell").collect()
+    assert sum(r.damage is not None for r in heads) == 1
+
+
+def test_empty_archives_have_no_records(spark, tmp_path):
+    for name in ("a.warc", "b.warc.gz"):
+        (tmp_path / name).write_bytes(b"")
+    (tmp_path / "c.warc.gz").write_bytes(gzip.compress(b""))
+    assert warc.read(spark, str(tmp_path)).collect() == []
+
+
+def test_paths():
+    assert warc._filesystem("/a/b")[1] == "/a/b" and warc._filesystem("file:/a/b")[1] == "/a/b"
+    assert warc._filesystem("file:///a/b")[1] == "/a/b"
+    with pytest.raises(ValueError, match="wasbs"):
+        warc._filesystem("wasbs://container@account/x")
+
+
+def test_split_read_pushes_both_predicates(spark):
+    folder = scratch_folder(spark, "warc")
+    warc.write_pages(spark.createDataFrame(ODD, PAGES), folder)
+    split = warc.read_split(spark, folder)
+    assert found(warc.page_records(split)) == expected(ODD)
+    plan = split._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BatchScan") == 2
+
+
+def test_base32(spark):
+    texts = ["", "a", "b" * 99, "é"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(warc.base32(F.sha1("t")))
+    assert [r[0] for r in rows.collect()] == [digest(t) for t in texts]
+
+
 def test_foreign_archives(spark, tmp_path):
     """Members that do not tell their length, and archives that are not compressed."""
-    def record(n, payload):
-        block = b"HTTP/1.1 200 OK\r\n\r\n" + payload
-        return (f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:{n}>\r\n"
-                f"Content-Type: application/http; msgtype=response\r\nContent-Length: {len(block)}\r\n\r\n"
-                ).encode() + block + b"\r\n\r\n"
-
-    bodies = [b"a" * 5, b"", bytes(range(256)) * 900, b"end"]
+    bodies = BODIES
     (tmp_path / "x.warc.gz").write_bytes(b"".join(gzip.compress(record(i, b)) for i, b in enumerate(bodies)))
     (tmp_path / "y.warc").write_bytes(b"".join(record(10 + i, b) for i, b in enumerate(bodies)))
     rows = warc.read(spark, str(tmp_path)).collect()

@@ -176,7 +176,7 @@ _BASE32 = (
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     archives = scratch_folder(spark, "warc")
     warc.write_pages(table(spark, folder, "pages"), archives)
-    return warc.page_records(warc.read(spark, archives))
+    return warc.page_records(warc.read_split(spark, archives))
 
 
 @query("op3_exact_topk", sql="""

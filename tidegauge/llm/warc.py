@@ -4,6 +4,15 @@
 gzip member of its own whose extra field names its length, so a reader that has seen the headers and
 does not want the record goes on to the next one without inflating the payload. Predicates on the
 record type and the other header columns are evaluated on the headers alone.
+
+Archives of others are read too: plain ones, and compressed ones with any number of records in a
+member. Zeros behind the last record are padding. An archive that ends inside a record or member, or
+holds anything that is no record, is damaged: reading it fails with its name and place, or, with the
+option ``on_damage`` set to ``tell``, gives the records before the damage and then a row whose
+``damage`` says what is wrong.
+
+Paths are those of Arrow's file systems: local ones, ``file``, ``hdfs``, ``viewfs``, ``s3`` (also by the names
+``s3a`` and ``s3n``), ``gs``, ``abfs`` and ``abfss``. Any other scheme is refused.
 """
 
 from __future__ import annotations
@@ -20,7 +29,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs as arrow_fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
     DataSource,
@@ -46,7 +55,7 @@ from pyspark.sql.datasource import (
 #: What a reader returns. ``payload`` is null for revisits and where it is not asked for.
 READ_SCHEMA = (
     "record_id string, record_type string, target_uri string, refers_to string, "
-    "payload_digest string, payload_length long, payload binary"
+    "payload_digest string, payload_length long, payload binary, damage string"
 )
 #: What a writer takes. A row with ``refers_to`` becomes a revisit, and its payload is not needed.
 WRITE_COLUMNS = (
@@ -55,7 +64,7 @@ WRITE_COLUMNS = (
 _ARROW = pa.schema([
     ("record_id", pa.string()), ("record_type", pa.string()), ("target_uri", pa.string()),
     ("refers_to", pa.string()), ("payload_digest", pa.string()), ("payload_length", pa.int64()),
-    ("payload", pa.binary()),
+    ("payload", pa.binary()), ("damage", pa.string()),
 ])
 
 #: Fixed values of the archive format.
@@ -74,8 +83,17 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
+#: Schemes by which Spark's file systems are named and Arrow's are not.
+_SCHEMES = {"s3a": "s3", "s3n": "s3", "gcs": "gs"}
+_KNOWN_SCHEMES = ("file", "hdfs", "viewfs", "s3", "gs", "abfs", "abfss")
+
+
 def _filesystem(path: str) -> tuple[arrow_fs.FileSystem, str]:
-    return arrow_fs.FileSystem.from_uri(path)
+    scheme, rest = path.split(":", 1) if re.match(r"[A-Za-z][A-Za-z0-9+.-]*:/", path) else ("", path)
+    scheme = _SCHEMES.get(scheme, scheme)
+    if scheme and scheme not in _KNOWN_SCHEMES:
+        raise ValueError(f"archives cannot be on {scheme}: ({path}); known are {', '.join(_KNOWN_SCHEMES)}")
+    return arrow_fs.FileSystem.from_uri(f"{scheme}:{rest}" if scheme else path)
 
 
 def _line(value) -> str:
@@ -167,89 +185,148 @@ class WarcWriter(DataSourceArrowWriter):
                 system.delete_file(f"{folder}/{name}")
 
 
-class _GzipRecord:
-    """A record in a gzip member at ``start``; the body is inflated only when asked for."""
+class Damage(ValueError):
+    """What is wrong with an archive, and where."""
 
-    def __init__(self, file, start: int):
-        file.seek(start)
-        self.file, self.start, self.raw = file, start, file.read(_PEEK)
-        self.told = 0
-        if self.raw[3:4] == b"\x04" and self.raw[12:14] == b"sl":
-            self.told = struct.unpack("<I", self.raw[16:20])[0]
-        self.inflater = zlib.decompressobj(31)
-        self.content = bytearray(self.inflater.decompress(self.raw))
 
-    def _more(self) -> bool:
-        if self.inflater.eof:
-            return False
-        block = self.file.read(1 << 16)
-        self.content += self.inflater.decompress(block)
-        return bool(block)
+class _Bytes:
+    """The bytes of an archive that is not compressed, from a place on."""
 
-    def head(self) -> bytes:
-        while (end := self.content.find(b"\r\n\r\n")) < 0:
-            if not self._more():
-                return bytes(self.content)
-        return bytes(self.content[:end])
+    def __init__(self, file):
+        self.file, self.at, self.content = file, 0, bytearray()
 
-    def body(self, at: int, length: int) -> bytes:
-        while len(self.content) < at + length and self._more():
-            pass
-        return bytes(self.content[at:at + length])
-
-    def end(self, at: int, length: int) -> int:
-        if self.told:
-            return self.start + self.told
-        while self._more():
-            self.content.clear()
-        return self.file.tell() - len(self.inflater.unused_data)
-
-
-class _PlainRecord:
-    """A record of an archive that is not compressed."""
-
-    def __init__(self, file, start: int):
-        file.seek(start)
-        self.file, self.start, self.content = file, start, bytearray()
+    def more(self) -> bool:
+        block = self.file.read(1 << 16)
+        self.content += block
+        return bool(block)
 
-    def head(self) -> bytes:
-        while (end := self.content.find(b"\r\n\r\n")) < 0:
+    def take(self, length: int, wanted: bool) -> bytes:
+        """Go on by so many bytes, and return them where they are wanted."""
+        parts, left = [], length
+        while left:
+            if not self.content and not self.more():
+                raise Damage(f"ends {left} bytes before the end of a record")
+            own = min(left, len(self.content))
+            if wanted:
+                parts.append(bytes(self.content[:own]))
+            del self.content[:own]
+            self.at += own
+            left -= own
+        return b"".join(parts)
+
+    def head(self) -> bytes | None:
+        """The head of the next record without the empty line behind it; none at the end."""
+        while True:
+            lead = len(self.content) - len(self.content.lstrip(b"\r\n\0"))
+            del self.content[:lead]
+            self.at += lead
+            if self.content or not self.more():
+                break
+        if not self.content:
+            return None
+        looked = 0
+        while (end := self.content.find(b"\r\n\r\n", looked)) < 0:
+            looked = max(0, len(self.content) - 3)
+            if not self.content.startswith(b"WARC/"[:len(self.content)]):
+                raise Damage(f"no record: {bytes(self.content[:40])!r}")
+            if not self.more():
+                raise Damage("ends inside the head of a record")
+        return self.take(end + 4, True)[:-4]
+
+    def skip_member(self, taken: int, length: int) -> bool:
+        return False
+
+
+class _Members(_Bytes):
+    """The inflated bytes of an archive of gzip members."""
+
+    def __init__(self, file):
+        super().__init__(file)
+        self.size = file.seek(0, io.SEEK_END)
+        file.seek(0)
+        self.raw, self.place, self.inflater, self.fresh = b"", 0, None, True
+        #: Of the member begun last: where it begins, in the file and in the content, and its lengths if told.
+        self.begin = self.first = self.told = self.length = 0
+
+    def more(self) -> bool:
+        while True:
+            if self.inflater is None and not self._begin():
+                return False
+            if not self.raw:
+                self.raw = self.file.read(_PEEK if self.fresh else 1 << 16)
+                self.fresh = False
+                self.place += len(self.raw)
+                if not self.raw:
+                    raise Damage("ends inside a gzip member")
+            try:
+                block = self.inflater.decompress(self.raw)
+            except zlib.error as error:
+                raise Damage(f"gzip member at byte {self.begin}: {error}") from error
+            self.raw = self.inflater.unused_data if self.inflater.eof else b""
+            if self.inflater.eof:
+                self.inflater = None
+            if block:
+                self.content += block
+                return True
+
+    def _begin(self) -> bool:
+        """Begin the next member; zeros before it are padding."""
+        self.raw = self.raw.lstrip(b"\0")
+        while len(self.raw) < 20:
             block = self.file.read(_PEEK)
             if not block:
-                return bytes(self.content)
-            self.content += block
-        return bytes(self.content[:end])
-
-    def body(self, at: int, length: int) -> bytes:
-        self.file.seek(self.start + at)
-        return self.file.read(length)
-
-    def end(self, at: int, length: int) -> int:
-        return self.start + at + length + 4
+                break
+            self.place += len(block)
+            self.raw = (self.raw + block).lstrip(b"\0")
+        if not self.raw:
+            return False
+        self.begin, self.told = self.place - len(self.raw), 0
+        if not self.raw.startswith(b"\x1f\x8b"[:len(self.raw)]):
+            raise Damage(f"no gzip member at byte {self.begin}")
+        if self.raw[3:4] == b"\x04" and self.raw[12:14] == b"sl" and len(self.raw) >= 24:
+            self.told, self.length = struct.unpack("<II", self.raw[16:24])
+        self.inflater, self.first, self.fresh = zlib.decompressobj(31), self.at + len(self.content), True
+        return True
+
+    def skip_member(self, taken: int, length: int) -> bool:
+        """Go to the next member where this one holds just this record and tells its own length."""
+        if not self.told or self.first + taken != self.at or self.length != taken + length + 4:
+            return False
+        if self.size < self.begin + self.told:
+            raise Damage("ends inside a gzip member")
+        self.file.seek(self.begin + self.told)
+        self.place, self.raw, self.inflater = self.begin + self.told, b"", None
+        self.content.clear()
+        self.at = self.first + self.length
+        return True
 
 
 def _parse(head: bytes) -> dict[str, str]:
     lines = head.decode("utf-8", "replace").split("\r\n")
     if not lines[0].startswith("WARC/"):
-        raise ValueError(f"not a WARC record: {lines[0][:80]!r}")
+        raise Damage(f"no record: {lines[0][:40]!r}")
     return {
         name.strip().lower(): value.strip()
         for name, _, value in (line.partition(":") for line in lines[1:])
     }
 
 
+def _number(value: str | None) -> int | None:
+    """A length; none where the header is missing or no number that a column holds."""
+    return int(value) if value and re.fullmatch("[0-9]{1,18}", value) else None
+
+
 def _columns(headers: dict[str, str]) -> dict:
     """The header columns of a record."""
     bare = lambda v: v.strip("<>") if v is not None else None
     found = headers.get("warc-payload-digest")
-    length = headers.get(LENGTH_HEADER.lower())
     return {
         "record_id": bare(headers.get("warc-record-id")),
         "record_type": headers.get("warc-type"),
         "target_uri": headers.get("warc-target-uri"),
         "refers_to": bare(headers.get("warc-refers-to")),
         "payload_digest": found.rpartition(":")[2] if found else None,
-        "payload_length": int(length) if length is not None else None,
+        "payload_length": _number(headers.get(LENGTH_HEADER.lower())),
     }
 
 
@@ -296,8 +373,9 @@ class _Files(InputPartition):
 
 
 class WarcReader(DataSourceReader):
-    def __init__(self, folder: str, payloads: bool, partition_bytes: int):
+    def __init__(self, folder: str, payloads: bool, partition_bytes: int, tell: bool = False):
         self.folder, self.payloads, self.partition_bytes = folder, payloads, partition_bytes
+        self.tell = tell
         self.conditions: list[Filter] = []
 
     def pushFilters(self, filters: list[Filter]):
@@ -305,7 +383,9 @@ class WarcReader(DataSourceReader):
         does not tell it in a header are Spark's to test."""
         for condition in filters:
             plain = condition.child if isinstance(condition, Not) else condition
-            if isinstance(plain, _PUSHED) and plain.attribute[0] not in ("payload", "payload_length"):
+            if isinstance(plain, _PUSHED) and plain.attribute[0] not in (
+                "payload", "payload_length", "damage"
+            ):
                 self.conditions.append(condition)
             else:
                 yield condition
@@ -346,33 +426,47 @@ class WarcReader(DataSourceReader):
 
     def _records(self, path: str) -> Iterator[dict]:
         system, _ = _filesystem(self.folder)
-        kind = _GzipRecord if path.endswith(".gz") else _PlainRecord
         with system.open_input_file(path) as source:
-            size, at = source.size(), 0
-            file = io.BufferedReader(source, 1 << 16)
-            while at < size:
-                record = kind(file, at)
-                head = record.head()
-                headers = _parse(head)
-                start, length = len(head) + 4, int(headers.get("content-length", 0))
-                row = _columns(headers)
-                if all(_holds(c, row) for c in self.conditions):
-                    row["payload"] = None
-                    if row["record_type"] != "revisit" and (self.payloads or row["payload_length"] is None):
-                        block = record.body(start, length)
-                        if headers.get("content-type", "").startswith("application/http"):
-                            block = block.partition(b"\r\n\r\n")[2]
-                        if row["payload_length"] is None:
-                            row["payload_length"] = len(block)
-                        if self.payloads:
-                            row["payload"] = block
-                    yield row
-                at = record.end(start, length)
+            source = io.BufferedReader(source, 1 << 16)
+            archive = (_Members if path.endswith(".gz") else _Bytes)(source)
+            try:
+                while (head := archive.head()) is not None:
+                    yield from self._record(archive, head)
+            except Damage as damage:
+                told = f"{path}: {damage}, behind {archive.at} bytes of content"
+                if not self.tell:
+                    raise Damage(told) from damage
+                yield {"damage": told, "payload": None}
+
+    def _record(self, archive: _Bytes, head: bytes) -> Iterator[dict]:
+        headers = _parse(head)
+        length = _number(headers.get("content-length"))
+        if length is None:
+            raise Damage(f"a record's length is no number: {headers.get('content-length')!r}")
+        row = _columns(headers) | {"payload": None}
+        holds = all(_holds(c, row) for c in self.conditions)
+        wanted = holds and row["record_type"] != "revisit" and (self.payloads or row["payload_length"] is None)
+        if not wanted and archive.skip_member(len(head) + 4, length):
+            if holds:
+                yield row
+            return
+        block = archive.take(length, wanted)
+        if wanted:
+            if headers.get("content-type", "").startswith("application/http"):
+                block = block.partition(b"\r\n\r\n")[2]
+            if row["payload_length"] is None:
+                row["payload_length"] = len(block)
+            if self.payloads:
+                row["payload"] = block
+        if archive.take(4, True) != b"\r\n\r\n":
+            raise Damage("a record is longer than its length says")
+        if holds:
+            yield row
 
 
 class WarcSource(DataSource):
     """Format ``warc``. Options: ``path``, a folder that executors share; reading: ``payload``
-    (``false`` leaves payloads out), ``partition_bytes``; writing: ``level`` of compression and
+    (``false`` leaves payloads out), ``partition_bytes``, ``on_damage`` (``raise`` or ``tell``); writing: ``level`` of compression and
     ``date`` of the records."""
 
     @classmethod
@@ -387,6 +481,7 @@ class WarcSource(DataSource):
             self.options["path"],
             self.options.get("payload", "true").lower() == "true",
             int(self.options.get("partition_bytes", FILE_BYTES)),
+            self.options.get("on_damage", "raise").lower() == "tell",
         )
 
     def writer(self, schema, overwrite: bool) -> WarcWriter:
@@ -403,10 +498,30 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(WarcSource)
 
 
-def read(spark: SparkSession, folder: str, payload: bool = True) -> DataFrame:
+def read(spark: SparkSession, folder: str, payload: bool = True, on_damage: str = "raise") -> DataFrame:
     """The records of a folder of archives."""
     register(spark)
-    return spark.read.format("warc").option("payload", str(payload).lower()).load(folder)
+    options = {"payload": str(payload).lower(), "on_damage": on_damage}
+    return spark.read.format("warc").options(**options).load(folder)
+
+
+def read_split(spark: SparkSession, folder: str) -> DataFrame:
+    """The records, responses with payloads and all others by their headers alone.
+
+    Both predicates go to the source, which skips the payloads of what it does not return.
+    """
+    is_response = F.col("record_type") == "response"
+    others = F.col("record_type").isNull() | ~is_response
+    return read(spark, folder).where(is_response).unionByName(read(spark, folder, payload=False).where(others))
+
+
+def base32(digits: Column) -> Column:
+    """Upper-case base32 of 40 hexadecimal digits: each five of them are four of base32."""
+    quads = []
+    for i in range(1, 41, 5):
+        short = F.lpad(F.conv(F.substring(digits, i, 5), 16, 32), 4, "0")
+        quads.append(F.translate(F.upper(short), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"))
+    return F.concat(*quads)
 
 
 def write_pages(pages: DataFrame, folder: str, least: int = 0) -> None:
@@ -428,12 +543,11 @@ def write_pages(pages: DataFrame, folder: str, least: int = 0) -> None:
         "revisits", F.col("last").isNotNull() & (F.coalesce(F.col("page_id") < F.col("last"), F.lit(True)))
     )
     urn = lambda c: F.concat(F.lit("urn:page:"), F.coalesce(c.cast("string"), F.lit("none")))
-    base32 = F.udf(lambda text: base64.b32encode(bytes.fromhex(text)).decode(), "string", useArrow=True)
     records = joined.select(
         urn(F.col("page_id")).alias("record_id"),
         F.col("url").alias("target_uri"),
         F.when(F.col("revisits"), urn(F.col("last"))).alias("refers_to"),
-        base32("sha1").alias("payload_digest"),
+        base32(F.col("sha1")).alias("payload_digest"),
         F.col("bytes").alias("payload_length"),
         F.when(~F.col("revisits"), F.col("payload")).alias("payload"),
     )
