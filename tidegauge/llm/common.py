@@ -55,6 +55,14 @@ def measured(frame: DataFrame) -> DataFrame:
     return frame.withColumn("n_chars", F.length("text").cast(kind))
 
 
+def free_name(frame: DataFrame, name: str) -> str:
+    """The name, or a longer one where the frame has a column of it in any case."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def seeded(seed: int, *columns: Column) -> Column:
     """A hash that orders rows as if at random, the same in each run."""
     return F.xxhash64(F.lit(seed), *columns)

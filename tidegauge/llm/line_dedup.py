@@ -29,11 +29,12 @@ def _without(text: pd.Series, starts: pd.Series, width: pd.Series) -> pd.Series:
     return pd.Series([one(*row) for row in zip(text, starts, width)], dtype=object)
 
 
-def dedup_lines(docs: DataFrame, width: int = 3) -> DataFrame:
+def dedup_lines(docs: DataFrame, width: int = 3, column: str = "line_dedup") -> DataFrame:
     """Remove repeated windows of ``width`` lines from ``text``.
 
-    Returns the rows with all their columns, the text cleaned, and ``line_dedup``, a struct of
+    Returns the rows with all their columns, the text cleaned, and ``column``, a struct of
     ``n_lines`` (before) and ``removed_windows`` (later occurrences, overlapping ones counted each).
+    A column of that name is replaced.
 
     Lines end at line feeds and are compared as they are. A text of fewer lines is one window of
     all of them. Windows of blank lines only are left alone. Occurrences are ordered by doc_id
@@ -80,10 +81,10 @@ def dedup_lines(docs: DataFrame, width: int = 3) -> DataFrame:
     return cleaned.select(
         *[
             (F.coalesce("cut", "untouched") if c == "text" else F.col(f"doc.`{c}`")).alias(c)
-            for c in docs.columns
+            for c in docs.columns if c.lower() != column.lower()
         ],
         F.struct(
             F.coalesce(F.size(F.split("doc.text", "\n", -1)), F.lit(0)).alias("n_lines"),
             F.coalesce(F.size("starts"), F.lit(0)).alias("removed_windows"),
-        ).alias("line_dedup"),
+        ).alias(column),
     )
