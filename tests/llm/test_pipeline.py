@@ -78,8 +78,86 @@ def test_run_gives_the_last_stage(spark, steps):
     assert sorted(map(key, corpus_pipeline.run(spark, SF).collect())) == sorted(map(key, steps[5]))
 
 
+SYLLABLES = {
+    "aa": "ba lo mi ne tu", "bb": "kra sch ung tz pfl", "cc": "é oui eau çon ître", "dd": "да не про ств ого",
+    "ee": "のは です ます した から", "ff": "ქვე ლის აში ობა იდა", "gg": "gwy llan ddu fach mawr", "hh": "xhu qe shq ipë rin",
+}
+
+
+def made_text(draw, languages, words=120):
+    return " ".join(
+        "".join(draw.choice(SYLLABLES[languages[i * len(languages) // words]].split()) for _ in range(draw.randrange(1, 4)))
+        for i in range(words))
+
+
+@pytest.mark.parametrize("n", [2, 4, 8])
+def test_language_stage_rejects_foreign_text_and_keeps_the_rest(spark, n):
+    import random
+    import string
+
+    draw, known = random.Random(n), list(SYLLABLES)[:n]
+    rows, clean, foreign = [], set(), set()
+
+    def put(text, lang, where):
+        rows.append((len(rows), text, lang, "s", len(text or "")))
+        where.add(len(rows) - 1)
+
+    for lang in known:
+        for _ in range(25):
+            put(made_text(draw, [lang]), lang, clean)
+    for _ in range(12):  # text that switches, up to evenly over all languages
+        put(made_text(draw, draw.sample(known, draw.randrange(2, n + 1))), None, clean)
+        put(made_text(draw, known), None, clean)
+        put(" ".join("".join(draw.choices(string.ascii_lowercase, k=draw.randrange(2, 10))) for _ in range(80)), None, foreign)
+        put("Съешь же ещё этих мягких французских булок выпей чаю " * draw.randrange(1, 9) if n < 4 else
+            "Η γρήγορη καφετιά αλεπού πηδά πάνω από το τεμπέλικο σκυλί " * draw.randrange(1, 9), None, foreign)
+    for text in (None, "", " \n", "123 !!"):
+        put(text, None, foreign)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id for r in corpus_pipeline.identify_language(spark, docs, SF).collect()}
+    assert clean - kept == set() and kept & foreign == set()
+
+
+def test_language_stage_on_given_documents(spark):
+    """All ordinary documents stay; random letters put among them go."""
+    import random
+    import string
+
+    draw = random.Random(1)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(10_000_000 + i, " ".join("".join(draw.choices(string.ascii_lowercase, k=draw.randrange(2, 10)))
+             for _ in range(60)), None, "x", 1) for i in range(40)]
+    added = docs.select("doc_id", "text", "lang", "source", "n_chars").unionByName(
+        spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"))
+    kept = {r.doc_id for r in corpus_pipeline.identify_language(spark, added, SF).select("doc_id").collect()}
+    lost = {r.doc_id: r.text for r in docs.collect() if r.doc_id not in kept}
+    assert not any(i in kept for i, *_ in rows)
+    assert len(lost) <= docs.count() * 0.01, [t[:80] for t in list(lost.values())[:20]]
+
+
+def test_own_columns_of_any_name_stay(spark):
+    docs = clashing(spark.read.parquet(f"{SF}/documents.parquet"), "language", "line_dedup", "doc", "kept_mark", "told")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = docs.columns
+        docs = corpus_pipeline.stored(stage(spark, docs, SF), name)
+        assert docs.columns == before
+        assert docs.where("language = 'extra' AND line_dedup = 'extra' AND doc = 'extra'").count() == docs.count() > 0
+
+
+def test_dedup_with_a_column_of_its_name(spark):
+    from tidegauge.llm.line_dedup import dedup_lines
+
+    docs = clashing(odd_docs(spark), "line_dedup")
+    found = dedup_lines(docs)
+    assert found.columns == docs.columns and found.where("line_dedup.n_lines >= 0").count() == docs.count()
+
+
 def test_odd_rows_and_no_rows(spark):
     for docs in (clashing(odd_docs(spark), "doc", "language", "kept_mark"), no_docs(spark)):
+        rows = docs.count()
         for name, stage in corpus_pipeline.STAGES:
             docs = corpus_pipeline.stored(stage(spark, docs, SF), name)
-        docs.collect()
+            if name in ("line_dedup", "ngram_jaccard_join"):
+                texts = [r.text for r in docs.collect()]
+                assert "" not in texts and len(texts) <= rows
+        assert docs.count() == 0 if rows == 0 else docs.where("doc_tokens > 0").count() == docs.count()

@@ -44,7 +44,7 @@ def test_query(spark):
 def test_odd_rows(spark):
     docs = clashing(odd_docs(spark), "cell", "place", "rank", "slot", "curve_index", "inside")
     key = [F.col("doc_id"), F.col("text")]
-    dimensions = [hilbert_shards.text_key(F.col("source")), F.col("n_chars"), F.col("doc_id")]
+    dimensions = [F.col("source"), F.col("n_chars"), F.col("doc_id")]
     rows = hilbert_shards.shard(docs, dimensions, key, shards=4).collect()
     assert len(rows) == docs.count()
     assert_law(rows, 4)
@@ -68,8 +68,37 @@ def test_files_hold_runs_of_the_curve(spark, tmp_path):
     assert back.count() == docs.count() and back.select("curve_shard").distinct().count() == 3
 
 
-def test_text_key_orders_like_the_text(spark):
-    names = ["", "a", "ab", "b", "src1", "src10", "src2", "é", "漢"]
-    rows = spark.createDataFrame([(n,) for n in names], "s string").select(
-        "s", hilbert_shards.text_key(F.col("s")).alias("k")).collect()
-    assert [r.s for r in sorted(rows, key=lambda r: r.k)] == names
+def test_texts_with_a_common_beginning_get_levels_of_their_own(spark):
+    names = ["github-java", "github-python", "github-rust"]
+    docs = spark.range(3000).select(
+        F.col("id").alias("doc_id"), F.element_at(F.array(*map(F.lit, names)), (F.col("id") % 3 + 1).cast("int")).alias("source"))
+    assert hilbert_shards.text_cuts(docs, F.col("source"), 8) == names[1:]
+    rows = hilbert_shards.shard(docs, [F.col("source"), F.col("doc_id")], [F.col("doc_id")], shards=30).collect()
+    assert_law(rows, 30)
+    by_source = defaultdict(set)
+    for r in rows:
+        by_source[r.doc.source].add(r.shard)
+    assert all(len(found) <= 14 for found in by_source.values())
+
+
+def test_text_cuts_against_ranks(spark):
+    import random
+
+    draw = random.Random(2)
+    values = ["https://example.org/" + draw.choice("abcdefghij") * draw.randrange(1, 4) for _ in range(700)]
+    values += ["", "é", "漢", None, None] + ["hot"] * 300
+    docs = spark.createDataFrame([(v,) for v in values], "v string").repartition(7)
+    told = sorted((v for v in values if v is not None), key=lambda v: v.encode())
+    least = {}
+    for i, v in enumerate(told):
+        least.setdefault(told.index(v) * 8 // len(told), v)
+    assert hilbert_shards.text_cuts(docs, F.col("v"), 8) == [least[k] for k in sorted(least)][1:]
+    assert hilbert_shards.text_cuts(docs.where("v IS NULL"), F.col("v"), 8) == []
+
+
+def test_equal_rows_are_spread_over_parts(spark):
+    docs = spark.range(0, 5000, 1, 4).selectExpr("CAST(NULL AS bigint) AS doc_id", "1 AS size")
+    placed = hilbert_shards.shard(docs, [F.col("size")], [F.col("doc_id")])
+    assert_law(placed.collect())
+    plan = placed._jdf.queryExecution().analyzed().toString()
+    assert "monotonically_increasing_id" in plan or "parquet" in plan

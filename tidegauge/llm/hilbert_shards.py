@@ -11,9 +11,10 @@ from itertools import product
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tidegauge.llm.common import leading_bits, seeded
+from tidegauge.llm.common import leading_bits, seeded, stored
 
 #: A cell's rows are counted in so many parts (as bits), so that no window holds a whole cell.
 _PART_BITS = 12
@@ -63,10 +64,26 @@ def curve(spark: SparkSession, dimensions: int, bits: int) -> DataFrame:
     return spark.createDataFrame(rows, "cell int, curve_index int")
 
 
-def text_key(value: Column) -> Column:
-    """A number that orders texts by their first seven bytes."""
-    head = F.rpad(F.hex(F.substring(F.encode(value, "UTF-8"), 1, 7)), 14, "0")
-    return F.conv(head, 16, 10).cast("long")
+def text_cuts(docs: DataFrame, dimension: Column, levels: int) -> list[str]:
+    """The least text of each level but the first, where texts are ranked by how many rows are before them.
+
+    Distinct texts are counted, laid out in order over many partitions, and ranked by sums within and
+    before each; the driver gets a row per level. A text is never cut: its rows share a level.
+    """
+    counts = stored(
+        docs.select(dimension.alias("v")).where("v IS NOT NULL").groupBy("v").agg(F.count("*").alias("n"))
+        .repartitionByRange("v").withColumn("run", F.spark_partition_id()), "texts",
+    )
+    earlier = Window.orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = counts.groupBy("run").agg(F.sum("n").alias("in_run")).select(  # a row per partition
+        "run", F.coalesce(F.sum("in_run").over(earlier), F.lit(0)).alias("run_start"),
+        F.sum("in_run").over(Window.partitionBy()).alias("total"),
+    )
+    inside = Window.partitionBy("run").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = counts.withColumn("before", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(runs, "run")
+    level = F.expr(f"((run_start + before) * {levels}) div total")
+    found = ranked.groupBy(level.alias("level")).agg(F.min("v").alias("v")).orderBy("level").collect()
+    return [r.v for r in found[1:]]
 
 
 def shard(
@@ -79,28 +96,38 @@ def shard(
 ) -> DataFrame:
     """Put rows into shards 0 to ``shards - 1`` along the curve, their counts at most one apart.
 
-    ``dimensions`` are numeric columns, ``key`` the columns that order rows of one cell. Returns
+    ``dimensions`` are numeric or text columns, ``key`` the columns that order rows of one cell. Returns
     ``doc`` (the whole row), ``curve_index``, ``shard`` and ``slot``, gapless from 0 in each shard.
 
-    A null dimension lies in the lowest level. Equal rows get places of their own, in any order.
+    Numbers are cut at their quantiles, texts by their rank among the distinct ones, whatever they
+    begin with. A null dimension lies in the lowest level. Equal rows get places of their own, spread
+    over the parts of their cell.
     With fewer rows than shards, some shards stay empty; an empty table gives an empty result.
     """
     spark = docs.sparkSession
     levels = 1 << bits
     steps = F.array(*[F.lit(i / levels) for i in range(1, levels)])
-    values = [d.cast("double") for d in dimensions]
-    cuts = docs.agg(*[
-        F.percentile_approx(v, steps, 10000).alias(f"cuts_{i}") for i, v in enumerate(values)
-    ]).first()
+    is_text = [isinstance(f.dataType, T.StringType) for f in docs.select(*dimensions).schema]
+    values = [d if text else d.cast("double") for d, text in zip(dimensions, is_text)]
+    numbers = [v for v, text in zip(values, is_text) if not text]
+    quantiles = iter(docs.agg(
+        F.count("*"), *[F.percentile_approx(v, steps, 10000).alias(f"cuts_{i}") for i, v in enumerate(numbers)]
+    ).first()[1:])
     code = F.lit(0)
-    for v, found in zip(values, cuts):
+    for v, text in zip(values, is_text):
+        if text:
+            above = [v >= F.lit(cut) for cut in text_cuts(docs, v, levels)]
+        else:
+            above = [v > F.lit(cut) for cut in sorted(set(next(quantiles) or ()))]
         level = F.lit(0)
-        for cut in sorted(set(found or ())):
-            level = level + F.coalesce((v > F.lit(cut)).cast("int"), F.lit(0))
+        for condition in above:
+            level = level + F.coalesce(condition.cast("int"), F.lit(0))
         code = code * levels + level
-    rows = docs.select(
-        F.struct("*").alias("doc"), code.alias("cell"), seeded(seed, *key).alias("place")
-    ).withColumn("part", leading_bits(F.col("place"), _PART_BITS).cast("int"))
+    # Written first: the places of equal rows must not change where a task is run again.
+    rows = stored(docs.select(
+        F.struct("*").alias("doc"), code.alias("cell"),
+        seeded(seed, *key, F.monotonically_increasing_id()).alias("place"),
+    ), "cells").withColumn("part", leading_bits(F.col("place"), _PART_BITS).cast("int"))
     rows = rows.join(F.broadcast(curve(spark, len(values), bits)), "cell")
 
     counts = rows.groupBy("curve_index", "part").agg(F.count("*").alias("n"))

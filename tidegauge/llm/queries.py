@@ -49,10 +49,7 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
         (text_bytes(F.col("text")) + 16).alias("size"),
         F.crc32(F.coalesce(F.encode("text", "UTF-8"), F.lit(b""))).alias("text_crc32"),
     )
-    dimensions = [
-        hilbert_shards.text_key(F.col("source")), hilbert_shards.text_key(F.col("lang")),
-        F.col("size"), F.col("doc_id"),
-    ]
+    dimensions = [F.col("source"), F.col("lang"), F.col("size"), F.col("doc_id")]
     placed = hilbert_shards.shard(docs, dimensions, [F.col("doc_id"), F.col("text_crc32")])
     return placed.select(
         "doc.doc_id", "doc.size", "doc.text_crc32", F.lit("rows").alias("law"), "shard", "slot",
