@@ -45,10 +45,35 @@ def prepare(spark: SparkSession) -> SparkSession:
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A new folder below the shared checkpoint folder of the cluster.
 
-    A session that names no such folder uses one in its warehouse, which is shared as well.
+    A cluster must name one in ``spark.checkpoint.dir``. Where all tasks run in the driver's process, a
+    session that names none uses one in its warehouse.
     """
     base = spark.conf.get(CHECKPOINT_SETTING, None)
     if not base:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError(f"{CHECKPOINT_SETTING} must name a folder that all executors share")
         base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints"
         spark.conf.set(CHECKPOINT_SETTING, base)
     return f"{base.rstrip('/')}/tidegauge/{label}-{uuid.uuid4().hex}"
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """A path and its file system, as Spark itself sees them."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder with all it holds; nothing happens where there is none."""
+    place, system = _hadoop(spark, path)
+    system.delete(place, True)
+
+
+def listed(spark: SparkSession, path: str) -> list[tuple[str, float]]:
+    """Names in a folder that do not begin with a dot or underscore, and when each was last changed."""
+    place, system = _hadoop(spark, path)
+    if not system.exists(place):
+        return []
+    found = [(s.getPath().getName(), s.getModificationTime() / 1000) for s in system.listStatus(place)]
+    return [(name, changed) for name, changed in found if not name.startswith((".", "_"))]
