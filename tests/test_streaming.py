@@ -70,6 +70,41 @@ def test_stream_equals_batch(spark, tmp_path):
         map(str, batch.collect()))
 
 
+def test_late_samples_are_rated_with_their_successors_only(spark, tmp_path):
+    import random
+
+    draw = random.Random(6)
+    rows = [sample(s * 40, (s * 37) % 1000 + s, f"k{s % 3}") for s in range(900)]
+    rows += [sample(s * 40, 5 + s, f"k{s % 3}") for s in range(0, 900, 60)]  # other values at the same instant
+    late = [r for i, r in enumerate(rows) if i % 45 == 0 or draw.random() < 0.02 or 30_000 < (r[0] - T0).seconds < 30_200]
+    rest = [r for r in rows if r not in late]
+    for part in (rest, late[::2], late[1::2] + [sample(40_000, 1, "k0")]):
+        feed(spark, tmp_path, part, 30)
+    out = str(tmp_path / "out")
+    everything = spark.createDataFrame(rows + [sample(40_000, 1, "k0")], rates.SAMPLE).withColumn(
+        "tags", F.create_map().cast("map<string,string>"))
+    batch = metric_series_rate(everything, "m", "f", "r").drop("tags")
+    current = rates.current_rates(spark, out, 2)
+    assert sorted(map(str, current.select(*batch.columns).collect())) == sorted(map(str, batch.collect()))
+
+    told = rates.late_samples(spark, out)
+    kept = rates.read_table(spark, f"{out}/samples").unionByName(
+        rates.read_batch(spark, f"{out}/waiting", 2, rates.SAMPLE), allowMissingColumns=True)
+    again = rates.near_late_samples(kept, rates._edges(kept, 3600), told).count()
+    assert told.count() >= 40 and again <= 3 * told.count() < kept.count() / 4
+
+
+def test_a_series_silent_for_the_lifecycle_begins_anew(spark, tmp_path):
+    out = str(tmp_path / "out")
+    for rows in ([sample(0, 0), sample(0, 0, "other")], [sample(91 * 86400, 5, "other")],
+                 [sample(92 * 86400, 7, "other"), sample(92 * 86400, 9)], [sample(93 * 86400, 11)]):
+        feed(spark, tmp_path, rows, 30)
+    found = {(r.series_key, r.rate > 0) for r in rates.emitted_rates(spark, out).collect()}
+    assert found == {("other", True)}
+    assert {r.series_key for r in rates.read_batch(spark, f"{out}/tails", 3, rates.SAMPLE).collect()} == {"other", "k"}
+    assert sorted(p.name for p in (tmp_path / "out" / "tails").iterdir()) == ["batch=2", "batch=3"]
+
+
 METRIC = "ts timestamp, run_id string, host string, tier string, metric string, value double"
 
 
@@ -147,6 +182,28 @@ def test_silence_is_reported_once_and_a_minute_is_not_silence(spark, tmp_path):
     ]
 
 
+def test_ticks_tell_the_silence_of_all_collectors(spark, tmp_path):
+    def beat(second, target):
+        return (at(second), target, "h", "r", "collector.health", "heartbeat")
+
+    def run(beats, ticks):
+        add(spark, tmp_path / "in", beats, BEAT)
+        add(spark, tmp_path / "ticks", [(at(s),) for s in ticks], "ts timestamp")
+        found = liveness.outages(
+            stream(spark, tmp_path / "in", BEAT), ticks=stream(spark, tmp_path / "ticks", "ts timestamp"))
+        run_available(
+            found.writeStream.format("parquet").option("path", str(tmp_path / "out")), str(tmp_path / "log"))
+        rows = spark.read.parquet(str(tmp_path / "out")).collect()
+        return sorted((r.target_id, r.beats, r.down_at) for r in rows)
+
+    assert run([beat(0, "a"), beat(5, "b")], [5, 15]) == []
+    assert run([beat(50, "a")], [55]) == []
+    assert run([], [74]) == []  # the delay of ten seconds
+    assert run([], [76]) == [("b", 1, at(65))]
+    assert run([], [200]) == [("a", 2, at(110)), ("b", 1, at(65))]
+    assert run([beat(20, "b")], [300]) == [("a", 2, at(110)), ("b", 1, at(65))]  # told before, too late
+
+
 def test_a_repeated_batch_replaces_itself(spark, tmp_path):
     from tidegauge.streaming.batches import write_batch
 

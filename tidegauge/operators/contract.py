@@ -7,7 +7,7 @@ are expressions on one row; the catalog has ten rows and is always broadcast.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -157,13 +157,15 @@ def packed_row(points: DataFrame) -> DataFrame:
     )
 
 
+def wire_text(columns: Sequence[str], instead: Mapping[str, Column] | None = None) -> Column:
+    """The JSON text of a row's columns, some of them replaced by other values."""
+    values = {c: utc_iso(F.col(c)) if c == "ts" else F.col(c) for c in columns} | dict(instead or {})
+    return F.to_json(F.struct(*[values[c].alias(WIRE_NAMES.get(c, c)) for c in columns]))
+
+
 def wire_row(packed: DataFrame) -> DataFrame:
     """One JSON text per packed row."""
-    columns = [
-        utc_iso(F.col(c)).alias(c) if c == "ts" else F.col(c).alias(WIRE_NAMES.get(c, c))
-        for c in packed.columns
-    ]
-    return packed.select(F.to_json(F.struct(*columns)).alias("value"))
+    return packed.select(wire_text(packed.columns).alias("value"))
 
 
 def _numbers(points: DataFrame) -> DataFrame:

@@ -8,24 +8,36 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tidegauge.operators.health import DOWN_AFTER_SECONDS, HEALTH, HEARTBEAT
-from tidegauge.streaming.batches import read_batches, write_batch
+from tidegauge.streaming.levels import add_batch, read_table
 
 KEYS = ("target_id", "host", "run_id")
 
 
-def outages(series: DataFrame, delay: str = "10 seconds") -> DataFrame:
+_BEAT = "CASE WHEN ts IS NOT NULL THEN measurement = '{}' AND field = '{}' ELSE false END".format(HEALTH, HEARTBEAT)
+
+
+def clock(spark: SparkSession) -> DataFrame:
+    """A stream of one tick a second, ``ts``, for ``outages``."""
+    return spark.readStream.format("rate").option("rowsPerSecond", 1).load().select(
+        F.col("timestamp").alias("ts"))
+
+
+def outages(series: DataFrame, delay: str = "10 seconds", ticks: DataFrame | None = None) -> DataFrame:
     """One row per collector and silence: its last beat, and when it counted as down.
 
     Beats at most a minute apart form a session. A stream in append mode emits a session once the
     watermark has passed its end, which is the moment the collector has been silent too long.
     Sessions are merged inside each task before the shuffle, so a collector with very many beats
-    travels as a few rows. When every collector is silent the watermark stands still; the clock
-    of ``collector_health`` covers that case.
+    travels as a few rows. ``ticks`` (``ts``) are times at which nothing needs to have happened: they
+    move the watermark on when every collector is silent, and are no beats.
     """
     gap = f"{DOWN_AFTER_SECONDS} seconds 1 microsecond"
+    rows = series.select("ts", *KEYS, "measurement", "field")
+    if ticks is not None:
+        rows = rows.unionByName(ticks.select("ts"), allowMissingColumns=True)
+    # The condition names the time, so that Spark tests it behind the watermark, which ticks must reach.
     return (
-        series.filter((F.col("measurement") == HEALTH) & (F.col("field") == HEARTBEAT))
-        .withWatermark("ts", delay)
+        rows.withWatermark("ts", delay).filter(_BEAT)
         .groupBy(F.session_window("ts", gap).alias("w"), *KEYS)
         .agg(F.max("ts").alias("last_beat"), F.count(F.lit(1)).alias("beats"))
         .select(
@@ -39,8 +51,8 @@ def outages(series: DataFrame, delay: str = "10 seconds") -> DataFrame:
 def session_stream(series: DataFrame, folder: str) -> DataStreamWriter:
     """Writer that keeps the sessions of each batch; a late beat simply counts when they are read."""
     return series.writeStream.foreachBatch(
-        lambda batch, batch_id: write_batch(
-            outages(batch).drop("down_at"), f"{folder}/sessions", batch_id
+        lambda batch, batch_id: add_batch(
+            outages(batch).drop("down_at"), f"{folder}/sessions", batch_id, ts="first_beat"
         )
     )
 
@@ -55,7 +67,7 @@ def current_outages(spark: SparkSession, folder: str) -> DataFrame:
     gap = F.make_interval(secs=F.lit(DOWN_AFTER_SECONDS))
     starts = F.coalesce((F.col("first_beat") > F.col("before") + gap).cast("int"), F.lit(1))
     return (
-        read_batches(spark, f"{folder}/sessions")
+        read_table(spark, f"{folder}/sessions")
         .withColumn("before", before)
         .withColumn("session", F.sum(starts).over(by_start))
         .groupBy(*KEYS, "session")

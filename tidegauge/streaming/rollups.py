@@ -1,12 +1,14 @@
 """Continuously kept rollups and alerts.
 
 A batch only adds its own partial sums; readers merge them. A late row thus simply counts, however
-late it is, and no state has to be kept between batches.
+late it is, and no state has to be kept between batches. Partial sums of a day are merged level by
+level as batches come, so a reader meets few folders however long the stream has run.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,29 +32,42 @@ from tidegauge.operators.rollups import (
     metrics_partials,
 )
 from tidegauge.streaming.batches import read_batch, read_batches, write_batch
+from tidegauge.streaming.levels import DAY, FANOUT, add_batch, read_table
 
 
-def metrics_stream(metrics: DataFrame, folder: str) -> DataStreamWriter:
-    return metrics.writeStream.foreachBatch(
-        lambda batch, batch_id: write_batch(metrics_partials(batch), folder, batch_id)
-    )
+def metrics_stream(metrics: DataFrame, folder: str, fanout: int = FANOUT) -> DataStreamWriter:
+    """Writer of partial sums per minute into the table ``folder``."""
+    return metrics.writeStream.foreachBatch(lambda batch, batch_id: add_batch(
+        metrics_partials(batch), folder, batch_id, combine=combined_metrics, fanout=fanout
+    ))
+
 
+def events_stream(events: DataFrame, folder: str, fanout: int = FANOUT) -> DataStreamWriter:
+    """Writer of event counts per minute into the table ``folder``."""
+    return events.writeStream.foreachBatch(lambda batch, batch_id: add_batch(
+        events_rollup(batch), folder, batch_id, combine=combined_events, fanout=fanout
+    ))
 
-def events_stream(events: DataFrame, folder: str) -> DataStreamWriter:
-    return events.writeStream.foreachBatch(
-        lambda batch, batch_id: write_batch(events_rollup(batch), folder, batch_id)
+
+def combined_metrics(partials: DataFrame) -> DataFrame:
+    """Partial sums of any batches as those of one."""
+    return partials.groupBy(DAY, "ts", *METRIC_KEYS).agg(
+        *[F.sum(c).alias(c) for c in ("total", "valued", "samples")],
+        F.max("max").alias("max"), F.min("min").alias("min"),
     )
 
 
-def read_metrics_rollup(spark: SparkSession, folder: str) -> DataFrame:
-    return merge_partials(read_batches(spark, folder))
+def combined_events(counts: DataFrame) -> DataFrame:
+    return counts.groupBy(DAY, "ts", *EVENT_KEYS).agg(F.sum("events").alias("events"))
 
 
-def read_events_rollup(spark: SparkSession, folder: str) -> DataFrame:
-    return (
-        read_batches(spark, folder).groupBy("ts", *EVENT_KEYS)
-        .agg(F.sum("events").alias("events"))
-    )
+def read_metrics_rollup(spark: SparkSession, folder: str, first: date | None = None) -> DataFrame:
+    """The rollup so far; days before ``first`` are not listed."""
+    return merge_partials(read_table(spark, folder, first))
+
+
+def read_events_rollup(spark: SparkSession, folder: str, first: date | None = None) -> DataFrame:
+    return combined_events(read_table(spark, folder, first)).drop(DAY)
 
 
 def windowed_metrics(metrics: DataFrame, delay: str = "3600 seconds") -> DataFrame:
