@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.functions.timing import bin_start
+from tidegauge.operators.ordered import latest_before, with_previous
 
 
 @dataclass(frozen=True)
@@ -34,6 +35,7 @@ RULES = (
 REPLICATION_RULE = AlertRule("mysql-replication-lag", "replication_lag", "Maximum", 60, 1, 15, 5)
 ERROR_LEVEL = "Error"
 
+DAY_SECONDS = 86400
 #: Width of a pane. Every window and step of the rules is a whole number of panes.
 PANE_SECONDS = 300
 PANE_KEYS = ("metric_name", "resource", "pane")
@@ -109,6 +111,40 @@ def metric_alerts(metrics: DataFrame, rules: Sequence[AlertRule] = RULES) -> Dat
     return evaluate(panes(metrics, rules), rules)
 
 
+def alert_history(fired: DataFrame, rules: Sequence[AlertRule] = RULES) -> DataFrame:
+    """When each alert fired and when it resolved: a row per rule, resource and run of firing windows.
+
+    ``fired`` are windows above their threshold (``evaluate``, ``current_alerts``). An alert fires at
+    the end of its first window and resolves at the next evaluation that does not fire, whether it is
+    below the threshold or has no data. Runs are found by the window before and the first window of the
+    run, both through time slices, so a rule that fires for ever stays spread out.
+    """
+    keys = ["rule", "severity", "resource"]
+    step = F.create_map(*[F.lit(x) for r in rules for x in (r.name, r.every_minutes * 60)])[F.col("rule")]
+    seconds = F.unix_seconds("window_start")
+    rows = fired.select(*keys, "window_start", "window_end", step.alias("step"), "value", "threshold")
+    # The window before by its start; the one behind by the same, with time running backwards.
+    forward = with_previous(rows, keys, "window_start", "value", slice_seconds=DAY_SECONDS)
+    opens = F.coalesce(F.unix_seconds("prev_ts") < seconds - F.col("step"), F.lit(True))
+    back = forward.withColumn("opens", opens).select(
+        *keys, "window_start", "window_end", "step", "value", "threshold", "opens",
+        F.timestamp_seconds(-seconds).alias("reverse"),
+    )
+    behind = with_previous(back, keys, "reverse", "value", slice_seconds=DAY_SECONDS).withColumn(
+        "closes", F.coalesce(F.unix_seconds("prev_ts") < F.unix_seconds("reverse") - F.col("step"), F.lit(True))
+    )
+    marks = behind.filter("opens").select(*keys, "window_start", F.col("window_end").alias("fired_at"))
+    ends = behind.filter("closes").select(
+        *keys, "window_start", (F.col("window_end") + F.make_interval(secs=F.col("step"))).alias("resolved_at"), "step")
+    matched = latest_before(
+        ends, marks, keys, payload=["fired_at"], ts="window_start", slice_seconds=DAY_SECONDS)
+    first = F.unix_seconds("mark_ts")
+    return matched.select(
+        *keys, "fired_at", "resolved_at",
+        ((seconds - first) / F.col("step") + 1).cast("long").alias("windows"),
+    )
+
+
 def replication_lag_alert(metrics: DataFrame) -> DataFrame:
     """Opt-in: without a replica the metric never reports."""
     return metric_alerts(metrics, [REPLICATION_RULE])

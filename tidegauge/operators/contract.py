@@ -27,21 +27,49 @@ _SPEC_COLUMNS = ("known_tags", "known_fields", "required_fields", "specs")
 
 def value_type(value: Column) -> Column:
     """Type of a variant in contract words. Truth values are not integers."""
-    name = F.schema_of_variant(value)
-    wide_integer = name.rlike(r"^DECIMAL\((19|[23]\d),0\)$")
-    return (
-        F.when(name == "BOOLEAN", "bool")
-        .when((name == "BIGINT") | wide_integer, "int")
-        .when(name.startswith("DECIMAL") | (name == "DOUBLE") | (name == "FLOAT"), "float")
-        .when(name == "STRING", "str")
-        .when(name == "VOID", "NoneType")
-        .when(name.startswith("ARRAY"), "list")
-        .otherwise("dict")
-    )
+
+    def word(name: Column) -> Column:
+        wide_integer = name.rlike(r"^DECIMAL\((19|[23]\d),0\)$")
+        return (
+            F.when(name == "BOOLEAN", "bool")
+            .when((name == "BIGINT") | wide_integer, "int")
+            .when(name.startswith("DECIMAL") | (name == "DOUBLE") | (name == "FLOAT"), "float")
+            .when(name == "STRING", "str")
+            .when(name == "VOID", "NoneType")
+            .when(name.startswith("ARRAY"), "list")
+            .otherwise("dict")
+        )
+
+    # As an element, the type's name is computed once and not once for each of its uses.
+    return F.get(F.transform(F.array(F.schema_of_variant(value)), word), F.lit(0))
 
 
 def is_number(value: Column) -> Column:
-    return value_type(value).isin("int", "float")
+    """Whether a variant is a number; a truth value is none."""
+    return F.schema_of_variant(value).rlike(r"^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
+
+
+#: A number of 19 digits or more whose fraction is zero: as a variant it looks like a whole number.
+_WIDE_REAL = r"[0-9]{19,}\.0+"
+
+
+def exact_kinds(fields: Column, text: Column, raw: Column) -> Column:
+    """Fields (a map of variants) in which wide real numbers are real.
+
+    ``text`` is the JSON text the fields were read from, ``raw`` the map of the same fields as texts, in
+    which a real number keeps a point or an exponent. It is only computed where the text holds such a
+    number.
+    """
+    wide = F.coalesce(text.rlike(_WIDE_REAL + r"([^0-9eE]|$)"), F.lit(False))
+
+    def retyped(name: Column, value: Column) -> Column:
+        own = raw[name]
+        return F.when(
+            F.schema_of_variant(value).startswith("DECIMAL") & own.rlike("[.eE]"),
+            F.try_parse_json(own),
+        ).otherwise(value)
+
+    return F.when(wide, F.transform_values(fields, retyped)).otherwise(fields)
 
 
 def invariant_problem(naive: Column | None = None) -> Column:
@@ -168,12 +196,13 @@ def wire_row(packed: DataFrame) -> DataFrame:
     return packed.select(wire_text(packed.columns).alias("value"))
 
 
-def _numbers(points: DataFrame) -> DataFrame:
-    return (
-        points.select(*points.columns, F.explode("fields").alias("field", "variant"))
-        .filter(is_number(F.col("variant")))
-        .withColumn("value", F.try_variant_get("variant", "$", "double"))
-    )
+def _numbers(points: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """A row per numeric field, of those ``wanted`` if given, before any value is looked at."""
+    entries = points.select(*points.columns, F.explode("fields").alias("field", "variant"))
+    if wanted is not None:
+        entries = entries.join(F.broadcast(wanted), ["measurement", "field"])
+    return entries.filter(is_number(F.col("variant"))).withColumn(
+        "value", F.try_variant_get("variant", "$", "double"))
 
 
 def series_rows(packed: DataFrame) -> DataFrame:
@@ -183,9 +212,7 @@ def series_rows(packed: DataFrame) -> DataFrame:
         .filter("series")
         .select("measurement", "field", "kind", "unit")
     )
-    return _numbers(packed).join(F.broadcast(fields), ["measurement", "field"]).select(
-        *SERIES.fieldNames()
-    )
+    return _numbers(packed, fields).select(*SERIES.fieldNames())
 
 
 def legacy_metric_rows(

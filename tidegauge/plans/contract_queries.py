@@ -38,6 +38,7 @@ WIRE = {
         WHEN 11 THEN '{{"operations_total":1,"bytes_total":2,"wait_ms_total":0.5,"":3}}'
         WHEN 12 THEN '{{"operations_total":1,"bytes_total":2}}'
         WHEN 13 THEN '{{"operations_total":1,"bytes_total":2.5,"wait_ms_total":0.5}}'
+        WHEN 17 THEN '{{"operations_total":12345678901234567890.0,"bytes_total":2,"wait_ms_total":0.5}}'
         WHEN 14 THEN '{{"operations_total":null,"bytes_total":2,"wait_ms_total":0.5}}'
         ELSE CASE WHEN event_id % 50 BETWEEN 18 AND 24
                   THEN concat('{{"heartbeat":1,"mysql_reachable":', k % 2,
@@ -55,8 +56,11 @@ def wire_rows(t):
         "ts AS _ts", f"{WIRE['run_id']} AS run_id", "target_id", "host", "tier",
         f"{WIRE['measurement']} AS measurement",
         f"from_json({WIRE['tags_text']}, 'map<string,string>') AS tags",
-        f"from_json({WIRE['fields_text']}, 'map<string,variant>') AS fields",
-    ).drop("_ts")
+        f"{WIRE['fields_text']} AS fields_text",
+    ).drop("_ts").withColumn("fields", c.exact_kinds(
+        F.from_json("fields_text", "map<string,variant>"), F.col("fields_text"),
+        F.from_json("fields_text", "map<string,string>"),
+    )).drop("fields_text")
 
 
 def _checked(t):

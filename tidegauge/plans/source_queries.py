@@ -12,6 +12,7 @@ from functools import lru_cache, reduce
 from pyspark.sql import functions as F
 
 from tidegauge.catalog import CATALOG
+from tidegauge.operators import alerts, sketches
 from tidegauge.operators import contract as c
 from tidegauge.operators import rollups as batch_rollups
 from tidegauge.operators.alerts import RULES
@@ -23,7 +24,7 @@ from tidegauge.plans.rate_queries import _ROLLUP
 from tidegauge.plans.registry import field_is, query, r
 from tidegauge.session import scratch_folder
 from tidegauge.sources import error_log, jsonl, lifecycle, platform, replay, segments, snapshots
-from tidegauge.streaming import ingest, levels, liveness, rates, rollups
+from tidegauge.streaming import ingest, levels, liveness, log_source, rates, rollups
 from tidegauge.streaming.batches import run_available
 
 # --- JSON Lines -----------------------------------------------------------------------------
@@ -527,6 +528,31 @@ def _stream_metric_alerts(t):
     return rollups.current_alerts(t.spark, out)
 
 
+_STEPS = " ".join(f"WHEN '{rule.name}' THEN {rule.every_minutes}" for rule in RULES)
+_ALERT_HISTORY = f"""
+    SELECT rule, severity, resource, min(window_end) AS fired_at,
+           max(window_end) + max(step) * INTERVAL 1 MINUTE AS resolved_at, count(*) AS windows
+    FROM (SELECT *, sum(opens) OVER (PARTITION BY rule, resource ORDER BY window_start) AS run
+          FROM (SELECT *, CASE WHEN lag(window_start) OVER (PARTITION BY rule, resource ORDER BY window_start)
+                                    >= window_start - step * INTERVAL 1 MINUTE THEN 0 ELSE 1 END AS opens
+                FROM (SELECT *, CASE rule {_STEPS} END AS step FROM ({_alert_sql(RULES)}))))
+    GROUP BY rule, severity, resource, run
+"""
+
+
+@query("alert_history", _ALERT_HISTORY)
+def _alert_history(t):
+    return alerts.alert_history(alerts.metric_alerts(t.platform_metrics))
+
+
+@query("stream_alert_history", _ALERT_HISTORY)
+def _stream_alert_history(t):
+    """When alerts fired and resolved, by the windows as the stream last judged them."""
+    stream, out, log = _streamed(t, t.platform_metrics, "alerts", 3)
+    run_available(rollups.alert_stream(stream, out), log)
+    return alerts.alert_history(rollups.current_alerts(t.spark, out))
+
+
 @query("stream_write_points", _SERIES_ROWS, CONTRACT)
 def _stream_write_points(t):
     stream, out, log = _streamed(t, _wire_points(t), "points", 3)
@@ -580,6 +606,18 @@ def _stream_error_log(t):
     return levels.read_table(t.spark, f"{out}/events").drop("day")
 
 
+@query("polled_error_log", "SELECT * FROM log_events WHERE ts > TIMESTAMP '2024-01-10'")
+def _polled_error_log(t):
+    """The log in polls of at most 500 rows and whole ties; a second run goes on at the stored cursor."""
+    source, out, log = (scratch_folder(t.spark, f"polled-{x}") for x in ("in", "out", "log"))
+    earlier = F.col("logged") < F.lit(datetime(2024, 1, 20)).cast("timestamp")
+    for part in (earlier, ~earlier):
+        t.error_log.filter(part).write.mode("append").parquet(source)
+        stream = log_source.follow(t.spark, source, t.error_log.schema, begin=datetime(2024, 1, 10))
+        log_source.drain(ingest.error_log_stream(stream, out), log)
+    return levels.read_table(t.spark, f"{out}/events").drop("day")
+
+
 @query("merged_rollup", _ROLLUP)
 def _merged_rollup(t):
     """A rollup that streams, is merged, and streams on: its days keep few folders, its rows all samples."""
@@ -595,6 +633,62 @@ def _merged_rollup(t):
     return rollups.read_metrics_rollup(t.spark, out)
 
 
+def _rank_within(name: str, share: float) -> list:
+    """Whether the exact rank of an approximate quantile is as near as the sketch promises."""
+    below, upto = F.avg((F.col("value") < F.col(name)).cast("int")), F.avg((F.col("value") <= F.col(name)).cast("int"))
+    return ((below - sketches.RANK_ERROR <= share) & (upto + sketches.RANK_ERROR >= share)).alias(f"{name}_within")
+
+
+@query(
+    "sketch_quantiles",
+    """
+    SELECT metric_name, resource, date_trunc('day', time_generated) AS ts, count(*) AS samples,
+           min(maximum) AS min, max(maximum) AS max, true AS p50_within, true AS p95_within, true AS p99_within
+    FROM platform_metrics GROUP BY ALL
+    """,
+)
+def _sketch_quantiles(t):
+    """Stored sketches of five minutes, merged to days, held against the exact ranks of their answers."""
+    keys, shares = ["metric_name", "resource"], {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+    table = scratch_folder(t.spark, "sketches")
+    rows = t.platform_metrics.select(*keys, F.col("time_generated").alias("ts"), F.col("maximum").alias("value"))
+    for number in range(2):  # bins of both batches meet when they are read
+        part = rows.filter(F.pmod(F.xxhash64("ts", "value"), F.lit(2)) == number)
+        levels.add_batch(sketches.sketched(part, keys, F.col("value")), table, number)
+    daily = sketches.answers(sketches.merged(levels.read_table(t.spark, table), keys, 86400), shares)
+    exact = rows.withColumn("ts", F.date_trunc("day", "ts"))
+    return daily.join(exact, [*keys, "ts"]).groupBy(*keys, "ts", "samples", "min", "max").agg(
+        *[_rank_within(name, share) for name, share in shares.items()])
+
+
+@query(
+    "sketch_distinct",
+    """
+    SELECT measurement, CAST(NULL AS TIMESTAMP) AS ts, count(*) AS samples, true AS within FROM series GROUP BY measurement
+    UNION ALL
+    SELECT measurement, date_trunc('day', ts), count(*), true FROM series GROUP BY ALL
+    """,
+)
+def _sketch_distinct(t):
+    """Series counted by stored sketches of an hour, per day and over all, held against exact counts."""
+    table = scratch_folder(t.spark, "distinct")
+    name = F.concat_ws("|", "run_id", "target_id", "field", "series_key", F.date_format("ts", "yyyy-MM-dd HH"))
+    rows = t.series.select("measurement", "ts", name.alias("name"))
+    levels.add_batch(sketches.sketched(rows, ["measurement"], counted=F.col("name"), seconds=3600), table, 0)
+    stored = levels.read_table(t.spark, table)
+    parts = []
+    for seconds in (None, 86400):
+        told = sketches.answers(sketches.merged(stored, ["measurement"], seconds))
+        by = ["measurement"] if seconds is None else ["measurement", "ts"]
+        exact = rows.withColumn("ts", F.date_trunc("day", "ts")).groupBy(*by).agg(F.count_distinct("name").alias("exact"))
+        off = F.abs(F.col("distinct_values") - F.col("exact"))
+        parts.append(told.join(exact, by).select(
+            "measurement", F.col("ts") if seconds else F.lit(None).cast("timestamp").alias("ts"), "samples",
+            (off <= F.greatest(F.lit(1), sketches.DISTINCT_ERROR * F.col("exact"))).alias("within"),
+        ))
+    return parts[0].unionByName(parts[1])
+
+
 #: A time at which the first ten days of the fixture are past the lifecycle.
 _LATER = datetime(2024, 4, 10)
 _KEPT = "ts >= TIMESTAMP '2024-01-11'"

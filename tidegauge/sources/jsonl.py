@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from tidegauge.functions.text import filled
 from tidegauge.operators.contract import (
     check_points,
+    exact_kinds,
     naive_text,
     packed_row,
     point_from_row,
@@ -121,7 +122,11 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     rows = parsed.select(
         *kept, "value", unreadable.alias("_unreadable"), F.col("_row.ts").alias("_ts_text"),
         *[F.col(f"_row.{f.name}").alias(f.name) for f in _ARRIVING.fields],
-    ).withColumn("tags", F.transform_values("tags", lambda _, v: _tag_text(v)))
+    ).withColumns({
+        "tags": F.transform_values("tags", lambda _, v: _tag_text(v)),
+        "fields": exact_kinds(
+            F.col("fields"), F.col("value"), F.from_json("value", "fields map<string,string>")["fields"]),
+    })
     checked = check_points(point_from_row(rows), naive_text("_ts_text"))
     late = F.when(F.col("ts").isNull(), "unreadable timestamp")
     return checked.withColumn("problem", F.coalesce("_unreadable", "problem", late)).drop(
