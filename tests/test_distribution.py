@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from tidegauge.operators.distribution import distribution
+from tidegauge.operators.distribution import bracketed, distribution
 
 
 def summary(spark, rows, keys=("key",), percentiles=None):
@@ -52,16 +52,30 @@ def test_no_rows(spark):
     assert summary(spark, []) == {}
 
 
-def test_a_narrow_range_spreads_over_parts(spark):
-    values = [1_000_000 + i / 1000 for i in range(100_000)]
-    frame = spark.createDataFrame([("a", v) for v in values], "key string, value double")
-    out = distribution(frame, ["key"], "value", {"p50": 0.5, "p95": 0.95}).first()
-    assert out["p50"] == pytest.approx(np.percentile(values, 50), rel=1e-12)
-    assert out["p95"] == pytest.approx(np.percentile(values, 95), rel=1e-12)
-    # All values lie in one bucket; a part of it, which one window orders, holds few of them.
-    low, high = values[0], values[-1]
-    parts = np.floor((np.array(values) - low) / (high - low) * 4096).clip(max=4095)
-    assert np.unique(parts, return_counts=True)[1].max() <= 30
+@pytest.mark.parametrize("shape", ["narrow", "normal", "integers", "two", "sorted"])
+def test_large_groups_order_only_what_is_near_the_ranks(spark, shape):
+    rng = np.random.default_rng(4)
+    values = {
+        "narrow": 1_000_000 + np.arange(200_000) / 1e6, "normal": rng.normal(0, 1e6, 200_000),
+        "integers": rng.integers(0, 50, 200_000).astype(float), "two": np.repeat([5.0, 7.0], 100_000),
+        "sorted": np.arange(200_000, dtype=float),
+    }[shape]
+    frame = spark.createDataFrame([("a", float(v)) for v in values], "key string, value double").repartition(7)
+    shares = {"p1": 0.01, "p50": 0.5, "p95": 0.95, "p100": 1.0}
+    out = distribution(frame, ["key"], "value", shares).first()
+    for name, share in shares.items():
+        assert out[name] == pytest.approx(np.percentile(values, 100 * share), rel=1e-12)
+    ordered = bracketed(frame, ["key"], "value", shares)
+    assert ordered.count() <= 4 * 200_000 * 12 / 10_000 + 6
+    assert ordered.selectExpr("sum(_n)").first()[0] == 200_000
+
+
+def test_values_that_are_no_number_are_the_greatest(spark):
+    nan = float("nan")
+    found = summary(spark, [("a", float(i)) for i in range(30_000)] + [("a", nan)] * 900 + [("a", None)] * 5)[("a",)]
+    assert found["samples"] == 30_905 and found["p50"] == 15449.5
+    assert np.isnan(found["max"]) and np.isnan(found["p99"])
+    assert found["p95"] == pytest.approx(0.95 * 30_899)
 
 
 def test_infinite_values(spark):

@@ -1,9 +1,9 @@
 """Exact percentiles of groups of any size.
 
-The built-in exact percentile keeps all distinct values of a group in one buffer. Here only the
-rank is computed centrally: a histogram with a bounded number of buckets tells in which bucket a
-rank lies, a second one inside that bucket in which of its parts, and only the values of that part
-are ordered. Values in a narrow range thus still spread over many parts.
+The built-in exact percentile keeps all distinct values of a group in one buffer. Here a sketch of
+bounded size brackets each rank from both sides, by ranks and so in any range of values; a second look
+counts the values inside the brackets one by one and those outside together, and only what is inside,
+a few thousandths of a group, is ordered.
 """
 
 from __future__ import annotations
@@ -15,25 +15,59 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions.text import columns
 
-#: Buckets per factor e; each spans about 0.1 % of its value. Doubles span 2 x 710 powers of e,
-#: which bounds the histogram of a group whatever its number of rows.
-BUCKETS_PER_E = 1024
-_ZERO = 720 * BUCKETS_PER_E
-#: Equal parts of a bucket between its least and greatest value.
-PARTS = 4096
-_SCALE = (
-    f"greatest(1, floor(least(ln(abs(_v)) * {BUCKETS_PER_E}, {2 * _ZERO}D)) + {_ZERO})"
-)
-_BUCKET = (
-    f"CASE WHEN isnan(_v) THEN {4 * _ZERO} WHEN _v > 0 THEN {_SCALE} WHEN _v < 0 THEN -{_SCALE} "
-    "WHEN _v = 0 THEN 0 END"
-)
+#: The sketch's ranks are off by at most one in so many.
+ACCURACY = 10000
+#: A bracket reaches this many errors of the sketch to either side of its rank.
+REACH = 4
 
 
 def _covers(rank: str, start: str) -> str:
     return f"({rank} >= {start} AND {rank} < {start} + _n)"
 
 
+def bracketed(
+    rows: DataFrame, keys: Sequence[str], value: str, percentiles: Mapping[str, float]
+) -> DataFrame:
+    """Counted values per group: ``_at`` and ``_n``, with the group's own figures on each row.
+
+    A value inside a bracket has a row of its own (``_own``); the values between two brackets share
+    one, of which ``_at`` is the least. Nulls are in no row but in the figures.
+    """
+    shares = sorted(set(percentiles.values()))
+    marks = [min(1.0, max(0.0, p + side * REACH / ACCURACY)) for p in shares for side in (-1, 1)]
+    number = f"CAST(`{value}` AS DOUBLE)"
+    # Values that are no number are the greatest. As marks they count as infinite, and such a mark
+    # bounds nothing.
+    finite = f"CASE WHEN isnan({number}) THEN double('Infinity') ELSE {number} END"
+    renamed = [f"`{k}` AS _k{i}" for i, k in enumerate(keys)]
+    figures = rows.groupBy(*keys).agg(
+        F.expr("count(1)").alias("_rows"), F.expr(f"count({number})").alias("_valid"),
+        F.expr(f"sum({number})").alias("_total"), F.expr(f"min({number})").alias("_low"),
+        F.expr(f"max({number})").alias("_high"),
+        F.expr(f"percentile_approx({finite}, array({', '.join(f'{m}D' for m in marks)}), {ACCURACY})").alias("_marks"),
+    ).selectExpr(*renamed, "_rows", "_valid", "_total", "_low", "_high", "_marks")
+    same = " AND ".join(f"`{k}` <=> _k{i}" for i, k in enumerate(keys)) or "true"
+    held = rows.selectExpr(*[f"`{k}`" for k in keys], f"{number} AS _v").join(figures, F.expr(same))
+    # With fewer values than the sketch tells ranks apart, the nearest marks are the ends of the group.
+    few = f"_valid <= {ACCURACY}"
+    inside, past = [], []
+    for i in range(len(shares)):
+        above = f"({few} OR _v >= _marks[{2 * i}])"
+        below = f"({few} OR _v <= _marks[{2 * i + 1}] OR _marks[{2 * i + 1}] = double('Infinity'))"
+        inside.append(f"({above} AND {below})")
+        past.append(f"CAST(NOT {below} AS INT)")
+    own = f"(_v IS NOT NULL AND ({' OR '.join(inside) or 'false'}))"
+    group = ["_rows", "_valid", "_total", "_low", "_high"]
+    return (
+        held.selectExpr(
+            *[f"`{k}`" for k in keys], *group, "_v", f"{own} AS _own", f"CASE WHEN {own} THEN _v END AS _single",
+            f"CASE WHEN _v IS NULL THEN -1 WHEN {own} THEN 0 ELSE {' + '.join(past) or '0'} END AS _gap",
+        )
+        .groupBy(*keys, "_own", "_single", "_gap")
+        .agg(F.expr("min(_v)").alias("_at"), F.expr("count(1)").alias("_n"), *[F.expr(f"max({c})").alias(c) for c in group])
+    )
+
+
 def distribution(
     rows: DataFrame,
     keys: Sequence[str],
@@ -49,64 +83,18 @@ def distribution(
     names = {n: n for n in ("avg", "min", "max", "samples")} if names is None else names
     keys = list(keys)
     by = columns(keys) or "1"
-
-    # Both users of `counted` read all its columns, so Spark shuffles the rows once.
-    counted = (
-        rows.groupBy(*keys, F.expr(f"CAST(`{value}` AS DOUBLE)").alias("_v"))
-        .agg(F.expr("count(1)").alias("_n"))
-        .withColumn("_bucket", F.expr(f"CAST({_BUCKET} AS BIGINT)"))
-    )
-    histogram = counted.groupBy(*keys, "_bucket").agg(
-        F.expr("sum(_n)").alias("_n"), F.expr("sum(_v * _n)").alias("_sum"),
-        F.expr("min(_v)").alias("_min"), F.expr("max(_v)").alias("_max"),
-    )
-    present = "CASE WHEN _bucket IS NOT NULL THEN _n END"
-    group = f"OVER (PARTITION BY {by})"
-    placed = histogram.selectExpr(
-        *[f"`{k}` AS _k{i}" for i, k in enumerate(keys)], "_bucket AS _kb", "_n",
-        f"coalesce(sum({present}) OVER (PARTITION BY {by} ORDER BY _bucket NULLS FIRST "
-        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _before",
-        f"coalesce(sum({present}) {group}, 0) AS _valid", f"sum(_n) {group} AS _rows",
-        f"sum(_sum) {group} AS _total", f"min(_min) {group} AS _low", f"max(_max) {group} AS _high",
-        "_min AS _first", "_max AS _last",
-    )
+    # Rows of nulls come first and count as none.
+    placed = bracketed(rows, keys, value, percentiles).withColumn("_start", F.expr(
+        f"coalesce(sum(CASE WHEN _gap >= 0 THEN _n END) OVER (PARTITION BY {by} ORDER BY _at NULLS FIRST "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"))
     ranks = {name: f"({p}D * (_valid - 1))" for name, p in percentiles.items()}
-    ends = [f"{side}({rank})" for rank in ranks.values() for side in ("floor", "ceil")]
-    # A group of nulls alone has no bucket with a rank; its one null bucket row stands for it.
-    wanted = " OR ".join(
-        ["_valid = 0"] + [f"(_kb IS NOT NULL AND {_covers(end, '_before')})" for end in ends]
-    )
-    target = placed.filter(wanted).drop("_n")
-    same = " AND ".join(["_bucket <=> _kb"] + [f"`{k}` <=> _k{i}" for i, k in enumerate(keys)])
-    inside = counted.join(target, F.expr(same)).withColumn("_part", F.expr(
-        f"CASE WHEN _last > _first AND _last - _first < double('Infinity') "
-        f"THEN CAST(least(floor((_v - _first) / (_last - _first) * {PARTS}), {PARTS - 1}) AS INT) "
-        "ELSE 0 END"
-    ))
-    parts = (
-        inside.groupBy(*keys, "_bucket", "_part")
-        .agg(F.expr("sum(_n)").alias("_n"), F.expr("max(_before)").alias("_before"),
-             F.expr("max(_valid)").alias("_valid"))
-        .withColumn("_before", F.expr(
-            f"_before + coalesce(sum(_n) OVER (PARTITION BY {by}, _bucket ORDER BY _part "
-            "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"))
-        .filter(wanted.replace("_kb IS NOT NULL", "_bucket IS NOT NULL"))
-        .selectExpr(*[f"`{k}` AS _p{i}" for i, k in enumerate(keys)], "_bucket AS _pb",
-                    "_part AS _pp", "_before AS _from")
-    )
-    in_part = " AND ".join(
-        ["_bucket <=> _pb", "_part = _pp"] + [f"`{k}` <=> _p{i}" for i, k in enumerate(keys)]
-    )
-    picked = inside.join(parts, F.expr(in_part)).withColumn(
-        "_start",
-        F.expr(f"_from - _n + sum(_n) OVER (PARTITION BY {by}, _bucket, _part ORDER BY _v "
-               "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"),
-    )
 
     def at(name: str, side: str) -> str:
-        return f"max(CASE WHEN {_covers(f'{side}({ranks[name]})', '_start')} THEN _v END)"
+        covered = f"_gap >= 0 AND {_covers(f'{side}({ranks[name]})', '_start')}"
+        missed = "raise_error('a rank lies outside its bracket')"
+        return f"max(CASE WHEN {covered} THEN CASE WHEN _own THEN _at ELSE CAST({missed} AS DOUBLE) END END)"
 
-    final = picked.groupBy(*keys).agg(
+    final = placed.groupBy(*keys).agg(
         *[F.expr(f"max({c})").alias(c) for c in ("_valid", "_rows", "_total", "_low", "_high")],
         *[F.expr(at(n, "floor")).alias(f"_{n}_lo") for n in ranks],
         *[F.expr(at(n, "ceil")).alias(f"_{n}_hi") for n in ranks],
