@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from os.path import commonprefix
 
@@ -48,7 +48,6 @@ def _kept(code: str, state: int) -> int | None:
     return SYSTEM if initial == "s" and state == START else None
 
 
-@lru_cache(maxsize=1 << 16)
 def cheapest(codes: str, start: int, goal: int) -> tuple[int, str] | None:
     """Cost and edits that bring a piece from one grammar state to another; none if nothing does.
 
@@ -125,8 +124,8 @@ def _applied(rows: list[tuple], edits: str, state: int) -> tuple[list[tuple], in
 class Conversation:
     """A conversation as its rows come in."""
 
-    def __init__(self, with_turns: bool):
-        self.with_turns = with_turns
+    def __init__(self, with_turns: bool, search: Callable = cheapest):
+        self.with_turns, self.search = with_turns, search
         self.counts = dict.fromkeys(("blank", "duplicate", "truncated", "illegal"), 0)
         self.first = self.last = None
         self.distinct, self.initial, self.written = 0, None, 0
@@ -154,7 +153,7 @@ class Conversation:
         for goal in goals:
             ways = []
             for state, (cost, tail, *_) in self.survivors.items():
-                way = cheapest(codes, state, goal)
+                way = self.search(codes, state, goal)
                 if way is not None:
                     ways.append((cost + way[0], tail + way[1], state, way[1]))
             if ways:
@@ -223,6 +222,8 @@ def _read(rows: DataFrame, with_turns: bool) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
         key_type = None
+        # Pieces are alike: few kinds make up most. Made here, since a cache does not travel to executors.
+        search = lru_cache(maxsize=1 << 16)(cheapest)
 
         def batch():
             columns = list(zip(*out)) if out else [[]] * (len(fields) + 1)
@@ -248,7 +249,7 @@ def _read(rows: DataFrame, with_turns: bool) -> DataFrame:
                 if current is None or conv_id != key:
                     if current is not None:
                         close(key, current)
-                    current, key = Conversation(with_turns), conv_id
+                    current, key = Conversation(with_turns, search), conv_id
                 if not gone:
                     put(key, current.add(turn, role, text, fault), current)
                 if len(out) >= 2000:
