@@ -60,9 +60,9 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_source_mix")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select(
-        "doc_id", "source", word_count(F.col("text")).alias("size")
+        "doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("mark")
     )
-    mixed = mixing.mix(docs, [F.col("doc_id")], F.array("source"), F.col("size"))
+    mixed = mixing.mix(docs, [F.col("doc_id"), F.col("mark")], F.array("source"), F.col("size"))
     return mixed.select(
         "doc.doc_id", "size", F.expr("shares[0].source_size").alias("source_size"),
         F.expr("shares[0].target").alias("target"), "taken",
