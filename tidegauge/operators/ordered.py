@@ -85,17 +85,17 @@ def latest_before(
         *keys, ts, *payload, F.col(ts).alias("mark_ts"),
         slice_of(ts, slice_seconds).alias(SLICE),
     )
+    # A mark travels as one struct, so that a null in its payload stays its own.
     tails = marks_in.groupBy(*keys, SLICE).agg(
         F.max(F.struct(ts, *info)).alias("_tail")
-    ).select(*keys, SLICE, *[F.col("_tail")[c].alias(c) for c in (*info, ts)])
-    slices = rows_in.select(*keys, SLICE).distinct()
-    before = W.partitionBy(*keys).orderBy(SLICE).rowsBetween(W.unboundedPreceding, -1)
-    # A mark travels as one struct, so that a null in its payload stays its own.
-    tail = F.when(F.col("mark_ts").isNotNull(), F.struct(*info))
+    ).select(*keys, SLICE, F.struct(*[F.col("_tail")[c].alias(c) for c in info]).alias("_mark"))
+    slices = rows_in.select(*keys, SLICE).distinct().withColumn("_asks", F.lit(True))
+    # By the slice's number and not by place, so that a slice does not see its own tail.
+    before = W.partitionBy(*keys).orderBy(SLICE).rangeBetween(W.unboundedPreceding, -1)
     carried = (
-        slices.join(tails, [*keys, SLICE], "full_outer")
-        .select(*keys, SLICE, F.last(tail, ignorenulls=True).over(before).alias("_mark"))
-        .filter(F.col("_mark").isNotNull())
+        slices.unionByName(tails, allowMissingColumns=True)
+        .withColumn("_mark", F.last("_mark", ignorenulls=True).over(before))
+        .filter(F.col("_asks") & F.col("_mark").isNotNull())
         .select(*keys, SLICE, "_mark.*")
         .withColumn(ts, F.col("mark_ts"))
     )
