@@ -27,13 +27,12 @@ def names(frame):
 
 def test_folders_of_a_day_grow_with_the_logarithm(spark, tmp_path):
     table = str(tmp_path / "t")
-    for number in range(30):
-        levels.add_batch(batch(spark, number, days=1, rows=1), table, number, fanout=3)
-        now = levels.manifest(spark, table)
-        assert now.last_batch == number
-        assert len(now.entries) <= 2 * 4  # fewer than three of each of the levels 0 to 3
-    assert max(e.level for e in now.entries) == 3
-    assert sorted(r.name for r in levels.read_table(spark, table).collect()) == sorted(f"b{i}" for i in range(30))
+    for number in range(14):
+        levels.add_batch(batch(spark, number, days=1, rows=1), table, number, fanout=2)
+    now = levels.manifest(spark, table)
+    assert now.last_batch == 13
+    assert sorted(e.level for e in now.entries) == [1, 2, 3]  # 14 = 2 + 4 + 8
+    assert sorted(r.name for r in levels.read_table(spark, table).collect()) == sorted(f"b{i}" for i in range(14))
 
 
 def test_merging_combines_rows_and_changes_nothing(spark, tmp_path):

@@ -71,13 +71,14 @@ def manifest(spark: SparkSession, table: str) -> Manifest:
     return Manifest(newest, max(marks, default=-1), [Entry(*r[:3]) for r in own if r.level != _MARK])
 
 
-def _commit(spark: SparkSession, table: str, old: Manifest, entries: Sequence[Entry], last_batch: int) -> None:
-    """Write the next manifest. It is one file, so readers see all of it or nothing."""
+def _commit(spark: SparkSession, table: str, old: Manifest, entries: Sequence[Entry], last_batch: int) -> Manifest:
+    """Write the next manifest and return it. It is one file, so readers see all of it or nothing."""
     version = old.version + 1
     rows = [(*e, None) for e in entries] + [("", None, _MARK, last_batch)]
     spark.createDataFrame(rows, _ENTRY).coalesce(1).write.mode("error").parquet(f"{table}/manifest/version={version}")
     if version >= VERSIONS_KEPT:
         remove(spark, f"{table}/manifest/version={version - VERSIONS_KEPT}")
+    return Manifest(version, last_batch, list(entries))
 
 
 def _written(rows: DataFrame, table: str, level: int, by: Sequence[str]) -> list[Entry]:
@@ -105,8 +106,7 @@ def add_batch(
     if batch_id <= old.last_batch:
         return
     added = _written(rows.withColumn(DAY, F.to_date(ts)), table, 0, by)
-    _commit(spark, table, old, [*old.entries, *added], batch_id)
-    merge(spark, table, by, combine, fanout)
+    _merged(spark, table, _commit(spark, table, old, [*old.entries, *added], batch_id), by, combine, fanout)
 
 
 def merge(
@@ -117,11 +117,15 @@ def merge(
 
     Level by level from below, one job and one manifest for all days of a level.
     """
+    return _merged(spark, table, manifest(spark, table), by, combine, fanout)
+
+
+def _merged(
+    spark: SparkSession, table: str, now: Manifest, by: Sequence[str],
+    combine: Callable[[DataFrame], DataFrame] | None, fanout: int,
+) -> int:
     went, level = 0, 0
-    while True:
-        now = manifest(spark, table)
-        if level > max((e.level for e in now.entries), default=-1):
-            return went
+    while level <= max((e.level for e in now.entries), default=-1):
         days = defaultdict(list)
         for entry in now.entries:
             if entry.level == level:
@@ -131,9 +135,10 @@ def merge(
             rows = _read(spark, table, old)
             made = _written(combine(rows) if combine else rows, table, level + 1, by)
             gone = set(old)
-            _commit(spark, table, now, [e for e in now.entries if e not in gone] + made, now.last_batch)
+            now = _commit(spark, table, now, [e for e in now.entries if e not in gone] + made, now.last_batch)
             went += len(old)
         level += 1
+    return went
 
 
 def _read(spark: SparkSession, table: str, entries: Sequence[Entry]) -> DataFrame:
