@@ -40,8 +40,8 @@ spark.stop()
 
 @pytest.mark.parametrize("names", [
     ("op5_language_crf", "pipeline"),
-    ("op2_pack_sequences", "op3_exact_topk", "op4_line_dedup", "op7_warc_pages", "op9_hash_forest",
-     "op10_shingle_join", "op11_spectrum_whitening", "op12_conversation_repair"),
+    ("op2_pack_sequences", "op4_line_dedup", "op7_warc_pages", "op9_hash_forest", "op11_spectrum_whitening",
+     "op12_conversation_repair"),
 ])
 def test_workers_without_the_package(tmp_path, names):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
