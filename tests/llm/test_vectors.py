@@ -114,6 +114,49 @@ def test_forest_copies_are_found_in_order_of_id(spark):
     assert [(i, s) for _, _, i, s in found] == [(3 * j, 0.0) for j in range(1, 11)]
 
 
+def test_rows_of_many_copies_travel_as_one(spark):
+    rows = [(7, [1.0, 2.0, 3.0], 0)] * 5000 + [(i, [float(i % 11), 1.0, float(i % 7)], 0) for i in range(0, 300, 3)]
+    frame = spark.createDataFrame(rows, VECTORS)
+    found = rows_of(exact_topk.top_products(frame, F.col("vec_id") % 100 == 0))
+    assert found == brute(rows[:10] + rows[5000:], True, product, True)
+    found = rows_of(hash_forest.nearest(frame, F.col("vec_id") % 100 == 0))
+    assert found == brute(rows[:10] + rows[5000:], False, distance, False)
+
+
+def test_queries_stream_past_blocks_of_unequal_widths(spark, monkeypatch):
+    monkeypatch.setattr(exact_topk, "ROWS_PER_BLOCK", 9)
+    monkeypatch.setattr(exact_topk, "QUERIES_PER_BLOCK", 13)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        rng = np.random.default_rng(5)
+        rows = [(i, [float(x) for x in rng.normal(size=1 + i % 6).astype(np.float32)], 0) for i in range(60)]
+        frame = spark.createDataFrame(rows, VECTORS)
+        found = rows_of(exact_topk.top_products(frame, F.col("vec_id") >= 0))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    vectors = dict(taking_part(rows, True))
+    want = []
+    for query_id, q in vectors.items():
+        best = sorted((-product(q, v), i) for i, v in vectors.items() if i != query_id)[:10]
+        want += [(query_id, rank, i, -s) for rank, (s, i) in enumerate(best, 1)]
+    assert found == sorted(want)
+
+
+def test_the_forest_measures_under_half_of_a_block():
+    rng = np.random.default_rng(6)
+    rows, ids = rng.normal(size=(2000, 32)), np.arange(2000)
+    block = hash_forest.Block(ids, rows, 10, hash_forest.TREES, hash_forest.BITS, hash_forest.SHARE, 9)
+    first, last = block.forest.ranges(rows[:40])
+    measured = [block.measured(first[:, i], last[:, i], i) for i in range(40)]
+    assert np.mean([len(m) for m in measured]) < 1000
+    hits = 0
+    for i, found in enumerate(measured):
+        d = ((rows - rows[i]) ** 2).sum(axis=1)
+        d[i] = np.inf
+        hits += len(set(np.argsort(d)[:10]) & set(found))
+    assert hits >= 360
+
+
 def test_no_vectors(spark):
     frame = spark.createDataFrame([], VECTORS)
     assert exact_topk.top_products(frame, F.col("vec_id") % 100 == 0).collect() == []

@@ -3,8 +3,8 @@
 Each tree hashes a vector to a long string of bits, signs of its projections against their median,
 and holds its strings in a sorted array. A query descends in every tree to its longest prefix match;
 then all trees ascend together, a bit at a time, until the prefixes they share with the query hold
-enough candidates, whose distances are computed exactly. Rows are indexed in blocks, each with a
-forest of its own, so recall does not fall as tables grow.
+enough candidates. Those that most trees bring are measured exactly. Rows are indexed in blocks, each
+with a forest of its own, so recall does not fall as tables grow.
 """
 
 from __future__ import annotations
@@ -12,17 +12,19 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame
 
-from tidegauge.llm.blocks import best_of_blocks, usable
+from tidegauge.llm.blocks import QUERIES_PER_BLOCK, best_of_blocks, usable
 
 ROWS_PER_BLOCK = 16384
-QUERIES_PER_BLOCK = 4096
 TREES = 96
 BITS = 32
-#: Candidates, counted once for each tree that brings them, at which the ascent ends, as a share of
+#: Candidates at which the ascent ends, counted once for each tree that brings them, as a multiple of
 #: the block's rows.
-SHARE = 1.0
-#: The ascent also goes on until trees bring this many each, on average.
-LEAST_PER_TREE = 32
+ASCENT = 4.0
+#: Of these, those that most trees bring are measured: this share of the block's rows, and all that as
+#: many trees bring as the last of them.
+SHARE = 0.3
+#: In blocks where that share is fewer, this many.
+LEAST = 192
 _QUERIES_AT_ONCE = 256
 
 
@@ -69,43 +71,60 @@ class Forest:
                     break  # no query matches so far, nor further
         return first, last
 
-    def candidates(self, first: np.ndarray, last: np.ndarray, enough: int, least: int) -> np.ndarray:
-        """Rows of one query: the longest prefix, equal in all trees, that brings enough of them."""
+    def candidates(self, first: np.ndarray, last: np.ndarray, enough: float, least: int) -> np.ndarray:
+        """Rows of one query: of the longest prefix, equal in all trees, that brings enough of them,
+        at least ``least``, those that most trees bring."""
         counts = (last - first).sum(axis=1)
-        length = int((counts >= enough).sum()) - 1 if counts[0] >= enough else 0
+        length = max(0, int((counts >= enough).sum()) - 1)
         while True:
-            marked = np.zeros(self.size, bool)
-            for t in range(self.trees):
-                marked[self.order[t][first[length, t]:last[length, t]]] = True
-            if length == 0 or marked.sum() >= least:
-                return np.flatnonzero(marked)
-            length -= 1
-
-
-def search(ids, rows, query_ids, queries, k: int, trees: int, bits: int, share: float, seed: int):
-    """Nearest rows found of each query in one block: places of queries and rows, and distances."""
-    forest = Forest(rows, trees, bits, seed)
-    enough = max(k + 1, int(share * len(rows)), LEAST_PER_TREE * trees)
-    # The query's own rows are found too; as many candidates are needed beside them.
-    own = {i: int(n) for i, n in zip(*np.unique(ids, return_counts=True))}
-    out_q, out_r, out_s = [], [], []
-    for start in range(0, len(queries), _QUERIES_AT_ONCE):
-        first, last = forest.ranges(queries[start:start + _QUERIES_AT_ONCE])
-        for i in range(first.shape[1]):
-            query, query_id = queries[start + i], query_ids[start + i]
-            found = forest.candidates(
-                first[:, i], last[:, i], enough, min(len(rows), k + own.get(query_id, 0))
+            votes = np.bincount(
+                np.concatenate([
+                    self.order[t][first[length, t]:last[length, t]] for t in range(self.trees)
+                ]), minlength=self.size,
             )
-            found = found[ids[found] != query_id]
-            distances = np.sqrt(((rows[found] - query) ** 2).sum(axis=1))
-            if len(found) > k:
-                keep = distances <= np.partition(distances, k - 1)[k - 1]
-                found, distances = found[keep], distances[keep]
-            order = np.lexsort((ids[found], distances))[:k]
-            out_q += [start + i] * len(order)
-            out_r += found[order].tolist()
-            out_s += distances[order].tolist()
-    return np.array(out_q, int), np.array(out_r, int), out_s
+            if length == 0 or np.count_nonzero(votes) >= least:
+                break
+            length -= 1
+        if least >= self.size:
+            return np.arange(self.size)
+        fewest = np.partition(votes, self.size - least)[self.size - least]
+        return np.flatnonzero(votes >= fewest)
+
+
+class Block:
+    """A block's rows, their forest, and the search in it."""
+
+    def __init__(self, ids, rows, k: int, trees: int, bits: int, share: float, seed: int):
+        self.ids, self.rows, self.k = ids, rows, k
+        self.forest = Forest(rows, trees, bits, seed)
+        self.least = max(int(share * len(rows)), LEAST)
+        # The query's own rows are found too; as many candidates are needed beside them.
+        self.own = {i: int(n) for i, n in zip(*np.unique(ids, return_counts=True))}
+
+    def measured(self, first: np.ndarray, last: np.ndarray, query_id: int) -> np.ndarray:
+        """Places of the rows whose distance from a query is computed."""
+        least = max(self.least, self.k + self.own.get(query_id, 0))
+        found = self.forest.candidates(
+            first, last, ASCENT * len(self.rows), min(least, len(self.rows))
+        )
+        return found[self.ids[found] != query_id]
+
+    def search(self, query_ids, queries):
+        """Nearest rows found of each query: places of queries and rows, and distances."""
+        out_q, out_r, out_s = [], [], []
+        for start in range(0, len(queries), _QUERIES_AT_ONCE):
+            first, last = self.forest.ranges(queries[start:start + _QUERIES_AT_ONCE])
+            for i in range(first.shape[1]):
+                found = self.measured(first[:, i], last[:, i], query_ids[start + i])
+                distances = np.sqrt(((self.rows[found] - queries[start + i]) ** 2).sum(axis=1))
+                if len(found) > self.k:
+                    keep = distances <= np.partition(distances, self.k - 1)[self.k - 1]
+                    found, distances = found[keep], distances[keep]
+                order = np.lexsort((self.ids[found], distances))[:self.k]
+                out_q += [start + i] * len(order)
+                out_r += found[order].tolist()
+                out_s += distances[order].tolist()
+        return np.array(out_q, int), np.array(out_r, int), out_s
 
 
 def nearest(
@@ -131,8 +150,6 @@ def nearest(
     """
     return best_of_blocks(
         usable(vectors, vec_id, vector, zero=False), is_query, k,
-        lambda ids, rows, query_ids, queries: search(
-            ids, rows, query_ids, queries, k, trees, bits, share, seed
-        ),
+        lambda ids, rows: Block(ids, rows, k, trees, bits, share, seed),
         "double", True, ROWS_PER_BLOCK, QUERIES_PER_BLOCK,
     )
