@@ -1,12 +1,18 @@
 import re
+import sys
 import textwrap
 from pathlib import Path
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import clashing, no_docs, odd_docs
-from tidegauge.llm import license_scan, license_texts
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+from compare import difference  # noqa: E402
+from helpers import clashing, no_docs, odd_docs  # noqa: E402
+from tidegauge.llm import license_scan, license_texts  # noqa: E402
+from tidegauge.llm.queries import ORACLES  # noqa: E402
 
 MIT = license_texts.KNOWN[0][1]
 BSD = license_texts.KNOWN[3][1]
@@ -110,6 +116,26 @@ def test_families_of_notices_and_identifier_lines(spark):
     assert rows == [(None, int(name is not None), name) for name in lines.values()]
 
 
+def test_sql_knows_all_texts_and_copyright_lines(spark):
+    whole = sorted({text for _, text in license_texts.whole_texts() + license_texts.headers()})
+    sentences = [text for _, text in license_texts.sentences()[::97] + license_texts.spdx_lines()[::29]]
+    firsts = [
+        "Copyright (c) 2020 X", "Copyright(c) 2020 X", "Copyright: X", "( C ) 2020 X", "© X", "ALL RIGHTS RESERVED",
+        "Copyright holder: X", "copyright holders and contributors", "copyright, and or", "copyrighted", "copyright",
+        "(c) you must", "(c) under", "(c) underneath", "copyright-free", "copyright.", "Copyright notice", "copyright - X",
+    ]
+    commented = ["\n".join(f"{mark} {line}" for line in [first, *text.split("\n")])
+                 for first in firsts for mark in ("#", "//", " *") for text in (MIT, BSD)]
+    wrapped = ["\n".join(textwrap.wrap(text, width)) for text in whole[:12] for width in (40, 72)]
+    texts = [*whole, "\n".join(sentences), *commented, *wrapped, *firsts, "", None, "prose\n\n" + MIT + "\n\nprose"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    engine = duckdb.connect()
+    engine.register("documents", docs.toPandas())
+    assert difference(license_scan.scan(docs), engine, ORACLES["op1_license_scan"]) is None
+    found = scanned(spark, texts)
+    assert sum(r[0] is not None for r in found) >= len(whole) and max(r[1] for r in found) == len(sentences)
+
+
 def test_known_texts_fit_the_broadcast():
     known = license_texts.known_texts()
     assert len(known) <= license_scan.MOST_KNOWN and set(license_texts.KNOWN) <= set(known)

@@ -132,7 +132,18 @@ _NAMES = {
 }
 
 
-def _names() -> list[tuple[str, str]]:
+#: What sentences may call the work.
+SUBJECTS = ["work", "project", "software", "program", "library", "file", "code"]
+
+#: Identifiers that identifier lines join by twos.
+USUAL = [
+    "MIT", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "ISC", "0BSD", "Zlib", "BSL-1.0", "Unlicense", "CC0-1.0",
+    "MPL-2.0", "EPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later",
+    "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "CC-BY-4.0",
+]
+
+
+def names() -> list[tuple[str, str]]:
     """Licences and how sentences name them. Of the GNU licences a bare "GPL-3.0" or "GPLv3" is named
     as such, since the plus sign of "GPLv3+" does not survive the normalisation."""
     named = [(key, name) for key, names in _NAMES.items() for name in names]
@@ -163,43 +174,37 @@ def _names() -> list[tuple[str, str]]:
 
 def sentences() -> list[tuple[str, str]]:
     """Sentences that put a work under a licence."""
-    subjects = ["", *(f"This {x} is " for x in (
-        "work", "project", "software", "program", "library", "file", "code"))]
+    subjects = ["", *(f"This {x} is " for x in SUBJECTS)]
     verbs = ["licensed", "released", "distributed"]
     starts = [f"{s}{v} under {a}" for s, v, a in product(subjects, verbs, ("", "the ", "the terms of the "))]
-    made = [(key, f"{start}{name}.") for (key, name), start in product(_names(), starts)]
+    made = [(key, f"{start}{name}.") for (key, name), start in product(names(), starts)]
     return made + [
-        (key, f"{start}a {name}.") for key, name in _names() if key.startswith("CC-")
+        (key, f"{start}a {name}.") for key, name in names() if key.startswith("CC-")
         for start in (f"{s}{v} under " for s, v in product(subjects, verbs))
     ]
 
 
-def _listed(name: str) -> list[str]:
+def listed(name: str) -> list[str]:
     return files("tidegauge.llm").joinpath(name).read_text("utf-8").split()
 
 
 def spdx_lines() -> list[tuple[str, str]]:
     """Identifier lines: every identifier of the SPDX list (3.27), the GNU and Apache ones with every
     exception, and two of the usual ones joined by OR or AND."""
-    ids = _listed("spdx_ids.txt")
+    ids = listed("spdx_ids.txt")
     made = list(ids)
     made += [
         f"{x} WITH {e}" for x in ids if x.startswith(("GPL-", "LGPL-", "AGPL-", "Apache-2.0"))
-        for e in _listed("spdx_exceptions.txt")
-    ]
-    usual = [
-        "MIT", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "ISC", "0BSD", "Zlib", "BSL-1.0", "Unlicense", "CC0-1.0",
-        "MPL-2.0", "EPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later",
-        "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "CC-BY-4.0",
+        for e in listed("spdx_exceptions.txt")
     ]
     rows = [(x, f"SPDX-License-Identifier: {x}") for x in made]
     return rows + [
         (f" {word} ".join(sorted(two)), f"SPDX-License-Identifier: {f' {word} '.join(two)}")
-        for two in permutations(usual, 2) for word in ("OR", "AND")
+        for two in permutations(USUAL, 2) for word in ("OR", "AND")
     ]
 
 
-def _headers() -> list[tuple[str, str]]:
+def headers() -> list[tuple[str, str]]:
     """The notices that licences of several pages ask for."""
     made = [("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of "
              "the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.")]
@@ -241,7 +246,7 @@ def whole_texts() -> list[tuple[str, str]]:
 
 def known_texts() -> list[tuple[str, str]]:
     """Licence and text of all that is known; links in either protocol."""
-    long = whole_texts() + _headers()
+    long = whole_texts() + headers()
     linked = [(key, text.replace("http://", "https://")) for key, text in long]
     linked += [(key, text.replace("https://", "http://")) for key, text in linked]
     alike = {

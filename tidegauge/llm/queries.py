@@ -15,7 +15,7 @@ from tidegauge.llm import (
     hilbert_shards,
     language_crf,
     license_scan,
-    license_texts,
+    license_sql,
     line_dedup,
     mixing,
     packing,
@@ -69,52 +69,7 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _normal_sql(text: str) -> str:
-    """The normalisation of licence texts in the checking SQL."""
-    kept = (
-        r"regexp_replace(lower(" + text + r"), '(^|\n)[ \t]*(?:copyright[ \t]|\(c\)|©|all rights reserved)"
-        r"[^\n]*', '\1', 'g')"
-    )
-    words = rf"regexp_replace({kept}, '[^\p{{L}}\p{{N}}\n]+', ' ', 'g')"
-    apart = f"concat(' ', replace(replace({words}, chr(10), concat(' ', chr(10), ' ')), ' ', '  '), ' ')"
-    for spelled, common in license_texts.SPELLINGS:
-        apart = f"replace({apart}, ' {spelled} ', ' {common} ')"
-    return f"list_transform(string_split(replace({apart}, '  ', ' '), chr(10)), lambda l: trim(l))"
-
-
-def _known_sql() -> str:
-    quoted = ", ".join(
-        "('{}', '{}')".format(name, text.replace("'", "''")) for name, text in license_texts.KNOWN
-    )
-    return f"""
-        SELECT digest, min(license_id) AS license_id FROM (
-            SELECT license_id, md5(array_to_string(list_filter(lines, lambda l: l <> ''), ' ')) AS digest
-            FROM (SELECT license_id, {_normal_sql('text')} AS lines FROM (VALUES {quoted}) k(license_id, text)))
-        GROUP BY digest"""
-
-
-@query("op1_license_scan", sql=f"""
-    WITH known AS ({_known_sql()}),
-    docs AS (
-        SELECT doc_id, {_normal_sql("coalesce(text, '')")} AS lines,
-               list_transform(string_split(coalesce(text, ''), chr(10)), lambda l: trim(l)) AS raw
-        FROM documents),
-    units AS (
-        SELECT doc_id, 'line' AS kind, unnest(list_filter(lines, lambda l: l <> '')) AS normal FROM docs
-        UNION ALL
-        SELECT doc_id, 'paragraph', array_to_string(list_filter(string_split(p, chr(10)), lambda l: l <> ''), ' ')
-        FROM (SELECT doc_id, unnest(string_split(array_to_string(list_transform(lines, lambda l, i:
-                  CASE WHEN raw[i] = '' THEN chr(12) ELSE l END), chr(10)), chr(12))) AS p FROM docs)
-        WHERE instr(trim(p, chr(10)), chr(10)) > 0),
-    hits AS (
-        SELECT doc_id, count(*) AS notices, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS names
-        FROM units JOIN known ON md5(normal) = digest GROUP BY doc_id)
-    SELECT d.doc_id, d.text_digest, k.license_id AS text_license,
-           coalesce(h.notices, 0) AS notices, h.names AS notice_licenses
-    FROM (SELECT doc_id, md5(array_to_string(list_filter(lines, lambda l: l <> ''), ' ')) AS text_digest FROM docs) d
-    LEFT JOIN known k ON k.digest = d.text_digest
-    LEFT JOIN hits h ON h.doc_id = d.doc_id
-""")
+@query("op1_license_scan", sql=license_sql.checking_sql())
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scan(table(spark, folder, "documents"))
 
