@@ -20,7 +20,7 @@ from statistics import median
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from tidegauge.plans import QUERIES  # noqa: E402
-from tidegauge.session import local_session  # noqa: E402
+from tidegauge.session import clear_scratch, local_session  # noqa: E402
 
 HEADLINE = (
     "metric_series_rate", "multi_rate", "counter_resets", "explained_resets", "metrics_1m",
@@ -60,6 +60,7 @@ def main() -> None:
     for name in names:
         timings[name] = round(median(run(name) for _ in range(runs)), 3)
         print(f"{name} {timings[name]}", file=sys.stderr, flush=True)
+    clear_scratch(spark)
     spark.stop()
     print(json.dumps({
         "metric": "total time of headline queries",

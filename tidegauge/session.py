@@ -42,20 +42,33 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def scratch_folder(spark: SparkSession, label: str) -> str:
-    """A new folder below the shared checkpoint folder of the cluster.
-
-    A cluster must name one in ``spark.checkpoint.dir``. Where all tasks run in the driver's process, a
-    session that names none uses one in its warehouse.
-    """
+def _scratch(spark: SparkSession) -> str:
+    """The folder of this application below the shared checkpoint folder of the cluster."""
     base = spark.conf.get(CHECKPOINT_SETTING, None)
     if not base:
         master = spark.conf.get("spark.master", "")
         if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError(f"{CHECKPOINT_SETTING} must name a folder that all executors share")
         base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints"
-        spark.conf.set(CHECKPOINT_SETTING, base)
-    return f"{base.rstrip('/')}/tidegauge/{label}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/tidegauge/{spark.sparkContext.applicationId}"
+
+
+def scratch_folder(spark: SparkSession, label: str) -> str:
+    """A new folder for this application below the shared checkpoint folder of the cluster.
+
+    A cluster must name one in ``spark.checkpoint.dir``. Where all tasks run in the driver's process, a
+    session that names none uses one in its warehouse. It stays until ``clear_scratch``.
+    """
+    return f"{_scratch(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all scratch folders of this application; those of others stay.
+
+    Results read them until they are written elsewhere, so this belongs at the end of a job. What is to
+    outlive it, such as a stream's tables, wants a folder of its own.
+    """
+    remove(spark, _scratch(spark))
 
 
 def _hadoop(spark: SparkSession, path: str):
