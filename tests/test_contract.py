@@ -180,3 +180,13 @@ def test_catalog_shape():
     assert status["Threads_running"].unit == "threads"
     assert status["Innodb_row_lock_time"].unit == "ms"
     assert status["Bytes_sent"].unit == "bytes" and status["Queries"].unit == "operations"
+
+
+def test_an_archive_is_compressed_in_files_of_bounded_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jsonl, "ROWS_PER_FILE", 3)
+    packed, _, _ = jsonl.load_archive(spark, archive(tmp_path, *[GOOD] * 10))
+    out = tmp_path / "out"
+    jsonl.write_jsonl(packed, str(out))
+    files = [p for p in out.iterdir() if p.name.startswith("part-")]
+    assert len(files) >= 4 and all(p.suffix == ".gz" for p in files)
+    assert jsonl.read_telemetry_jsonl(spark, str(out)).count() == 10
