@@ -145,3 +145,20 @@ def test_without_a_beginning_only_newer_entries_are_read(spark, tmp_path):
     found, end = reader.read({"cursor": T0.replace(tzinfo=timezone.utc).isoformat()})
     assert [r[1] for r in found] == ["a1"]
     assert list(reader.readBetweenOffsets({"cursor": end["cursor"]}, end)) == []
+
+
+@pytest.mark.parametrize("polls", [1, 2, 3, 5, 100])
+def test_polls_of_one_batch_end_where_single_ones_would(spark, tmp_path, polls):
+    entries(spark, tmp_path / "in", [0, 1, 2, 3, 3, 3, 3, 3, 4, 5, 6, 6, 7, 8, 9])
+    ends = []
+    for number in (1, polls):
+        reader = log_source.LogReader(str(tmp_path / "in"), ["logged", "data"], 3, None, number)
+        cursor, found = {"cursor": T0.replace(tzinfo=timezone.utc).isoformat()}, []
+        ends.append([])
+        while (step := reader.read(cursor))[1] != cursor:
+            cursor = step[1]
+            found += [r[1] for r in step[0]]
+            ends[-1].append(cursor["cursor"])
+        assert sorted(found) == sorted(f"a{i}" for i in range(1, 15))
+    assert set(ends[1]) <= set(ends[0]) and ends[1][-1] == ends[0][-1]
+    assert len(ends[1]) <= len(ends[0]) and (polls < 100 or len(ends[1]) == 1)
