@@ -5,10 +5,12 @@ from pathlib import Path
 
 import pytest
 
-from tidegauge.plans import QUERIES
+from tidegauge.plans import QUERIES, source_queries
 from tidegauge.plans.fixtures import END, RUN, START, TARGETS, Tables
 from tidegauge.operators import panels, rates
+from tidegauge.sources import replay
 from tidegauge.sources.tables import save_series
+from tidegauge.streaming.batches import run_available
 
 FOLDER = "/root/testdata/sf0.001"
 #: Queries that write and read again; of these, one of each kind.
@@ -87,3 +89,30 @@ def test_sources_use_no_local_checkpoint_and_name_no_temporary_folder():
     for path in root.rglob("*.py"):
         text = path.read_text()
         assert "localCheckpoint" not in text and "/tmp" not in text
+
+
+def test_only_the_answers_of_sketches_are_broadcast(spark):
+    """Spark takes the exploded samples for the smaller side; their number has no bound."""
+    text = plan(QUERIES["sketch_quantiles"](spark, FOLDER))
+    sent = text[text.index("BroadcastExchange"):]
+    assert text.count("BroadcastExchange") == 1 and "kll_merge" in sent and "explode" not in sent
+    assert "explode" in text[:text.index("BroadcastExchange")]
+
+
+def test_routing_shuffles_verdicts_and_no_lines(spark, tmp_path):
+    (tmp_path / "a").write_text('{"table":"MysqlMetrics","mapping":"m","row":{"ts":"2024-01-01T00:00:00Z"}}\n')
+    text = plan(replay.route(spark, str(tmp_path)))
+    assert "SortMergeJoin" not in text and "REBALANCE" not in text
+    assert re.findall(r"Exchange hashpartitioning\((\w+)#", text) == ["file"]
+
+
+@pytest.mark.parametrize("rows, files", [(0, None), (7, 3), (40, 6)])
+def test_a_streams_files_grow_with_its_rows(spark, monkeypatch, tmp_path, rows, files):
+    monkeypatch.setattr(source_queries, "_STREAMED_ROWS", 10)
+    tables = Tables(spark, FOLDER)
+    stream = source_queries._fed(tables, spark.range(rows), str(tmp_path / "in"), 3)
+    seen = []
+    run_available(stream.writeStream.foreachBatch(lambda batch, _: seen.append(batch.count())), str(tmp_path / "log"))
+    assert sum(seen) == rows
+    if files:
+        assert len(seen) == 3 and len(list((tmp_path / "in").glob("part-*"))) == files
