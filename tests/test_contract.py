@@ -11,6 +11,8 @@ from tidegauge.functions.tags import series_key
 from tidegauge.functions.timing import utc_iso
 from tidegauge.operators import contract as c
 from tidegauge.sources import jsonl
+from tidegauge.streaming import ingest, levels
+from tidegauge.streaming.batches import run_available
 
 GOOD = {
     "ts": "2024-01-01T00:00:00.5Z", "run_id": "prod", "target_id": "orders-db", "host": "h",
@@ -190,3 +192,26 @@ def test_an_archive_is_compressed_in_files_of_bounded_rows(spark, tmp_path, monk
     files = [p for p in out.iterdir() if p.name.startswith("part-")]
     assert len(files) >= 4 and all(p.suffix == ".gz" for p in files)
     assert jsonl.read_telemetry_jsonl(spark, str(out)).count() == 10
+
+
+def followed(spark, tmp_path, monkeypatch, name):
+    """Rows that a call of ``ingest`` was given while an archive was followed, by its last text argument."""
+    given, own = {}, getattr(ingest, name)
+
+    def spy(rows, *others, **named):
+        given["".join(x for x in others if isinstance(x, str)).rsplit("/", 1)[-1]] = rows.collect()
+        own(rows, *others, **named)
+
+    monkeypatch.setattr(ingest, name, spy)
+    (tmp_path / "in").mkdir()
+    path = archive(tmp_path / "in", GOOD, "{nope", changed(host=" "))
+    run_available(ingest.archive_stream(spark, path, str(tmp_path / "out")), str(tmp_path / "log"))
+    return given
+
+
+def test_points_are_shuffled_before_they_become_series(spark, tmp_path, monkeypatch):
+    given = followed(spark, tmp_path, monkeypatch, "add_batch")
+    assert len(given["series"]) == 1 and "fields" in given["series"][0]
+    found = levels.read_table(spark, str(tmp_path / "out" / "series"))
+    assert sorted(r.field for r in found.collect()) == ["bytes_total", "operations_total", "wait_ms_total"]
+    assert found.columns[-2:] == ["day", "measurement"]

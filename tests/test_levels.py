@@ -136,3 +136,21 @@ def test_days_divided_further(spark, tmp_path):
     assert found.filter("name = 'b1'").count() == 6 and found.count() == 24
     plan = found.filter("name = 'b1'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(name" in plan
+
+
+def test_rows_are_made_more_after_the_shuffle(spark, tmp_path):
+    table, given = str(tmp_path / "t"), []
+
+    def expand(rows):
+        given.append(rows)
+        return rows.select("ts", F.explode(F.array("name", F.lit("x"), F.lit("y"))).alias("name"), "n")
+
+    writers = spark.conf.get(levels._WRITERS)
+    rows = batch(spark, 0, days=3).unionByName(spark.createDataFrame([(None, "none", 1)], SCHEMA))
+    levels.add_batch(rows, table, 0, expand=expand)
+    found = levels.read_table(spark, table)
+    assert found.columns == ["ts", "name", "n", "day"] and found.count() == 30
+    assert found.filter("day <=> to_date(ts)").groupBy("name").count().count() == 4
+    assert given[0].columns == ["ts", "name", "n"]
+    assert "RebalancePartitions" in given[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert spark.conf.get(levels._WRITERS) == writers
