@@ -215,3 +215,10 @@ def test_points_are_shuffled_before_they_become_series(spark, tmp_path, monkeypa
     found = levels.read_table(spark, str(tmp_path / "out" / "series"))
     assert sorted(r.field for r in found.collect()) == ["bytes_total", "operations_total", "wait_ms_total"]
     assert found.columns[-2:] == ["day", "measurement"]
+
+
+def test_lines_of_valid_rows_are_not_kept(spark, tmp_path, monkeypatch):
+    rows, = followed(spark, tmp_path, monkeypatch, "_add_points").values()
+    assert sorted((r.problem is None, r.value) for r in rows if r.problem is None) == [(True, None)]
+    found = levels.read_table(spark, str(tmp_path / "out" / "rejects"), schema=ingest.LINE_REJECTS).collect()
+    assert sorted(r.value for r in found) == sorted(["{nope", json.dumps(changed(host=" "))])
