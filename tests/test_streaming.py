@@ -235,3 +235,16 @@ def test_a_batch_that_was_lost_is_an_error(spark, tmp_path):
     assert read_batch(spark, str(tmp_path / "t"), 0, "id long").count() == 3
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         read_batch(spark, str(tmp_path / "t"), 1, "id long").count()
+
+
+def shuffled(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = {files.apply(i).getName() for i in range(files.size())}
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+def test_a_rate_stream_leaves_no_shuffled_rows_on_disk(spark, tmp_path):
+    before = shuffled(spark)
+    feed(spark, tmp_path, [sample(s, s, f"k{s % 3}") for s in range(50)], 10)
+    assert shuffled(spark) <= before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
